@@ -251,9 +251,8 @@ pair AS (
     FROM grid a SEMI JOIN hit USING (volume_id, z), step, grid b
     WHERE b.volume_id = a.volume_id AND b.z = a.z AND b.y = a.y + dy AND b.x = a.x + dx),
 freq AS (
-    SELECT volume_id, z, angle, lo, hi, count(*) AS pairs,
-        CAST(sum(count(*)) OVER (PARTITION BY volume_id, z, angle) AS BIGINT) AS total
-    FROM pair GROUP BY ALL)
+    SELECT *, CAST(sum(pairs) OVER (PARTITION BY volume_id, z, angle) AS BIGINT) AS total
+    FROM (SELECT volume_id, z, angle, lo, hi, count(*) AS pairs FROM pair GROUP BY ALL))
 """
 _PROPS = f"""{_GLCM},
 sym AS (

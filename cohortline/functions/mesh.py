@@ -124,6 +124,6 @@ def cell_areas(gap: float = UNSET_GAP) -> tuple[float, ...]:
             continue
         loops = _loops(on)
         areas.append(
-            sum(_least_fill([_cut(*sorted(e), on, gap) for e in loop]) for loop in loops)
+            sum((_least_fill([_cut(*sorted(e), on, gap) for e in loop]) for loop in loops), 0.0)
         )
     return tuple(areas)

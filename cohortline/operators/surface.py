@@ -136,7 +136,7 @@ def _boxes(points: DataFrame, size: int) -> DataFrame:
     )
 
 
-def maximum_diameter(faces: DataFrame, branch: int = 4) -> DataFrame:
+def maximum_diameter(faces: DataFrame, branch: int = 8) -> DataFrame:
     """Largest distance between two surface points, exact, without forming all pairs.
 
     Pairs of boxes are refined from one box per volume down to single points.
@@ -154,21 +154,24 @@ def maximum_diameter(faces: DataFrame, branch: int = 4) -> DataFrame:
     boxes = _boxes(points, size)
     a = boxes.select("volume_id", *[F.col(f"b{c}").alias(f"a{c}") for c in "zyx"])
     pairs = a.select("volume_id", "az", "ay", "ax", *[F.col(f"a{c}").alias(f"c{c}") for c in "zyx"])
-    while size > 1:
+    while True:
         finer = size // branch if size > UNIT else 1
-        pairs, best = _refine(pairs, points, size, finer)
+        reached = _refine(pairs, points, size, finer)
+        best = reached.groupBy("volume_id").agg(F.max("seen").alias("longest"))
+        if finer == 1:
+            break
+        kept = attach(reached, best, ["volume_id"]).filter("reach >= longest")
+        pairs = kept.select("volume_id", "az", "ay", "ax", "cz", "cy", "cx")
         size = finer
     return best.select(
         "volume_id", (F.sqrt(F.col("longest").cast("double")) / UNIT).alias("maximum_diameter")
     )
 
 
-def _refine(
-    pairs: DataFrame, points: DataFrame, size: int, finer: int
-) -> tuple[DataFrame, DataFrame]:
-    """One round: split both boxes of each pair and drop what cannot be longest."""
+def _refine(pairs: DataFrame, points: DataFrame, size: int, finer: int) -> DataFrame:
+    """Split both boxes of each pair; give the reach and a known distance of each new pair."""
     parent = [F.floor(F.col(f"b{c}") * finer / size).alias(f"p{c}") for c in "zyx"]
-    children = freeze(_boxes(points, finer).select("*", *parent))
+    children = _boxes(points, finer).select("*", *parent)
 
     def side(name: str) -> DataFrame:
         keys = [F.col(f"p{c}").alias(f"{name}{c}") for c in "zyx"]
@@ -192,7 +195,7 @@ def _refine(
         f" * greatest(abs(box_a.hi{c} - box_c.lo{c}), abs(box_c.hi{c} - box_a.lo{c}))"
         for c in "zyx"
     )
-    bounded = freeze(
+    return freeze(
         split.select(
             "volume_id",
             *[F.col("box_a")[f"b{c}"].alias(f"a{c}") for c in "zyx"],
@@ -201,9 +204,6 @@ def _refine(
             F.expr(seen).alias("seen"),
         )
     )
-    best = freeze(bounded.groupBy("volume_id").agg(F.max("seen").alias("longest")))
-    kept = attach(bounded, best, ["volume_id"]).filter("reach >= longest")
-    return kept.select("volume_id", "az", "ay", "ax", "cz", "cy", "cx"), best
 
 
 def derived_ratios(shape: DataFrame) -> DataFrame:
