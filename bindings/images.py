@@ -19,6 +19,7 @@ from cohortline.operators import (
     volumes,
 )
 from cohortline.plans.durable import freeze
+from cohortline.plans.skew import attach
 from cohortline.sources.catalogue import slice_order
 
 SIDE = 8
@@ -32,7 +33,7 @@ def _files(spark: SparkSession, sf: str) -> DataFrame:
         F.col("embedding").cast("array<double>").alias("cells"),
     )
     order = slice_order(files)
-    return files.join(order, ["series_id", "file_name"]).select(
+    return attach(files, order, ["series_id", "file_name"], unique=True).select(
         F.col("series_id").alias("volume_id"),
         F.col("z").cast("int").alias("z"),
         F.lit(SIDE).alias("height"),

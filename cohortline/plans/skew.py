@@ -24,17 +24,19 @@ def attach(
     on: Sequence[str],
     how: str = "inner",
     broadcast_rows: int = BROADCAST_ROWS,
+    unique: bool = False,
 ) -> DataFrame:
     """Join a large table to a lookup with one row per key.
 
     The lookup is written first, so its size is known and not guessed: it is
     broadcast when small (the large table then does not move at all), and
-    joined with hot keys split otherwise.
+    joined with hot keys split otherwise. Keys that are ``unique`` on both
+    sides have no hot ones, so a plain join does.
     """
     lookup = freeze(lookup)
     if lookup.count() <= broadcast_rows:
         return df.join(F.broadcast(lookup), list(on), how)
-    return split_join(df, lookup, on, how)
+    return df.join(lookup, list(on), how) if unique else split_join(df, lookup, on, how)
 
 
 def split_join(
