@@ -201,7 +201,7 @@ def _flat(report: DataFrame) -> DataFrame:
 def lasso_cv(spark: SparkSession, sf: str) -> DataFrame:
     rows = _study(spark, sf)
     roles = prep.column_roles(rows, ["doc_id", "death_2years"])
-    found = training.grid_search(rows, "lreg", roles, "death_2years", ["doc_id"], LASSO_GRID)
+    found = training.grid_search(rows, "lreg", roles, "death_2years", ["doc_id"], LASSO_GRID, folds_at_once=5)
     return _flat(found.report)
 
 
@@ -209,7 +209,7 @@ def mlp_cv(spark: SparkSession, sf: str) -> DataFrame:
     rows = _study(spark, sf)
     roles = prep.column_roles(rows, ["doc_id", "death_2years"])
     found = training.grid_search(
-        rows, "mlp", roles, "death_2years", ["doc_id"], SMALL_NETWORK, folds=3
+        rows, "mlp", roles, "death_2years", ["doc_id"], SMALL_NETWORK, folds=3, folds_at_once=3
     )
     return _flat(found.report)
 
@@ -222,6 +222,7 @@ def _trained(spark: SparkSession, sf: str) -> str:
         root,
         key="doc_id",
         folds=2,
+        folds_at_once=2,
         grids={
             "lreg": {"C": [1.0, 100.0]},
             "mlp": {"hiddenLayers": [[16]], "alpha": [0.01], "batchSize": [32], "maxIter": [60]},
