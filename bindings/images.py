@@ -42,9 +42,9 @@ def _files(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def raw_image(spark: SparkSession, sf: str) -> DataFrame:
+def raw_image(spark: SparkSession, sf: str, files: DataFrame | None = None) -> DataFrame:
     """Slices in raw units 0..255 of the whole table."""
-    files = _files(spark, sf)
+    files = files or _files(spark, sf)
     cells = spark.read.parquet(f"{sf}/embeddings.parquet").agg(
         F.min(F.array_min("embedding")).cast("double"),
         F.max(F.array_max("embedding")).cast("double"),
@@ -57,25 +57,26 @@ def raw_image(spark: SparkSession, sf: str) -> DataFrame:
     return files.select("volume_id", "z", "height", "width", raw.alias("pixels"))
 
 
-def image(spark: SparkSession, sf: str) -> DataFrame:
-    return volumes.normalise_slices(raw_image(spark, sf))
+def image(spark: SparkSession, sf: str, files: DataFrame | None = None) -> DataFrame:
+    return volumes.normalise_slices(raw_image(spark, sf, files))
 
 
-def mask(spark: SparkSession, sf: str) -> DataFrame:
+def mask(spark: SparkSession, sf: str, files: DataFrame | None = None) -> DataFrame:
     """Mask frames; all frames of a volume belong to one file."""
-    frames = _files(spark, sf).withColumn(
+    frames = (files or _files(spark, sf)).withColumn(
         "pixels", F.transform("cells", lambda v: F.when(v > F.lit(CUT), 1).otherwise(0))
     )
     return volumes.normalise_files(frames.drop("cells"), ["volume_id"])
 
 
-def mask_voxels(spark: SparkSession, sf: str) -> DataFrame:
-    return volumes.to_voxels(volumes.with_depth(mask(spark, sf)), positive_only=True)
+def mask_voxels(spark: SparkSession, sf: str, files: DataFrame | None = None) -> DataFrame:
+    return volumes.to_voxels(volumes.with_depth(mask(spark, sf, files)), positive_only=True)
 
 
 def masked(spark: SparkSession, sf: str) -> DataFrame:
-    small = volumes.resample_mask(mask_voxels(spark, sf))
-    return volumes.rescale_masked(volumes.mask_image(freeze(small), image(spark, sf)))
+    files = _files(spark, sf)
+    small = freeze(volumes.resample_mask(mask_voxels(spark, sf, files)))
+    return volumes.rescale_masked(freeze(volumes.mask_image(small, image(spark, sf, files))))
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -160,7 +161,8 @@ def glcm_props(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def image_features(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(features.volume_features(image(spark, sf), mask(spark, sf)))
+    files = _files(spark, sf)
+    return rounded(features.volume_features(image(spark, sf, files), mask(spark, sf, files)))
 
 
 QUERIES = {

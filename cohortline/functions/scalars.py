@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,6 +16,15 @@ def holds(predicate: Column) -> Column:
     return F.coalesce(predicate, F.lit(False))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` uses it.
+
+    A plain column named inside the lambda of an array function may be computed
+    again for each element.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def parse_date(text: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """The first format that fits; text that fits none becomes null."""
     return F.coalesce(

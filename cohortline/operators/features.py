@@ -7,19 +7,22 @@ from pyspark.sql import functions as F
 
 from cohortline.functions.codes import IMAGE_FEATURES
 from cohortline.operators import components, intensity, surface, texture, volumes
-from cohortline.plans.durable import freeze
+from cohortline.plans.durable import at_once, freeze
 
 
 def shape_features(mask: DataFrame) -> DataFrame:
     """Nine shape features per volume, from mask voxels on the original grid."""
-    runs = components.label_runs(mask)
+    runs, diameter = at_once(
+        mask.sparkSession,
+        lambda: components.label_runs(mask),
+        lambda: surface.maximum_diameter(surface.boundary_faces(mask)),
+    )
     sizes = components.volume_shape(
         components.component_shape(components.component_moments(runs))
     )
-    faces = surface.boundary_faces(mask)
     joined = (
         sizes.join(surface.surface_area(mask), "volume_id", "left")
-        .join(surface.maximum_diameter(faces), "volume_id", "left")
+        .join(diameter, "volume_id", "left")
         .fillna(0.0, ["surface_area", "maximum_diameter"])
     )
     return surface.derived_ratios(joined)
@@ -29,15 +32,17 @@ def volume_features(image: DataFrame, mask: DataFrame) -> DataFrame:
     """All 19 features per volume, from normalised image and mask slices.
 
     Shape is measured on the original grid; intensity and texture on the
-    halved one. Both intermediate voxel tables hold mask cells only.
+    halved one. The intermediate voxel tables hold mask cells only and are
+    written once for all that read them.
     """
     voxels = freeze(volumes.to_voxels(volumes.with_depth(mask), positive_only=True))
-    masked = freeze(
-        volumes.rescale_masked(volumes.mask_image(volumes.resample_mask(voxels), image))
-    )
-    rows = (
-        shape_features(voxels)
-        .join(intensity.intensity_features(masked), "volume_id", "left")
-        .join(texture.texture_features(masked), "volume_id", "left")
+
+    def masked_cells() -> DataFrame:
+        small = freeze(volumes.resample_mask(voxels))
+        return volumes.rescale_masked(freeze(volumes.mask_image(small, image)))
+
+    shape, masked = at_once(voxels.sparkSession, lambda: shape_features(voxels), masked_cells)
+    rows = shape.join(intensity.intensity_features(masked), "volume_id", "left").join(
+        texture.texture_features(masked), "volume_id", "left"
     )
     return rows.select("volume_id", *[F.col(c).cast("double").alias(c) for c in IMAGE_FEATURES])

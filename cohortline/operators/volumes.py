@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.functions.scalars import to_byte
+from cohortline.functions.scalars import let, to_byte
 from cohortline.plans.skew import attach
 
 VOXEL = ["volume_id", "z", "y", "x"]
@@ -25,18 +25,21 @@ def _scaled(pixel: Column, peak: Column) -> Column:
 
 def normalise_slices(slices: DataFrame) -> DataFrame:
     """Scale each one-frame file to 0..255 by its own largest pixel. No shuffle."""
-    peak = F.array_max("pixels")
-    return slices.withColumn("pixels", F.transform("pixels", lambda p: _scaled(p, peak)))
+
+    def by_own_peak(pixels: Column) -> Column:
+        peak = F.array_max(pixels)
+        return let(peak, lambda top: F.transform(pixels, lambda p: _scaled(p, top)))
+
+    return slices.withColumn("pixels", let(F.col("pixels"), by_own_peak))
 
 
 def normalise_files(frames: DataFrame, file: Sequence[str]) -> DataFrame:
     """Scale the frames of a file by the largest pixel of the whole file."""
     peaks = frames.groupBy(*file).agg(F.max(F.array_max("pixels")).alias("__peak"))
-    return (
-        attach(frames, peaks, file)
-        .withColumn("pixels", F.transform("pixels", lambda p: _scaled(p, F.col("__peak"))))
-        .drop("__peak")
+    scaled = let(
+        F.col("__peak"), lambda top: F.transform("pixels", lambda p: _scaled(p, top))
     )
+    return attach(frames, peaks, file).withColumn("pixels", scaled).drop("__peak")
 
 
 def with_depth(slices: DataFrame) -> DataFrame:

@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
@@ -40,3 +43,10 @@ def freeze(df: DataFrame) -> DataFrame:
     path = new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def at_once(spark: SparkSession, *parts: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Build independent tables side by side, so that their jobs share the cluster."""
+    start = inheritable_thread_target(spark)
+    with ThreadPool(len(parts)) as pool:
+        return [p.get() for p in [pool.apply_async(start(part)) for part in parts]]
