@@ -212,7 +212,7 @@ def test_unknown_model_type(spark):
     with pytest.raises(KeyError):
         training.grid_search(df, "tree", {}, "y", ["id"])
     with pytest.raises(KeyError):
-        jobs.evaluate_model(spark, "tree", "d", "nowhere")
+        jobs.apply_model(spark, "tree", "d", "nowhere")
 
 
 def test_shapley_of_a_linear_score_is_exact_with_all_background(spark):
