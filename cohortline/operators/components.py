@@ -71,6 +71,10 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     repeats and loops vanish. The graph shrinks by a constant factor per round
     in expectation, so the number of rounds is logarithmic. Each round is
     written, so lineage stays short. The label is the smallest node.
+
+    A contracted node only takes in direct neighbours that picked it, so its
+    share of the edges stays small until few edges are left; the joins of a
+    round therefore have no hot key while they are large.
     """
     both = freeze(
         edges.union(edges.select("volume_id", F.col("v"), F.col("u")))

@@ -48,12 +48,8 @@ def column_roles(
     return roles
 
 
-def value_counts(df: DataFrame, numbers: Sequence[str], texts: Sequence[str]) -> DataFrame:
-    """Count of each value of each column, all columns in one shuffle.
-
-    Repeated values fold on the map side, so a value that fills a third of a
-    column costs one row per task.
-    """
+def _cells(df: DataFrame, numbers: Sequence[str], texts: Sequence[str]) -> DataFrame:
+    """One row per column and value: ``(name, num, txt)``."""
     cells = [
         F.struct(
             F.lit(c).alias("name"),
@@ -62,9 +58,17 @@ def value_counts(df: DataFrame, numbers: Sequence[str], texts: Sequence[str]) ->
         )
         for c in [*numbers, *texts]
     ]
+    return df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+
+
+def value_counts(df: DataFrame, numbers: Sequence[str], texts: Sequence[str]) -> DataFrame:
+    """Count of each value of each column, all columns in one shuffle.
+
+    Repeated values fold on the map side, so a value that fills a third of a
+    column costs one row per task.
+    """
     return (
-        df.select(F.explode(F.array(*cells)).alias("cell"))
-        .select("cell.*")
+        _cells(df, numbers, texts)
         .filter("num IS NOT NULL OR txt IS NOT NULL")
         .groupBy("name", "num", "txt")
         .agg(F.count("*").alias("n"))
@@ -82,20 +86,56 @@ def modes(counts: DataFrame) -> dict[str, object]:
     }
 
 
-def medians(counts: DataFrame) -> dict[str, float]:
+def medians(df: DataFrame, columns: Sequence[str], margin: float = 0.001) -> dict[str, float]:
     """Exact median per column: the value at the middle rank, or the mean of the two.
 
-    Ranks come from slab totals over the distinct values, so no column is ever
-    held or sorted by a single task.
+    A sketch brackets the middle; one pass counts the values below and inside
+    each bracket; only the values inside, about ``2 * margin`` of a column, are
+    shuffled and ranked. A bracket that misses the middle is opened fully.
     """
-    upto = running_sums(counts.select("name", "num", "n"), ["name"], ["num"], {"upto": F.col("n")})
-    sizes = F.broadcast(counts.groupBy("name").agg(F.sum("n").alias("rows")))  # one row per column
-    low = F.expr("(rows + 1) div 2")
-    high = F.expr("rows div 2 + 1")
-    covers = [(F.col("upto") >= r) & (F.col("upto") - F.col("n") < r) for r in (low, high)]
+    if not columns:
+        return {}
+    spark = df.sparkSession
+    cells = _cells(df, columns, []).select("name", "num").filter("num IS NOT NULL")
+    ends = F.percentile_approx("num", [0.5 - margin, 0.5 + margin], round(10 / margin))
+    sketch = cells.groupBy("name").agg(ends.alias("ends")).collect()
+    shape = "name string, low double, high double"
+    brackets = {r["name"]: tuple(r["ends"]) for r in sketch}
+    if not brackets:
+        return {}
+
+    def bracketed(rows: list[tuple], schema: str) -> DataFrame:
+        """Cells with the bracket of their column; one broadcast row per column."""
+        return cells.join(F.broadcast(spark.createDataFrame(rows, schema)), "name")
+
+    within = F.col("num").between(F.col("low"), F.col("high"))
+    sizes = (
+        bracketed([(c, *b) for c, b in brackets.items()], shape)
+        .groupBy("name")
+        .agg(
+            F.count("*").alias("rows"),
+            F.count_if(F.col("num") < F.col("low")).alias("below"),
+            F.count_if(within).alias("held"),
+        )
+        .collect()
+    )
+    places = []
+    for r in sizes:
+        bracket, below = brackets[r["name"]], r["below"]
+        ranks = (r["rows"] + 1) // 2, r["rows"] // 2 + 1
+        if not below < ranks[0] <= ranks[1] <= below + r["held"]:
+            bracket, below = (-float("inf"), float("inf")), 0
+        places.append((r["name"], *bracket, *(rank - below for rank in ranks)))
+    counts = (
+        bracketed(places, f"{shape}, first bigint, second bigint")
+        .filter(within)
+        .groupBy("name", "num", "first", "second")
+        .agg(F.count("*").alias("n"))
+    )
+    upto = running_sums(counts, ["name"], ["num"], {"upto": F.col("n")})
+    covers = [F.expr(f"upto >= {r} AND upto - n < {r}") for r in ("first", "second")]
     middle = (
-        upto.join(sizes, "name")
-        .filter(covers[0] | covers[1])
+        upto.filter(covers[0] | covers[1])
         .groupBy("name")
         .agg(((F.min("num") + F.max("num")) / 2).alias("median"))
     )
@@ -117,9 +157,16 @@ def categories(counts: DataFrame) -> dict[str, list[str]]:
     return {name: sorted(texts) for name, texts in found.items()}
 
 
-def extremes(counts: DataFrame) -> dict[str, tuple[float, float]]:
-    rows = counts.filter("num IS NOT NULL").groupBy("name").agg(F.min("num"), F.max("num"))
-    return {r[0]: (r[1], r[2]) for r in rows.collect()}
+def extremes(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Smallest and largest value per column, in one aggregate."""
+    ends = df.agg(
+        *[
+            f(F.col(c).cast("double")).alias(f"{i} {c}")
+            for c in columns
+            for i, f in enumerate((F.min, F.max))
+        ]
+    ).first()
+    return {c: (ends[f"0 {c}"], ends[f"1 {c}"]) for c in columns}
 
 
 def impute(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
@@ -132,7 +179,7 @@ def impute_mode(df: DataFrame, numbers: Sequence[str], texts: Sequence[str]) ->
 
 def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     doubles = df.withColumns({c: F.col(c).cast("double") for c in columns})
-    return impute(doubles, medians(value_counts(doubles, columns, [])))
+    return impute(doubles, medians(doubles, columns))
 
 
 def scaled(value: Column, low: float, high: float) -> Column:
@@ -142,13 +189,8 @@ def scaled(value: Column, low: float, high: float) -> Column:
 
 
 def scale_minmax(df: DataFrame, fit_on: DataFrame, columns: Sequence[str]) -> DataFrame:
-    bounds = fit_on.agg(
-        *[f(F.col(c).cast("double")).alias(f"{n}_{c}") for c in columns
-          for n, f in (("low", F.min), ("high", F.max))]
-    ).first()
-    return df.withColumns(
-        {c: scaled(F.col(c), bounds[f"low_{c}"], bounds[f"high_{c}"]) for c in columns}
-    )
+    bounds = extremes(fit_on, columns)
+    return df.withColumns({c: scaled(F.col(c), *bounds[c]) for c in columns})
 
 
 def is_category(column: str, category: str) -> Column:
@@ -189,11 +231,12 @@ class TabularPrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWr
         numeric, ordinal, nominal = (
             list(self.getOrDefault(p)) for p in (self.numeric, self.ordinal, self.nominal)
         )
-        counts = freeze(value_counts(dataset, [*numeric, *ordinal], nominal))
-        middle = medians(counts.filter(F.col("name").isin(numeric))) if numeric else {}
-        bounds = extremes(counts) if numeric else {}
-        common = modes(counts.filter(F.col("name").isin([*ordinal, *nominal])))
-        known = categories(counts) if nominal else {}
+        middle = medians(dataset, numeric)
+        bounds = extremes(dataset, numeric) if numeric else {}
+        common, known = {}, {}
+        if ordinal or nominal:
+            counts = freeze(value_counts(dataset, ordinal, nominal))
+            common, known = modes(counts), categories(counts)
         state = {
             "numeric": [[c, middle[c], *bounds[c]] for c in numeric if c in middle],
             "ordinal": [[c, common[c]] for c in ordinal if c in common],

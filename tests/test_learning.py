@@ -85,9 +85,21 @@ def test_prep_statistics(spark, tmp_path):
     assert vectors == [[0.375, 1.0, 1.0, 0.0, 0.0], [2.0, 0.0, 9.0, 1.0, 0.0]]
 
 
-def test_exact_and_approximate_median(spark):
+def test_exact_median(spark):
+    df = spark.range(1, 1001).select((F.col("id") * F.col("id")).cast("double").alias("v"))
+    exact = {"v": (500**2 + 501**2) / 2}
+    assert prep.medians(df, ["v"]) == exact
+    assert prep.medians(df, ["v"], margin=0.4) == exact
+
+
+def test_median_of_awkward_columns(spark):
+    rows = [(float(i // 300), None, 3.0 if i else None, -0.5 * i) for i in range(600)]
+    df = spark.createDataFrame(rows, "steps double, empty double, same double, falling double")
+    assert prep.medians(df, df.columns) == {"steps": 0.5, "same": 3.0, "falling": -149.75}
+
+
+def test_approximate_median(spark):
     df = spark.range(1, 1001).select((F.col("id") * F.col("id")).cast("double").alias("v"))
-    assert prep.medians(prep.value_counts(df, ["v"], [])) == {"v": (500**2 + 501**2) / 2}
     assert abs(prep.approx_medians(df, ["v"])["v"] - 500**2) < 2000
 
 
