@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from cohortline.llm import decontaminate, exact_dedup, simhash
+from cohortline.llm import decontaminate, exact_dedup, simhash, token_counts
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_token_counts": token_counts.op3_token_counts,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_simhash": simhash.op8_simhash,
 }
