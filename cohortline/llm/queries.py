@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortline.llm import decontaminate, exact_dedup, pieces, quality, simhash, token_counts
+from cohortline.llm import decontaminate, exact_dedup, language_model, pieces, quality, simhash, token_counts
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_quality": quality.op5_quality,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_simhash": simhash.op8_simhash,
+    "op9_language_model": language_model.op9_language_model,
 }
 ORACLES = {
     "op2_decontaminate": decontaminate.SQL,
