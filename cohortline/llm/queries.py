@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from cohortline.llm import decontaminate, exact_dedup, language_model, pieces, quality, simhash, token_counts
+from cohortline.llm import decontaminate, exact_dedup, language_model, pieces, quality, repeats, simhash, token_counts
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_sentencepiece": pieces.op4_sentencepiece,
     "op5_quality": quality.op5_quality,
+    "op6_repeats": repeats.op6_repeats,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_simhash": simhash.op8_simhash,
     "op9_language_model": language_model.op9_language_model,
