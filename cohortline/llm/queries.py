@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from cohortline.llm import decontaminate, exact_dedup, language_model, pieces, quality, repeats, simhash, token_counts
+from cohortline.llm import decontaminate, exact_dedup, language_model, page_text, pieces, quality, repeats, simhash, token_counts
 
 QUERIES = {
+    "op1_page_text": page_text.op1_page_text,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_sentencepiece": pieces.op4_sentencepiece,
