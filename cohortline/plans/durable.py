@@ -7,7 +7,6 @@ cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
@@ -15,21 +14,15 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables, read from the session."""
+    """The folder for intermediate tables, read from the session.
+
+    Without ``spark.checkpoint.dir`` it is the warehouse, which executors share
+    as well; a cluster must then name a warehouse that they reach.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = context.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="cohortline-")
-    return _local_roots[app]
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def new_path(spark: SparkSession, kind: str = "table") -> str:

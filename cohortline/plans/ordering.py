@@ -7,6 +7,8 @@ range slabs, the slabs are totalled, and each slab is finished on its own.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,7 +55,11 @@ def running_sums(
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    placed = slabs.join(offsets, [*group, "__slab"])
+    # Rows without a group value are a group, so nulls must meet.
+    names = [*group, "__slab"]
+    theirs = offsets.select(*[F.col(c).alias(f"__g_{c}") for c in names], *[f"__o_{n}" for n in sums])
+    same = [slabs[c].eqNullSafe(theirs[f"__g_{c}"]) for c in names]
+    placed = slabs.join(theirs, reduce(and_, same))
     return placed.select(
         *df.columns,
         *[
