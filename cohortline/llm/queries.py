@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortline.llm import decontaminate, exact_dedup, language_model, page_text, pieces, quality, repeats, simhash, token_counts
+from cohortline.llm import decontaminate, exact_dedup, language_model, page_text, pieces, quality, repeats, simhash, token_counts, tool_calls
 
 QUERIES = {
     "op1_page_text": page_text.op1_page_text,
@@ -14,8 +14,10 @@ QUERIES = {
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_simhash": simhash.op8_simhash,
     "op9_language_model": language_model.op9_language_model,
+    "op10_tool_calls": tool_calls.op10_tool_calls,
 }
 ORACLES = {
     "op2_decontaminate": decontaminate.SQL,
     "op7_exact_dedup": exact_dedup.SQL,
+    "op10_tool_calls": tool_calls.SQL,
 }
