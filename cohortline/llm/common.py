@@ -26,14 +26,6 @@ def crc_remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
-    """Join condition on equal columns; nulls equal each other."""
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
-
-
 def small_enough(df: DataFrame, row_bytes: int) -> bool:
     """Whether a written table of rows of at most ``row_bytes`` may be broadcast."""
     return df.count() * row_bytes <= BROADCAST_BYTES

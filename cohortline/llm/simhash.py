@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import same, small_enough, table
+from cohortline.llm.common import small_enough, table
 from cohortline.llm.graph import components
 from cohortline.plans.durable import freeze
 
@@ -49,13 +49,13 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp``: the fingerprint of every row as a signed long."""
+    """``doc_id, copy, fp``: a hash of the text and its fingerprint, as signed longs, of every row."""
 
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64))
 
-    return docs.select("doc_id", of(F.col("text")).alias("fp"))
+    return docs.select("doc_id", F.xxhash64("text").alias("copy"), of(F.col("text")).alias("fp"))
 
 
 def _signed(mask: int) -> int:
@@ -125,6 +125,10 @@ def simhash_groups(docs: DataFrame, width: int = SHINGLE, bits: int = BITS) -> D
     id that can be reached, null only where a component has no id at all.
     Repeated rows give repeated results; an empty table gives an empty result.
     """
+    return _groups(docs, width, bits).drop("copy")
+
+
+def _groups(docs: DataFrame, width: int, bits: int) -> DataFrame:
     marked = freeze(fingerprints(docs, width))
     points = freeze(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = freeze(components(near_links(points.select("fp"), bits)).withColumnRenamed("u", "fp"))
@@ -134,21 +138,21 @@ def simhash_groups(docs: DataFrame, width: int = SHINGLE, bits: int = BITS) -> D
     alone = points.join(roots, "fp", "left_anti").select("fp", F.col("least").alias("component_id"))
     named = freeze(linked.unionByName(alone))
     shown = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
-    return marked.join(named, "fp").select("doc_id", shown, "component_id")
+    return marked.join(named, "fp").select("doc_id", "copy", shown, "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """The row with the smallest id of each component, with all its columns.
 
-    Ids are taken to be unique, as they are after exact deduplication; rows
-    without an id stay only where their component has no id.
+    Ids are taken to be unique, as they are after exact deduplication: rows that
+    repeat the smallest id stay with it. Rows without an id stay only where their
+    component has no id.
     """
-    groups = simhash_groups(docs, width, bits)
-    dropped = freeze(
-        groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    )
-    gone = F.broadcast(dropped) if small_enough(dropped, 16) else dropped
-    return docs.join(gone, same(docs, gone, "doc_id"), "left_anti")
+    groups = _groups(docs, width, bits)
+    dropped = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = freeze(dropped.select(F.col("doc_id").alias("g_id"), F.col("copy").alias("g_copy")).distinct())
+    match = docs["doc_id"].eqNullSafe(gone["g_id"]) & (F.xxhash64(docs["text"]) == gone["g_copy"])
+    return docs.join(F.broadcast(gone) if small_enough(gone, 24) else gone, match, "left_anti")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
