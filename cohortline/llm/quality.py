@@ -189,12 +189,10 @@ def _logistic(design: np.ndarray, label: np.ndarray, weight: np.ndarray) -> np.n
 
 def training_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """``text, quality``: at most ``rows`` labelled rows of each class that are not held out."""
-    usable = docs.select("doc_id", "text").filter(
-        (crc_remainder(F.col("doc_id"), 4) != 2)
-        & F.col("text").isNotNull()
-        & (F.octet_length("text") <= SAMPLE_BYTES)
+    usable = docs.select("doc_id", "text").filter(F.octet_length("text") <= SAMPLE_BYTES)
+    known = labels.select("doc_id", "quality").filter(
+        F.col("quality").isin(0, 1) & (crc_remainder(F.col("doc_id"), 4) != 2)
     )
-    known = labels.select("doc_id", "quality").filter("quality in (0, 1)")
     order = F.xxhash64("doc_id")
     # Ids are chosen before texts are read.
     chosen = freeze(
