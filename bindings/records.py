@@ -13,7 +13,7 @@ from cohortline.functions.scalars import (
     survival_days,
     years,
 )
-from cohortline.operators import assemble, cleaning, cohort
+from cohortline.operators import assemble, cleaning, cohort, prep
 from cohortline.plans.durable import new_path
 from cohortline.sources import catalogue, tables
 
@@ -275,6 +275,23 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def raw_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers through a raw file: dotted headers, quotes and line breaks, then clean names and types."""
+    customers = _table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("Patient.ID"),
+        F.col("c_acctbal").alias("Age.at.Histology (choice=x)"),
+        F.concat(F.col("c_name"), F.lit(' said "yes",\n then left')).alias("Note"),
+        F.when(F.col("c_nationkey") % 3 != 0, F.col("c_nationkey")).alias("Weight.%"),
+        F.when(F.col("c_nationkey") % 4 != 0, F.col("c_mktsegment")).otherwise("N/A").alias("Market.Segment"),
+    )
+    path = new_path(spark, "csv")
+    tables.write_csv(customers, path)
+    clean = tables.infer_types(cleaning.clean_names(tables.read_csv(spark, path)))
+    roles = prep.column_roles(clean, ["patient_id", "note"])
+    kinds = F.array_join(F.array(*[F.lit(c) for c in sorted(roles["numeric"])]), ", ")
+    return clean.withColumn("numeric_columns", kinds)
+
+
 QUERIES = {
     "clean_names": clean_names,
     "na_tokens": na_tokens,
@@ -297,6 +314,7 @@ QUERIES = {
     "dataset_summary": dataset_summary,
     "display_names": display_names,
     "csv_roundtrip": csv_roundtrip,
+    "raw_csv": raw_csv,
 }
 
 _CATALOGUE = """
@@ -400,4 +418,11 @@ ORACLES = {
     "csv_roundtrip": """
         SELECT o_orderkey, o_orderstatus, o_totalprice, nullif(o_orderpriority, '5-LOW') AS o_orderpriority,
             o_totalprice AS inferred_price FROM orders""",
+    "raw_csv": """
+        SELECT CAST(c_custkey AS VARCHAR) AS patient_id, c_acctbal AS age_at_histology_x,
+            c_name || ' said "yes",' || chr(10) || ' then left' AS note,
+            CASE WHEN c_nationkey % 3 <> 0 THEN CAST(c_nationkey AS DOUBLE) END AS "weight_",
+            CASE WHEN c_nationkey % 4 <> 0 THEN c_mktsegment END AS market_segment,
+            'age_at_histology_x, weight_' AS numeric_columns
+        FROM customer""",
 }

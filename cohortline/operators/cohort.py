@@ -83,6 +83,12 @@ def unlisted_codes(raw: DataFrame) -> DataFrame:
     return cleaning.recode_leftovers(df, codes.SECOND_CODES, codes.SECOND_ORDINALS)
 
 
+def unread_dates(raw: DataFrame, date_formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+    """Dates of the second table that fit none of the formats."""
+    df = cleaning.null_tokens(cleaning.clean_names(raw, codes.SECOND_RENAMES))
+    return cleaning.unparsed_dates(df, ["date_of_last_known_alive", "ct_date"], date_formats)
+
+
 def union_common(first: DataFrame, second: DataFrame) -> DataFrame:
     """All rows of both tables with the columns of the first; repeats stay."""
     return first.unionByName(second.select(*first.columns))

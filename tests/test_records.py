@@ -194,6 +194,31 @@ def test_label_join_multiplies_repeats(spark):
     assert assemble.join_label(features, labels, "id", "y").count() == 4
 
 
+def test_raw_file_with_quotes_dots_and_breaks(spark, tmp_path):
+    (tmp_path / "raw.csv").write_text(
+        'Patient.ID,clinical.T.Stage,Age,Note\nP1,N/A,50,"he said ""no"",\nthen left"\nP2,2,51.5,\n'
+    )
+    raw = tables.read_csv(spark, str(tmp_path / "raw.csv"))
+    clean = tables.infer_types(cleaning.clean_names(raw))
+    assert clean.dtypes == [("patient_id", "string"), ("clinical_t_stage", "double"), ("age", "double"), ("note", "string")]
+    assert sorted(map(tuple, clean.collect())) == [
+        ("P1", None, 50.0, 'he said "no",\nthen left'),
+        ("P2", 2.0, 51.5, None),
+    ]
+    tables.write_csv(raw, str(tmp_path / "again"))
+    assert sorted(tables.read_csv(spark, str(tmp_path / "again")).collect()) == sorted(raw.collect())
+    left = cleaning.recode_leftovers(raw, {"1": "1"}, ["clinical.T.Stage"]).collect()
+    assert [tuple(r) for r in left] == [("clinical.T.Stage", "2", 1)]
+
+
+def test_unread_dates_stop_the_job(spark, tmp_path):
+    second = second_rows(spark)
+    name = next(c for c in second.columns if cleaning.clean_name(c) == "ct_date")
+    odd = second.withColumn(name, F.lit("the 3rd of May"))
+    with pytest.raises(ValueError, match="3rd of May"):
+        jobs.clean_records(first_rows(spark), odd, str(tmp_path))
+
+
 def test_dates_in_several_formats(spark):
     from cohortline.functions.scalars import parse_date
 
