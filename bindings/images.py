@@ -116,9 +116,9 @@ def component_table(spark: SparkSession, sf: str) -> DataFrame:
     moments = components.component_moments(components.label_runs(mask_voxels(spark, sf)))
     return moments.select(
         "volume_id",
-        F.expr("cast(shiftright(component, 40) AS INT)").alias("z"),
-        F.expr("cast(shiftright(component, 20) % 1048576 AS INT)").alias("y"),
-        F.expr("cast(component % 1048576 AS INT)").alias("x"),
+        F.col("component.z").cast("int").alias("z"),
+        F.col("component.y").cast("int").alias("y"),
+        F.col("component.x").cast("int").alias("x"),
         F.col("n").alias("voxels"),
     )
 

@@ -18,13 +18,13 @@ from cohortline.plans.skew import attach
 
 # A component flatter than this share of its length has no elongation.
 FLAT = 1e-9
-# Coordinates below 2**20 pack into one long, in (z, y, x) order.
-_PACK = "shiftleft(cast({z} AS BIGINT), 40) + shiftleft(cast({y} AS BIGINT), 20) + {x}"
 
 
 def voxel_runs(voxels: DataFrame) -> DataFrame:
     """Maximal runs of equal value along x: ``(volume_id, z, y, x0, x1, value, run)``.
 
+    A run is named by its first voxel ``(z, y, x)``.
+
     The window runs over one image row, which is bounded by the image width.
     """
     row = Window.partitionBy("volume_id", "z", "y", "value").orderBy("x")
@@ -36,7 +36,7 @@ def voxel_runs(voxels: DataFrame) -> DataFrame:
     )
     return runs.select(
         "volume_id", "z", "y", "x0", "x1", "value",
-        F.expr(_PACK.format(z="z", y="y", x="x0")).alias("run"),
+        F.struct("z", "y", F.col("x0").alias("x")).alias("run"),
     )
 
 

@@ -113,6 +113,16 @@ def test_components_of_random_volumes(spark):
     assert {r[0]: r[1] for r in sizes.collect()} == {n: flood(a) for n, a in arrays.items()}
 
 
+def test_components_of_far_coordinates(spark):
+    far = 1 << 20
+    voxels = spark.createDataFrame(
+        [("v", 0, 0, 0, 255), ("v", 0, 1, 1, 255), ("v", 0, 0, far, 255), ("v", far + 5, 0, 3, 255)],
+        "volume_id string, z int, y int, x int, value int",
+    )
+    sizes = components.component_moments(components.label_runs(voxels)).select("n").collect()
+    assert sorted(r[0] for r in sizes) == [1, 1, 2]
+
+
 def test_elongation_of_a_tilted_rod(spark):
     rng = np.random.default_rng(1)
     blob = grid((8, 8, 8))
