@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.functions.codes import LASSO_GRID
+from cohortline.functions.codes import LASSO_GRID, MLP_GRID
 from cohortline.operators import assemble, evaluation, explain, prep, splitting, training
 from cohortline.plans import jobs
 from cohortline.plans.durable import freeze, new_path
@@ -14,12 +14,6 @@ from cohortline.plans.durable import freeze, new_path
 BY = ["dataset", "model"]
 # Fixed weights of a linear score.
 WEIGHTS = {"n_chars": 0.5, "n_lines": -0.25, "toxic": 2.0}
-SMALL_NETWORK = {
-    "hiddenLayers": [[16], [16, 8]],
-    "alpha": [0.01],
-    "batchSize": [32, 64],
-    "maxIter": [60],
-}
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -209,11 +203,44 @@ def mlp_cv(spark: SparkSession, sf: str) -> DataFrame:
     rows = _study(spark, sf)
     roles = prep.column_roles(rows, ["doc_id", "death_2years"])
     found = training.grid_search(
-        rows, "mlp", roles, "death_2years", ["doc_id"], SMALL_NETWORK, folds=3, folds_at_once=3
+        rows, "mlp", roles, "death_2years", ["doc_id"], MLP_GRID, folds_at_once=5
     )
     return _flat(found.report)
 
 
+def _binary_study(spark: SparkSession, sf: str) -> DataFrame:
+    """One 0/1 feature, for which the L1 fit has a closed form."""
+    return _table(spark, sf, "labels").select("doc_id", "toxic", F.col("quality").alias("death_2years"))
+
+
+def lasso_binary_cv(spark: SparkSession, sf: str) -> DataFrame:
+    """Report of all loss weights, and the weights of the refitted best model."""
+    rows = _binary_study(spark, sf)
+    roles = prep.column_roles(rows, ["doc_id", "death_2years"])
+    found = training.grid_search(rows, "lreg", roles, "death_2years", ["doc_id"], LASSO_GRID, folds_at_once=5)
+    slope, intercept = found.model.stages[-1].getOrDefault("weights")
+    return found.report.select(
+        F.col("params")["C"].cast("double").alias("c"),
+        F.round("mean_auc", 6).alias("mean_auc"),
+        "rank",
+        F.round(F.lit(slope), 3).alias("best_slope"),
+        F.round(F.lit(intercept), 3).alias("best_intercept"),
+    )
+
+
+def lasso_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Split, tune, save, load, score and explain the L1 model of one feature."""
+    root = new_path(spark, "study")
+    rows = {"documents": lambda: _binary_study(spark, sf)}
+    jobs.train_models(rows, "documents", root, key="doc_id", grids={"lreg": LASSO_GRID}, folds_at_once=5)
+    found = jobs.evaluate_models(spark, "documents", root, key="doc_id", model_types=("lreg",))
+    metrics = found["metrics"].select("dataset", "model", F.col("metric").alias("item"), "value")
+    top = found["top_features"].select(
+        "dataset", "model", F.col("feature").alias("item"), F.round("value", 3).alias("value")
+    )
+    return metrics.unionByName(top)
+
+
 def _trained(spark: SparkSession, sf: str) -> str:
     root = new_path(spark, "study")
     jobs.train_models(
@@ -265,6 +292,8 @@ QUERIES = {
     "shapley_importance": shapley_importance,
     "lasso_cv": lasso_cv,
     "mlp_cv": mlp_cv,
+    "lasso_binary_cv": lasso_binary_cv,
+    "lasso_job": lasso_job,
     "train_score_metrics": train_score_metrics,
     "train_top_features": train_top_features,
 }
@@ -333,6 +362,47 @@ pts AS (
 """
 
 
+# The L1 fit of one 0/1 feature ``x`` and a penalised intercept, for each group ``k``
+# of ``fit_rows`` and each C: every pair of signs (or zeros) of the two weights fixes
+# the chance in both halves, and the feasible pair with the least objective is the fit.
+_CLOSED_FORM = f"""
+grid AS (SELECT unnest({LASSO_GRID["C"]}) AS c, unnest(range(1, {len(LASSO_GRID["C"]) + 1})) AS i),
+cells AS (SELECT k, CAST(sum(1 - x) AS DOUBLE) AS n0, CAST(sum((1 - x) * y) AS DOUBLE) AS p0,
+    CAST(sum(x) AS DOUBLE) AS n1, CAST(sum(x * y) AS DOUBLE) AS p1 FROM fit_rows GROUP BY k),
+signs AS (SELECT * FROM (SELECT unnest([-1, 0, 1]) AS sw), (SELECT unnest([-1, 0, 1]) AS sb)),
+chance AS (SELECT *,
+    CASE WHEN sw <> 0 THEN (p1 - sw / c) / n1 WHEN sb <> 0 THEN (p0 + p1 - sb / c) / (n0 + n1) ELSE 0.5 END AS q1,
+    CASE WHEN sb = 0 THEN 0.5 WHEN sw <> 0 THEN (p0 - (sb - sw) / c) / n0 ELSE (p0 + p1 - sb / c) / (n0 + n1) END AS q0
+    FROM cells, grid, signs),
+found AS (SELECT *, ln(q0 / (1 - q0)) AS b, CASE WHEN sw = 0 THEN 0 ELSE ln(q1 / (1 - q1)) - ln(q0 / (1 - q0)) END AS w
+    FROM chance WHERE q0 > 0 AND q0 < 1 AND q1 > 0 AND q1 < 1),
+fits AS (SELECT k, c, i, arg_min(w, cost) AS w, arg_min(b, cost) AS b
+    FROM (SELECT *, abs(w) + abs(b) + c * (n0 * ln(1 + exp(b)) - p0 * b + n1 * ln(1 + exp(b + w)) - p1 * (b + w)) AS cost
+          FROM found WHERE sign(w) = sw AND sign(b) = sb)
+    GROUP BY k, c, i)
+"""
+
+
+def _folds(rows: str) -> str:
+    """``marked``: the rows with x, y and their fold of five."""
+    return f"""
+dealt_pos AS (SELECT y, (row_number() OVER (ORDER BY y) - 1) % 5 AS fold FROM {rows}),
+fold_size AS (SELECT y, fold, count(*) AS n FROM dealt_pos GROUP BY ALL),
+stops AS (SELECT y, fold, sum(n) OVER (PARTITION BY y ORDER BY fold) AS stop FROM fold_size),
+placed AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY md5('42|' || doc_id)) AS r FROM {rows}),
+marked AS (SELECT x, y, CAST((SELECT min(fold) FROM stops s WHERE s.y = placed.y AND s.stop >= r) AS INTEGER) AS fold
+    FROM placed),
+fit_rows AS (
+    SELECT f.k, x, y FROM marked, (SELECT unnest(range(0, 5)) AS k) f WHERE fold <> k
+    UNION ALL SELECT 5 AS k, x, y FROM marked),
+{_CLOSED_FORM},
+held AS (SELECT fold AS k, avg(x) FILTER (y = 1) AS hit, avg(x) FILTER (y = 0) AS miss FROM marked GROUP BY fold),
+means AS (SELECT c, i, avg(0.5 + sign(w) * (hit - miss) / 2) AS mean_auc FROM fits JOIN held USING (k) GROUP BY c, i),
+ranked_c AS (SELECT c, mean_auc, row_number() OVER (ORDER BY round(mean_auc, 9) DESC, i) AS rank FROM means),
+final AS (SELECT c, w, b FROM fits JOIN ranked_c USING (c) WHERE k = 5 AND rank = 1)
+"""
+
+
 def _shapley() -> str:
     names = ", ".join(f"'{n}'" for n in WEIGHTS)
     values = ", ".join(f"CAST({n} AS DOUBLE)" for n in WEIGHTS)
@@ -425,6 +495,19 @@ ORACLES = {
         WITH cells AS (SELECT label, CAST(unnest(embedding) AS DOUBLE) AS v, unnest(range(0, 64)) AS i FROM embeddings),
         cov AS (SELECT 'e' || lpad(CAST(i AS VARCHAR), 2, '0') AS feature, covar_pop(v, label) AS coefficient FROM cells GROUP BY i)
         SELECT feature, round(coefficient, 6) AS coefficient FROM cov ORDER BY abs(cov.coefficient) DESC, feature LIMIT 10""",
+    "lasso_binary_cv": f"""WITH rows AS (SELECT doc_id, toxic AS x, quality AS y FROM labels), {_folds("rows")}
+        SELECT CAST(r.c AS DOUBLE) AS c, round(mean_auc, 6) AS mean_auc, CAST(rank AS INTEGER) AS rank,
+            round(w, 3) AS best_slope, round(b, 3) AS best_intercept
+        FROM ranked_c r, final""",
+    "lasso_job": f"""WITH {_SPLIT},
+        rows AS (SELECT doc_id, toxic AS x, quality AS y FROM split WHERE split = 'train'), {_folds("rows")},
+        scored AS (SELECT 'Documents' AS dataset, 'LASSO' AS model, quality AS label, b + w * toxic AS score,
+            CASE WHEN b + w * toxic > 0 THEN 1 ELSE 0 END AS prediction FROM split, final WHERE split = 'test'),
+        {_CLASS}, {_AUC}
+        SELECT dataset, model, unnest(['Weighted Accuracy', 'AUC', 'F1 Score']) AS item,
+            unnest([round_even(balanced_accuracy, 2), round_even(auc, 2), round_even(f1, 2)]) AS value
+        FROM met JOIN area USING (dataset, model)
+        UNION ALL SELECT 'documents', 'LASSO', 'toxic', round(w, 3) FROM final""",
     "shapley_linear": f"WITH {_shapley()} SELECT doc_id, feature, round(phi, 6) AS phi FROM phis",
     "shapley_importance": f"""WITH {_shapley()}
         SELECT feature, round(avg(abs(phi)), 6) AS importance FROM phis GROUP BY feature""",

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortline.functions.scalars import let
 from cohortline.plans.durable import freeze
 from cohortline.plans.ordering import running_sums
 
@@ -95,41 +96,43 @@ def medians(df: DataFrame, columns: Sequence[str], margin: float = 0.001) -> dic
     """
     if not columns:
         return {}
-    spark = df.sparkSession
-    cells = _cells(df, columns, []).select("name", "num").filter("num IS NOT NULL")
-    ends = F.percentile_approx("num", [0.5 - margin, 0.5 + margin], round(10 / margin))
-    sketch = cells.groupBy("name").agg(ends.alias("ends")).collect()
-    shape = "name string, low double, high double"
-    brackets = {r["name"]: tuple(r["ends"]) for r in sketch}
+    numbers = {c: F.col(c).cast("double") for c in columns}
+    ends = df.agg(
+        *[
+            F.percentile_approx(v, [0.5 - margin, 0.5 + margin], round(10 / margin)).alias(f"e {c}")
+            for c, v in numbers.items()
+        ]
+    ).first()
+    brackets = {c: tuple(ends[f"e {c}"]) for c in columns if ends[f"e {c}"]}
     if not brackets:
         return {}
-
-    def bracketed(rows: list[tuple], schema: str) -> DataFrame:
-        """Cells with the bracket of their column; one broadcast row per column."""
-        return cells.join(F.broadcast(spark.createDataFrame(rows, schema)), "name")
-
-    within = F.col("num").between(F.col("low"), F.col("high"))
-    sizes = (
-        bracketed([(c, *b) for c, b in brackets.items()], shape)
-        .groupBy("name")
-        .agg(
-            F.count("*").alias("rows"),
-            F.count_if(F.col("num") < F.col("low")).alias("below"),
-            F.count_if(within).alias("held"),
-        )
-        .collect()
-    )
-    places = []
-    for r in sizes:
-        bracket, below = brackets[r["name"]], r["below"]
-        ranks = (r["rows"] + 1) // 2, r["rows"] // 2 + 1
-        if not below < ranks[0] <= ranks[1] <= below + r["held"]:
+    # One row of sums for all columns: nothing is exploded to count.
+    sizes = df.agg(
+        *[
+            f(numbers[c], *bracket).alias(f"{name} {c}")
+            for c, bracket in brackets.items()
+            for name, f in (
+                ("rows", lambda v, low, high: F.count(v)),
+                ("below", lambda v, low, high: F.count_if(v < low)),
+                ("held", lambda v, low, high: F.count_if(v.between(low, high))),
+            )
+        ]
+    ).first()
+    cells = []
+    for c, bracket in brackets.items():
+        rows, below = sizes[f"rows {c}"], sizes[f"below {c}"]
+        ranks = (rows + 1) // 2, rows // 2 + 1
+        if not below < ranks[0] <= ranks[1] <= below + sizes[f"held {c}"]:
             bracket, below = (-float("inf"), float("inf")), 0
-        places.append((r["name"], *bracket, *(rank - below for rank in ranks)))
+        cell = F.struct(
+            F.lit(c).alias("name"),
+            numbers[c].alias("num"),
+            *[F.lit(rank - below).cast("bigint").alias(r) for rank, r in zip(ranks, ("first", "second"))],
+        )
+        cells.append(F.when(numbers[c].between(*bracket), cell))
     counts = (
-        bracketed(places, f"{shape}, first bigint, second bigint")
-        .filter(within)
-        .groupBy("name", "num", "first", "second")
+        df.select(F.explode(F.array_compact(F.array(*cells))).alias("cell"))
+        .groupBy("cell.name", "cell.num", "cell.first", "cell.second")
         .agg(F.count("*").alias("n"))
     )
     upto = running_sums(counts, ["name"], ["num"], {"upto": F.col("n")})
@@ -204,6 +207,12 @@ def one_hot(df: DataFrame, fit_on: DataFrame, columns: Sequence[str]) -> DataFra
     return df.withColumns(marks)
 
 
+def _marked(place: Column, size: int) -> Column:
+    """Array of ``size`` zeros with a one at ``place``; place 0 marks nothing."""
+    places = F.sequence(F.lit(1).cast("bigint"), F.lit(size).cast("bigint"))
+    return let(place, lambda p: F.transform(places, lambda i: (i == p).cast("double")))
+
+
 class _PrepParams(Params):
     numeric = Param(Params._dummy(), "numeric", "scaled columns", TypeConverters.toListString)
     ordinal = Param(Params._dummy(), "ordinal", "coded columns", TypeConverters.toListString)
@@ -247,7 +256,7 @@ class TabularPrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWr
 
 
 class TabularPrepModel(Model, _PrepParams, DefaultParamsReadable, DefaultParamsWritable):
-    """Fitted statistics; applied as plain column expressions."""
+    """Fitted statistics; applied as one expression for each column."""
 
     state = Param(Params._dummy(), "state", "fitted statistics", TypeConverters.toString)
 
@@ -256,30 +265,32 @@ class TabularPrepModel(Model, _PrepParams, DefaultParamsReadable, DefaultParamsW
         super().__init__()
         self._set(**self._input_kwargs)
 
-    def _expressions(self) -> dict[str, Column]:
-        state = json.loads(self.getOrDefault(self.state))
-        columns: dict[str, Column] = {}
-        for c, middle, low, high in state["numeric"]:
-            value = F.coalesce(F.col(c).cast("double"), F.lit(middle))
-            columns[f"numeric__{c}"] = scaled(value, low, high)
-        for c, common in state["ordinal"]:
-            columns[f"ordinal__{c}"] = F.coalesce(F.col(c).cast("double"), F.lit(common))
-        for c, common, known in state["nominal"]:
-            value = F.coalesce(F.col(c), F.lit(common))
-            for category in known:
-                columns[f"nominal__{c}_{category}"] = (value == category).cast("double")
-        return columns
+    def _state(self) -> dict[str, list]:
+        return json.loads(self.getOrDefault(self.state))
 
     def feature_names(self) -> list[str]:
         """Output names in order: numeric, ordinal, nominal."""
-        return list(self._expressions())
+        state = self._state()
+        names = [f"{kind}__{c[0]}" for kind in ("numeric", "ordinal") for c in state[kind]]
+        return names + [f"nominal__{c}_{v}" for c, _, known in state["nominal"] for v in known]
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        columns = self._expressions()
-        output = self.getOrDefault(self.outputCol)
-        attributes = [{"idx": i, "name": n} for i, n in enumerate(columns)]
-        metadata = {"ml_attr": {"attrs": {"numeric": attributes}, "num_attrs": len(columns)}}
-        vector = array_to_vector(F.array(*columns.values()))
+        state, output = self._state(), self.getOrDefault(self.outputCol)
+        numbers = [
+            scaled(F.coalesce(F.col(c).cast("double"), F.lit(middle)), low, high)
+            for c, middle, low, high in state["numeric"]
+        ]
+        numbers += [
+            F.coalesce(F.col(c).cast("double"), F.lit(common)).cast("double") for c, common in state["ordinal"]
+        ]
+        blocks = [F.array(*numbers)] if numbers else []
+        for c, common, known in state["nominal"]:
+            # One look-up for a row and column, however many categories there are.
+            place = F.array_position(F.lit(known), F.coalesce(F.col(c), F.lit(common)))
+            blocks.append(_marked(place, len(known)))
+        attributes = [{"idx": i, "name": n} for i, n in enumerate(self.feature_names())]
+        metadata = {"ml_attr": {"attrs": {"numeric": attributes}, "num_attrs": len(attributes)}}
+        vector = array_to_vector(F.concat(*blocks) if blocks else F.array().cast("array<double>"))
         return dataset.withColumn(output, vector).withMetadata(output, metadata)
 
 

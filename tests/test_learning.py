@@ -33,6 +33,19 @@ def test_split_has_exact_quotas(spark):
     assert sorted(split.collect()) != sorted(other.collect())
 
 
+def test_split_of_repeated_keys_and_missing_labels(spark):
+    df = spark.range(100).selectExpr("1 AS id", "id AS at", "CAST(id % 2 AS INT) AS y")
+    split = splitting.stratified_split(df, "y", ["id"], 0.2)
+    counts = {(r["y"], r["split"]): r["count"] for r in split.groupBy("y", "split").count().collect()}
+    assert counts == {(0, "test"): 10, (0, "train"): 40, (1, "test"): 10, (1, "train"): 40}
+    folds = splitting.stratified_folds(df, "y", ["id"]).groupBy("fold").count().collect()
+    assert sorted(tuple(r) for r in folds) == [(f, 20) for f in range(5)]
+    with pytest.raises(ValueError, match="equal rows"):
+        splitting.stratified_split(df.drop("at"), "y", ["id"], 0.2)
+    with pytest.raises(ValueError, match="have no y"):
+        splitting.stratified_split(df.selectExpr("id", "nullif(y, 1) AS y"), "y", ["id"])
+
+
 def test_quotas_by_largest_remainder():
     assert splitting.test_quotas({0: 5, 1: 5}, 0.5) == {0: 2, 1: 3}
     assert splitting.test_quotas({0: 58, 1: 341}, 0.2) == {0: 12, 1: 68}
@@ -85,6 +98,20 @@ def test_prep_statistics(spark, tmp_path):
     assert vectors == [[0.375, 1.0, 1.0, 0.0, 0.0], [2.0, 0.0, 9.0, 1.0, 0.0]]
 
 
+def test_many_categories_are_one_look_up(spark):
+    df = spark.range(3000).selectExpr("id", "concat('v', id) AS kind", "CAST(id AS DOUBLE) AS size")
+    model = prep.TabularPrep(numeric=["size"], nominal=["kind"]).fit(df)
+    unseen = spark.createDataFrame([(1, "v17", 0.0), (2, "new", 2999.0), (3, None, None)], "id int, kind string, size double")
+    ready = model.transform(unseen)
+    assert len(ready._jdf.queryExecution().analyzed().toString()) < 200_000
+    names = model.feature_names()
+    assert len(names) == 3001 and prep.vector_names(ready) == names
+    rows = {r["id"]: r["features"].toArray() for r in ready.collect()}
+    assert rows[1][names.index("nominal__kind_v17")] == 1 and rows[1].sum() == 1
+    assert rows[2][0] == 1 and rows[2].sum() == 1
+    assert rows[3][names.index("nominal__kind_v0")] == 1
+
+
 def test_exact_median(spark):
     df = spark.range(1, 1001).select((F.col("id") * F.col("id")).cast("double").alias("v"))
     exact = {"v": (500**2 + 501**2) / 2}
@@ -187,16 +214,19 @@ def test_network_gradient():
         assert gradient[j] == pytest.approx((up - down) / 2e-6, abs=1e-6)
 
 
-@pytest.mark.parametrize("rows_per_task", [100_000, 150])
-def test_network_learns_what_is_not_linear(spark, rows_per_task, tmp_path):
+def crossed(spark):
     rng = np.random.default_rng(3)
     x = rng.uniform(-1, 1, size=(400, 2))
     rows = [([float(a), float(b)], int(a * b > 0)) for a, b in x]
     df = spark.createDataFrame(rows, "x array<double>, label int")
-    df = df.withColumn("features", array_to_vector("x"))
-    epochs = 150 if rows_per_task > 400 else 40
+    return df.withColumn("features", array_to_vector("x"))
+
+
+@pytest.mark.parametrize("shards", [1, 3])
+def test_network_learns_what_is_not_linear(spark, shards, tmp_path):
+    df = crossed(spark)
     model = neural.ReluNetwork(
-        hiddenLayers=[24], alpha=1e-4, batchSize=16, maxIter=epochs, rowsPerTask=rows_per_task
+        hiddenLayers=[24], alpha=1e-4, batchSize=16, maxIter=150, shards=shards, roundEpochs=15
     ).fit(df)
     path = str(tmp_path / "net")
     model.write().overwrite().save(path)
@@ -205,6 +235,18 @@ def test_network_learns_what_is_not_linear(spark, rows_per_task, tmp_path):
     assert auc > 0.9
 
 
+def test_network_does_not_depend_on_partitions_and_shares_runs(spark):
+    df = crossed(spark)
+    network = neural.ReluNetwork(hiddenLayers=[6], batchSize=32, shards=2, roundEpochs=4)
+    points = [{"maxIter": 5}, {"maxIter": 9}, {"maxIter": 5, "alpha": 0.1}]
+    first = network.fit_all(df, points)
+    again = network.fit_all(df.repartition(5, "label").orderBy(F.rand(1)), points)
+    alone = [neural.ReluNetwork(hiddenLayers=[6], batchSize=32, shards=2, roundEpochs=4, maxIter=5).fit(df)]
+    weights = [m.getOrDefault(m.weights) for m in (*first, *again, *alone)]
+    assert weights[:3] == weights[3:6]
+    assert weights[0] == weights[6] != weights[1]
+
+
 @pytest.mark.parametrize("model_type", ["lreg", "lreg_wide"])
 def test_grid_search_finds_the_signal(spark, model_type):
     df, _, _ = study(spark)
