@@ -33,7 +33,7 @@ def _files(spark: SparkSession, sf: str) -> DataFrame:
         F.col("embedding").cast("array<double>").alias("cells"),
     )
     order = slice_order(files)
-    return attach(files, order, ["series_id", "file_name"], unique=True).select(
+    return attach(files, order, ["series_id", "file_name"]).select(
         F.col("series_id").alias("volume_id"),
         F.col("z").cast("int").alias("z"),
         F.lit(SIDE).alias("height"),

@@ -248,12 +248,7 @@ def _trained(spark: SparkSession, sf: str) -> str:
         "documents",
         root,
         key="doc_id",
-        folds=2,
-        folds_at_once=2,
-        grids={
-            "lreg": {"C": [1.0, 100.0]},
-            "mlp": {"hiddenLayers": [[16]], "alpha": [0.01], "batchSize": [32], "maxIter": [60]},
-        },
+        folds_at_once=5,
     )
     return root
 

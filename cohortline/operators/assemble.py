@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.functions.scalars import display_name, percent
-from cohortline.plans.skew import split_join
+from cohortline.plans.skew import attach
 
 
 def join_label(features: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
@@ -18,14 +18,14 @@ def join_label(features: DataFrame, labels: DataFrame, key: str, label: str) ->
     Repeated keys multiply on either side.
     """
     known = labels.select(key, label).filter(F.col(label).isNotNull())
-    return split_join(features, known, [key], "inner")
+    return attach(features, known, [key], "inner")
 
 
 def join_features(
     records: DataFrame, features: DataFrame, key: str, label: str = "death_2years"
 ) -> DataFrame:
     """All records; those without features get nulls. The label of the records wins."""
-    return split_join(records, features.drop(label), [key], "left")
+    return attach(records, features.drop(label), [key], "left")
 
 
 def summarise(df: DataFrame, name: str, label: str) -> DataFrame:

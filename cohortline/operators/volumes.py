@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.functions.scalars import let, to_byte
+from cohortline.plans.durable import freeze
 from cohortline.plans.skew import attach
 
 VOXEL = ["volume_id", "z", "y", "x"]
@@ -147,9 +148,9 @@ def sample_image(targets: DataFrame, slices: DataFrame) -> DataFrame:
 
     ``targets`` are rows ``(volume_id, z, y, x, depth, height, width)`` on the
     new grid; ``slices`` are the image slices. The wanted cells of an output
-    slice travel as one row to the one or two image slices that feed it; image
-    slices that feed none are dropped by the join. The four in-plane
-    neighbours are read inside the slice row.
+    slice travel as one row to the one or two image slices that feed it. Image
+    slices that feed none are dropped by their names before pixels move. The
+    four in-plane neighbours are read inside the slice row.
     """
     depths = slices.groupBy("volume_id").agg(F.count("*").cast("long").alias("cz"))
     wanted = targets.groupBy("volume_id", "z").agg(
@@ -181,7 +182,9 @@ def sample_image(targets: DataFrame, slices: DataFrame) -> DataFrame:
             "cells",
         )
     )
-    planes = slices.select(
+    feeds = freeze(feeds)
+    needed = feeds.select("volume_id", "z").distinct()
+    planes = attach(slices, needed, ["volume_id", "z"]).select(
         "volume_id",
         "z",
         "pixels",

@@ -1,21 +1,33 @@
-"""Joins that stay balanced when one key holds a large share of the rows."""
+"""Joins of a large table to a lookup, decided by the measured size of the lookup."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortline.plans.durable import freeze
 
-# A lookup is narrow (a key and a few numbers), so this many rows stay far
-# below the memory of one executor.
-BROADCAST_ROWS = 500_000
-# A key is hot when it holds more than 1/HOT_SHARE of the rows, so there are
-# never more than HOT_SHARE hot keys, whatever the size of the table.
-HOT_SHARE = 1_000
-HOT_ROWS = 100_000
+# A lookup of at most this many bytes is sent to all executors.
+BROADCAST_BYTES = 64 << 20
+# Bytes of a fixed-width value, and of the frame of one without a fixed width.
+_FIXED, _FRAME = 8, 16
+
+
+def _bytes_of(name: str, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(name), F.lit(0)) + _FRAME
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0)) + _FRAME
+    return F.lit(_FIXED)
+
+
+def table_bytes(df: DataFrame) -> int:
+    """Rough size of the rows in memory, in one pass."""
+    row = sum((_bytes_of(f.name, f.dataType) for f in df.schema.fields), F.lit(_FRAME))
+    return df.agg(F.sum(row.cast("long"))).first()[0] or 0
 
 
 def attach(
@@ -23,55 +35,15 @@ def attach(
     lookup: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS,
-    unique: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join a large table to a lookup with one row per key.
+    """Join a large table to a lookup.
 
-    The lookup is written first, so its size is known and not guessed: it is
-    broadcast when small (the large table then does not move at all), and
-    joined with hot keys split otherwise. Keys that are ``unique`` on both
-    sides have no hot ones, so a plain join does.
+    The lookup is written first, so its size is known and not guessed: a small
+    one is broadcast, and the large table then does not move at all. Beyond the
+    bound both sides are shuffled, and adaptive execution splits the partitions
+    of hot keys of the large side.
     """
     lookup = freeze(lookup)
-    if lookup.count() <= broadcast_rows:
-        return df.join(F.broadcast(lookup), list(on), how)
-    return df.join(lookup, list(on), how) if unique else split_join(df, lookup, on, how)
-
-
-def split_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    hot_rows: int = HOT_ROWS,
-    hot_share: int = HOT_SHARE,
-) -> DataFrame:
-    """Inner or left equi-join whose hot left keys are spread over many tasks.
-
-    Each hot key is cut into pieces of about 1/``hot_share`` of the table. The
-    rows of the right side are repeated once per piece, for hot keys only.
-    """
-    if how not in ("inner", "left"):
-        raise ValueError(f"unsupported join type: {how}")
-    on = list(on)
-    sizes = freeze(left.groupBy(*on).agg(F.count("*").alias("__rows")))
-    total = sizes.agg(F.sum("__rows")).first()[0] or 0
-    piece = max(hot_rows, total // hot_share + 1)
-    hot = sizes.filter(F.col("__rows") > piece).select(
-        *on, F.ceil(F.col("__rows") / F.lit(piece)).cast("int").alias("__pieces")
-    )
-    if hot.isEmpty():
-        return left.join(right, on, how)
-    columns = [F.col(c) for c in left.columns]
-    spread = left.join(F.broadcast(hot), on, "left").withColumn(
-        "__piece",
-        F.coalesce(F.pmod(F.xxhash64(*columns), F.col("__pieces")).cast("int"), F.lit(0)),
-    )
-    repeated = right.join(F.broadcast(hot), on, "left").withColumn(
-        "__piece", F.explode(F.sequence(F.lit(0), F.coalesce("__pieces", F.lit(1)) - 1))
-    )
-    joined = spread.drop("__pieces").join(
-        repeated.drop("__pieces"), [*on, "__piece"], how
-    )
-    return joined.drop("__piece")
+    small = table_bytes(lookup) <= broadcast_bytes
+    return df.join(F.broadcast(lookup) if small else lookup, list(on), how)

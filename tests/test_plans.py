@@ -24,24 +24,18 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_split_join_equals_plain_join(skewed, how):
+def test_attach_within_and_beyond_the_bound(skewed, how):
     left, right = skewed
-    split = skew.split_join(left, right, ["k"], how, hot_rows=20, hot_share=10)
-    assert "__piece" in split._jdf.queryExecution().toString()
-    assert rows(split) == rows(left.join(right, ["k"], how).select(*split.columns))
+    plain = rows(left.join(right, ["k"], how).select("k", "v", "w"))
+    small, large = (skew.attach(left, right, ["k"], how, broadcast_bytes=n) for n in (1 << 20, 0))
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().toString()
+    assert rows(small.select("k", "v", "w")) == rows(large.select("k", "v", "w")) == plain
 
 
-def test_attach_beyond_the_broadcast_limit(skewed):
-    left, right = skewed
-    lookup = right.groupBy("k").agg(F.sum("w").alias("w"))
-    assert rows(skew.attach(left, lookup, ["k"], broadcast_rows=0)) == rows(
-        skew.attach(left, lookup, ["k"])
-    )
-
-
-def test_unsupported_join_type(skewed):
-    with pytest.raises(ValueError):
-        skew.split_join(*skewed, ["k"], "right")
+def test_size_of_a_lookup(spark):
+    df = spark.createDataFrame([("ab", 1, [1, 2]), (None, 2, None)], "s string, n int, a array<int>")
+    assert 100 < skew.table_bytes(df) < 200
+    assert skew.table_bytes(df.limit(0)) == 0
 
 
 @pytest.mark.parametrize("group", [[], ["g"]])
