@@ -14,8 +14,9 @@ from cohortline.functions.scalars import (
     years,
 )
 from cohortline.operators import assemble, cleaning, cohort, prep
+from cohortline.plans import jobs
 from cohortline.plans.durable import new_path
-from cohortline.sources import catalogue, tables
+from cohortline.sources import catalogue, registry, tables
 
 OFFSET_DAYS = 30
 PRIORITY_CODES = {
@@ -247,6 +248,38 @@ def dataset_summary(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def study_registry(spark: SparkSession, sf: str) -> DataFrame:
+    """The five datasets of a study, written, opened by name and summarised."""
+    root = new_path(spark, "study")
+    customers = _table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("patient_id"),
+        F.col("c_acctbal").alias("age"),
+        F.col("c_mktsegment").alias("histology"),
+        F.when(F.col("c_nationkey") % 5 != 0, (F.col("c_nationkey") % 4 == 0).cast("int")).alias("death_2years"),
+        F.col("c_custkey").alias("key"),
+    )
+    first = customers.filter("key % 2 = 0").drop("key")
+    second = customers.filter("key % 2 = 1").drop("key")
+    images = customers.filter("key % 3 = 0").select(
+        "patient_id", (F.col("age") * 2).alias("volume"), F.lit(1).alias("death_2years")
+    )
+    tables.write_table(first, f"{root}/clinical1")
+    tables.write_table(second, f"{root}/clinical2")
+    tables.write_table(cohort.union_common(first, second), f"{root}/clinical_joined")
+    tables.write_table(images, f"{root}/image_features")
+    return jobs.datasets_report(registry.study_datasets(spark, root))
+
+
+def first_file(spark: SparkSession, sf: str) -> DataFrame:
+    """All rows of the first shipped part of each order, as frames of a series' first file."""
+    lines = _table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("series_id"),
+        F.lpad(F.col("l_partkey").cast("string"), 8, "0").alias("file_name"),
+        F.col("l_linenumber").alias("frame"),
+    )
+    return catalogue.first_file(lines)
+
+
 def display_names(spark: SparkSession, sf: str) -> DataFrame:
     """Feature names as shown in a report, from the distinct brands of the parts."""
     part = _table(spark, sf, "part").select("p_brand", "p_type").distinct()
@@ -315,6 +348,8 @@ QUERIES = {
     "display_names": display_names,
     "csv_roundtrip": csv_roundtrip,
     "raw_csv": raw_csv,
+    "study_registry": study_registry,
+    "first_file": first_file,
 }
 
 _CATALOGUE = """
@@ -418,6 +453,18 @@ ORACLES = {
     "csv_roundtrip": """
         SELECT o_orderkey, o_orderstatus, o_totalprice, nullif(o_orderpriority, '5-LOW') AS o_orderpriority,
             o_totalprice AS inferred_price FROM orders""",
+    "study_registry": f"""WITH
+        rows AS (SELECT c_custkey AS key, CASE WHEN c_nationkey % 5 <> 0 THEN CAST(c_nationkey % 4 = 0 AS INTEGER) END AS label
+            FROM customer)
+        {_summary("Clinical1", 2, "SELECT label FROM rows WHERE key % 2 = 0")}
+        UNION ALL {_summary("Clinical2", 2, "SELECT label FROM rows WHERE key % 2 = 1")}
+        UNION ALL {_summary("Clinical Joined", 2, "SELECT label FROM rows")}
+        UNION ALL {_summary("Image Features", 1, "SELECT 1 AS label FROM rows WHERE key % 3 = 0")}
+        UNION ALL {_summary("Full Data", 3, "SELECT label FROM rows")}""",
+    "first_file": """
+        SELECT l_orderkey AS series_id, lpad(CAST(l_partkey AS VARCHAR), 8, '0') AS file_name, l_linenumber AS frame
+        FROM lineitem
+        QUALIFY l_partkey = min(l_partkey) OVER (PARTITION BY l_orderkey)""",
     "raw_csv": """
         SELECT CAST(c_custkey AS VARCHAR) AS patient_id, c_acctbal AS age_at_histology_x,
             c_name || ' said "yes",' || chr(10) || ' then left' AS note,
