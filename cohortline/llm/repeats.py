@@ -22,6 +22,7 @@ splits, while all others are sorted where their trigger is.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -118,10 +119,12 @@ def _pieces(text: bytes) -> list[bytes]:
     return [text[i : i + _SLICE + LENGTH - 1] for i in range(0, len(text) - LENGTH + 1, _SLICE)]
 
 
-def _slices(part: pa.RecordBatch) -> Iterator[tuple[list[int], list[bytes]]]:
+def _slices(part: pa.RecordBatch, wanted: np.ndarray | None = None) -> Iterator[tuple[list[int], list[bytes]]]:
     """Rows and texts of slices of about ``_SLICE`` bytes; a long text gives several pieces."""
     rows, texts, size = [], [], 0
     for row, text in enumerate(part["text"]):
+        if wanted is not None and not wanted[row]:
+            continue
         for piece in _pieces((text.as_py() or "").encode("utf-8", "replace")):
             rows.append(row)
             texts.append(piece)
@@ -176,7 +179,7 @@ def repeated_phrases(texts: DataFrame) -> tuple[DataFrame, list[int]]:
         .withColumn("least", F.min("doc").over(by_phrase))
         .withColumn("shared", F.min("phrase").over(by_trigger) != F.max("phrase").over(by_trigger))
     )
-    warm = rows.filter(known)
+    warm = freeze(rows.filter(known))
     least = warm.groupBy("trigger", "phrase").agg(F.min("doc").alias("least"))
     warm = warm.join(least, ["trigger", "phrase"]).withColumn("shared", F.lit(True))
     every = cold.unionByName(warm) if hot else cold
@@ -213,7 +216,7 @@ def repeated_stretches(texts: DataFrame, shared: DataFrame, hot: list[int]) -> D
                 )
 
     schema = "trigger long, doc long, stretches array<long>"
-    expanded = texts.join(wanted, "doc").mapInArrow(expand, schema)
+    expanded = freeze(texts.join(wanted, "doc").mapInArrow(expand, schema))
     known = F.col("trigger").isin(hot) if hot else F.lit(False)
     one = F.explode("stretches").alias("stretch")
     by_stretch = Window.partitionBy("trigger", "stretch")
@@ -223,28 +226,46 @@ def repeated_stretches(texts: DataFrame, shared: DataFrame, hot: list[int]) -> D
         .withColumn("least", F.min("doc").over(by_stretch))
     )
     if hot:
-        expanded = freeze(expanded.filter(known).select("trigger", "doc", one))
-        least = expanded.groupBy("trigger", "stretch").agg(F.min("doc").alias("least"))
-        cold = cold.unionByName(expanded.join(least, ["trigger", "stretch"]))
+        warm = expanded.filter(known).select("trigger", "doc", one)
+        least = warm.groupBy("trigger", "stretch").agg(F.min("doc").alias("least"))
+        cold = cold.unionByName(warm.join(least, ["trigger", "stretch"]))
     later = cold.filter("doc > least").select("doc", "stretch")
     return freeze(later).groupBy("doc").agg(F.collect_set("stretch").alias("stretches"))
 
 
-def _removed(text: bytes, phrases: np.ndarray, stretches: np.ndarray) -> np.ndarray:
-    """Mask of the bytes of a text in the given phrases and stretches."""
-    change = np.zeros(len(text) + 1, np.int32)
-    offset = 0
-    for piece in _pieces(text):
-        found = Parse([piece])
-        hit = np.flatnonzero(np.isin(found.phrase.view(np.int64), phrases))
-        np.add.at(change, found.at[found.first[hit]] + offset, 1)
-        np.add.at(change, found.at[found.last[hit]] + LENGTH + offset, -1)
-        if len(stretches):
-            at = found.at[np.isin(found.stretches().view(np.int64), stretches)] + offset
-            np.add.at(change, at, 1)
-            np.add.at(change, at + LENGTH, -1)
-        offset += _SLICE
-    return np.cumsum(change[:-1]) > 0
+def _removed(part: pa.RecordBatch, phrases: list[np.ndarray], stretches: list[np.ndarray]) -> dict[int, np.ndarray]:
+    """Masks of the bytes that go, by row, for the rows that lose any; rows name their phrases and stretches."""
+    wanted = np.array([len(a) + len(b) > 0 for a, b in zip(phrases, stretches, strict=True)])
+    masks: dict[int, np.ndarray] = {}
+    pieces_of: Counter[int] = Counter()
+    for rows, pieces in _slices(part, wanted):
+        found = Parse(pieces)
+        hashes = found.stretches().view(np.int64) if any(len(stretches[r]) for r in rows) else None
+        by_phrase = np.searchsorted(found.phrase_row, np.arange(len(rows) + 1))
+        by_stretch = np.searchsorted(found.row, np.arange(len(rows) + 1))
+        begins, ends = [], []
+        for i, row in enumerate(rows):
+            own = slice(by_phrase[i], by_phrase[i + 1])
+            hit = np.flatnonzero(np.isin(found.phrase[own].view(np.int64), phrases[row])) + own.start
+            begins.append(found.at[found.first[hit]])
+            ends.append(found.at[found.last[hit]] + LENGTH)
+            if len(stretches[row]):
+                own = slice(by_stretch[i], by_stretch[i + 1])
+                at = found.at[own][np.isin(hashes[own], stretches[row])]
+                begins.append(at)
+                ends.append(at + LENGTH)
+        size = sum(map(len, pieces)) + 1
+        change = np.bincount(np.concatenate(begins), minlength=size) - np.bincount(np.concatenate(ends), minlength=size)
+        gone = np.cumsum(change) > 0
+        for row, piece, start in zip(rows, pieces, found.starts.tolist(), strict=True):
+            offset = pieces_of[row] * _SLICE
+            pieces_of[row] += 1
+            mine = gone[start : start + len(piece)]
+            if mine.any():
+                if row not in masks:
+                    masks[row] = np.zeros(len(part["text"][row].as_py().encode("utf-8", "replace")), bool)
+                masks[row][offset : offset + len(piece)] |= mine
+    return masks
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -264,13 +285,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.empty(0, np.int64)
         for part in parts:
+            lists = [
+                [x.values.to_numpy() if x.is_valid else none for x in part[name]] for name in ("phrases", "stretches")
+            ]
+            masks = _removed(part, *lists)
             out: list[list] = [[], [], [], []]
-            for text, whole, some in zip(part["text"], part["phrases"], part["stretches"], strict=True):
+            for row, text in enumerate(part["text"]):
                 data = (text.as_py() or "").encode("utf-8", "replace")
-                lists = [x.values.to_numpy() if x.is_valid else none for x in (whole, some)]
                 kept, gone, spans = data, 0, 0
-                if len(lists[0]) or len(lists[1]):
-                    mask = _removed(data, *lists)
+                if row in masks:
+                    mask = masks[row]
                     kept = np.frombuffer(data, np.uint8)[~mask].tobytes()
                     gone = int(mask.sum())
                     spans = int(mask[0]) + int((mask[1:] & ~mask[:-1]).sum())

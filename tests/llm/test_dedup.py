@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -176,4 +177,7 @@ def test_repeats_with_hot_triggers_and_small_slices(spark, monkeypatch):
     pieces = repeats._pieces(items[60][1].encode())
     assert len(pieces) > 5
     phrases = np.concatenate([repeats.Parse([p]).phrase for p in pieces]).view(np.int64)
-    assert repeats._removed(items[60][1].encode(), phrases, np.empty(0, np.int64)).all()
+    part = pa.RecordBatch.from_pydict({"text": [items[60][1], "x" * 60, None]})
+    none = np.empty(0, np.int64)
+    masks = repeats._removed(part, [phrases, none, none], [none, none, none])
+    assert set(masks) == {0} and masks[0].all() and len(masks[0]) == 500
