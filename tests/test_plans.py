@@ -1,13 +1,14 @@
 """Skew-safe joins and running totals against plain versions."""
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortline.plans import skew
-from cohortline.plans.durable import freeze, shared_folder
+from cohortline.plans.durable import at_once, freeze, own_tables, shared_folder
 from cohortline.plans.ordering import row_index, running_sums
 
 
@@ -57,3 +58,14 @@ def test_frozen_tables_live_in_the_shared_folder(spark):
     frozen = freeze(spark.range(3))
     assert frozen.count() == 3
     assert shared_folder(spark).removeprefix("file:") in frozen.inputFiles()[0]
+
+
+def test_tables_of_a_job_go_when_it_ends(spark):
+    with own_tables(spark):
+        inside = freeze(spark.range(3)).inputFiles()[0]
+        with own_tables(spark):
+            deeper = at_once(spark, lambda: freeze(spark.range(2)))[0].inputFiles()[0]
+        assert not Path(deeper.removeprefix("file://")).exists()
+        assert Path(inside.removeprefix("file://")).exists()
+    assert not Path(inside.removeprefix("file://")).exists()
+    assert freeze(spark.range(3)).count() == 3
