@@ -170,7 +170,7 @@ def _linear_shapley(spark: SparkSession, sf: str) -> DataFrame:
     rows = assemble.join_label(documents, _table(spark, sf, "labels"), "doc_id", "toxic")
     x = rows.select("doc_id", F.array(*[F.col(c).cast("double") for c in WEIGHTS]).alias("x"))
     predict = explain.linear_predictor(list(WEIGHTS.values()))
-    return explain.shapley_values(x, predict, list(WEIGHTS), ["doc_id"])
+    return explain.shapley_values(x, predict, list(WEIGHTS), ["doc_id"], permutations=16)
 
 
 def shapley_linear(spark: SparkSession, sf: str) -> DataFrame:
@@ -256,7 +256,7 @@ def _trained(spark: SparkSession, sf: str) -> str:
 def train_score_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Split, tune, save, load, score and report both models of a dataset."""
     root = _trained(spark, sf)
-    jobs.evaluate_models(spark, "documents", root, key="doc_id")
+    jobs.evaluate_models(spark, "documents", root, key="doc_id", draws=100)
     wide = jobs.results_report(spark, ["documents"], root)
     return wide.toDF(*[c.lower().replace(" ", "_") for c in wide.columns])
 
@@ -264,7 +264,7 @@ def train_score_metrics(spark: SparkSession, sf: str) -> DataFrame:
 def train_top_features(spark: SparkSession, sf: str) -> DataFrame:
     """The ten leading features of both trained models."""
     root = _trained(spark, sf)
-    tables = jobs.evaluate_models(spark, "documents", root, key="doc_id")
+    tables = jobs.evaluate_models(spark, "documents", root, key="doc_id", draws=100)
     return tables["top_features"]
 
 
