@@ -18,6 +18,7 @@ the path of such a short stretch is kept for the next time it is met.
 
 from __future__ import annotations
 
+from array import array
 from functools import cache
 
 import numpy as np
@@ -32,7 +33,7 @@ MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 CHUNK = 64
 # Stretches whose encoding is kept, and pairs whose verdict is kept.
-KEPT = 1 << 19
+KEPT = 1 << 20
 # Where pieces may be cut: before the blank of a word, and between letters and
 # anything else; each with what no piece of a model may hold for that.
 _WORDS = regex.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+"), regex.compile(f"[^{BLANK}]{BLANK}")
@@ -80,6 +81,8 @@ class Encoder:
         self.kept: dict[str, bytes] = {}
         self.spelled = {i: p for p, (i, _) in scores.items()}
         self.byte_of = {i: b for b, i in enumerate(byte_ids)}
+        # Ids that stand for the same text wherever they are.
+        self.plain = self.spelled | {i: chr(b) for b, i in enumerate(byte_ids) if b < 128}
 
     @classmethod
     def load(cls, path: str) -> Encoder:
@@ -147,18 +150,18 @@ class Encoder:
         """
         first, at = entry
         reached = {at: (0.0, first)}
-        matches, size = self.matches, len(text)
+        matches, apart, size = self.matches.get, self.apart, len(text)
         for start in range(at, right):
-            here = reached.get(start)
-            if here is None:
+            if start not in reached:
                 continue
-            value, begin = here
+            value, begin = reached[start]
             before = text[begin:start]
-            verdicts = self.apart.setdefault(before, {})
-            end = start + 1
-            while end <= size:
+            verdicts = apart.get(before)
+            if verdicts is None:
+                verdicts = apart[before] = {}
+            for end in range(start + 1, size + 1):
                 piece = text[start:end]
-                match = matches.get(piece)
+                match = matches(piece)
                 if match or end == start + 1:
                     step = verdicts.get(piece)
                     if step is None:
@@ -167,7 +170,6 @@ class Encoder:
                         reached[end] = (value + step, start)
                 if match is None:
                     break
-                end += 1
         return reached
 
     def transfer(self, text: str, entry: list[Edge], exit_: list[Edge], left: int, right: int) -> np.ndarray:
@@ -218,7 +220,7 @@ class Encoder:
         for piece in self.path(stretch):
             found = self.scores.get(piece)
             ids += [found[0]] if found else [self.byte_ids[b] for b in piece.encode("utf-8", "replace")]
-        return np.array(ids, np.int32).tobytes()
+        return array("i", ids).tobytes()
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a text, without begin or end; none for null and empty texts."""
@@ -239,6 +241,12 @@ class Encoder:
 
     def decode(self, ids: np.ndarray | list[int]) -> str:
         """Text of ids; invalid bytes become U+FFFD, ids without a piece are left out."""
+        try:
+            text = "".join([self.plain[i] for i in np.asarray(ids).tolist()]).replace(BLANK, " ")
+            return text[1:] if text.startswith(" ") else text
+        except KeyError:
+            # Characters of several bytes, or ids without a piece, take the longer way.
+            pass
         parts, held = [], bytearray()
         for i in np.asarray(ids).tolist():
             byte = self.byte_of.get(i)
@@ -290,6 +298,25 @@ def piece_text(ids: Column, path: str | None = None) -> Column:
     return decode(ids)
 
 
+def checked_ids(text: Column, path: str | None = None) -> Column:
+    """``ids`` of a text column, and ``same``: whether decoding them gives the text back."""
+
+    @F.arrow_udf("ids array<int>, same boolean")
+    def encode(texts: pa.Array) -> pa.Array:
+        own = _model(path)
+        found, same = [], []
+        for text in texts:
+            said = text.as_py() or ""
+            ids = own.encode(said)
+            found.append(ids)
+            same.append(own.decode(ids) == said)
+        ends = np.cumsum([0, *map(len, found)])
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), np.concatenate([*found, np.empty(0, np.int32)]))
+        return pa.StructArray.from_arrays([ids, pa.array(same, pa.bool_())], ["ids", "same"])
+
+    return encode(text)
+
+
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``docs`` with ``piece_ids``, ``n_pieces`` and ``round_trip``.
 
@@ -297,13 +324,11 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     for texts that hold the blank mark itself. Null counts as empty. Columns of
     these names are replaced; repeated rows give repeated results.
     """
-    encoded = docs.withColumn("piece_ids", piece_ids(F.col("text"), path))
-    return encoded.withColumns(
-        {
-            "n_pieces": F.size("piece_ids").cast("long"),
-            "round_trip": piece_text(F.col("piece_ids"), path) == F.coalesce(F.col("text"), F.lit("")),
-        }
+    encoded = docs.withColumn("piece_ids", checked_ids(F.col("text"), path))
+    found = encoded.withColumns(
+        {"n_pieces": F.size("piece_ids.ids").cast("long"), "round_trip": F.col("piece_ids.same")}
     )
+    return found.withColumn("piece_ids", F.col("piece_ids.ids"))
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
