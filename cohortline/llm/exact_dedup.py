@@ -29,10 +29,6 @@ def _shape(text: Column) -> list[Column]:
     ]
 
 
-def _crowded(rows: DataFrame, *keys: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys)
-
-
 def exact_duplicates(docs: DataFrame, digest: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
@@ -44,17 +40,18 @@ def exact_duplicates(docs: DataFrame, digest: bool = False) -> DataFrame:
     """
     texts = docs.select("doc_id", normalised(F.col("text")).alias("text"))
     shaped = texts.select("doc_id", "text", *_shape(F.col("text")))
-    shapes = freeze(shaped.select("doc_id", "size", "prefix"))
-    lengths = _crowded(shapes, "size")
+    # Rows of one shape are counted where they are read, so copies move as one row.
+    shapes = freeze(shaped.groupBy("size", "prefix").agg(F.count("*").alias("n")))
+    lengths = shapes.groupBy("size").agg(F.sum("n").alias("rows")).filter("rows > 1")
     crowds = freeze(
-        _crowded(shapes.join(lengths, "size", "left_semi"), "size", "prefix").select(
+        shapes.join(lengths, "size", "left_semi").filter("n > 1").select(
             F.col("size").alias("c_size"), F.col("prefix").alias("c_prefix")
         )
     )
     near = F.broadcast(crowds) if small_enough(crowds, 32) else crowds
     match = (F.col("size") == F.col("c_size")) & (F.col("prefix") == F.col("c_prefix"))
     full = F.sha2("text", 256)
-    alone = (shaped if digest else shapes).join(near, match, "left_anti").select(
+    alone = shaped.join(near, match, "left_anti").select(
         "doc_id",
         F.col("doc_id").alias("keep_id"),
         F.lit(1).cast("long").alias("group_size"),
