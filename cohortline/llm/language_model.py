@@ -70,6 +70,18 @@ def _counted(held: Counter[bytes]) -> pa.RecordBatch:
     )
 
 
+def frequent_words(counts: DataFrame, distinct: int, most: int) -> list[tuple[bytes, int]]:
+    """The most frequent words with their counts, at most ``most``; none of several that tie at the end.
+
+    Rarer words are filtered out where they are, so about ``most`` rows reach the
+    driver, however many tasks there are.
+    """
+    if distinct > most:
+        least = counts.agg(F.percentile_approx("c", 1 - most / distinct, 100_000)).first()[0]
+        counts = counts.filter(F.col("c") > least)
+    return [(bytes(w), c) for w, c in counts.orderBy(F.desc("c"), "word").limit(most).collect()]
+
+
 class Vocabulary:
     """Counts and classes of the most frequent words; all others are the tail."""
 
@@ -256,8 +268,7 @@ def model_scores(docs: DataFrame, texts: DataFrame) -> DataFrame:
     """
     counts = freeze(word_counts(texts))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    head = counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()
-    vocabulary = Vocabulary([(bytes(w), c) for w, c in head], total, distinct)
+    vocabulary = Vocabulary(frequent_words(counts, distinct, HEAD), total, distinct)
     model = train(texts, vocabulary)
     sent = docs.sparkSession.sparkContext.broadcast((vocabulary, model))
     kind = docs.schema["doc_id"].dataType.simpleString()
