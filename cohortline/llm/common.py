@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortline.plans.durable import freeze
+
 # Largest table, in serialised bytes, that an operator broadcasts.
 BROADCAST_BYTES = 64 << 20
 
@@ -26,6 +28,17 @@ def crc_remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """Write ``df`` once and return the written table, without keeping what was shuffled for it."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, None)
+    conf.set(name, "true")
+    try:
+        return freeze(df)
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
+
+
 def small_enough(df: DataFrame, row_bytes: int) -> bool:
     """Whether a written table of rows of at most ``row_bytes`` may be broadcast."""
     return df.count() * row_bytes <= BROADCAST_BYTES

@@ -30,15 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import table
-from cohortline.plans.durable import freeze
+from cohortline.llm.common import settle, table
 
 LENGTH = 50
 GRAM = 16
 # A trigger is hot when it may hold this share of the parse.
 HOT_SHARE = 1 / 2_000
 # Bytes that are parsed at a time.
-_SLICE = 1 << 22
+_SLICE = 1 << 20
 _BITS = 24
 
 _rng = np.random.default_rng(50)
@@ -179,12 +178,12 @@ def repeated_phrases(texts: DataFrame) -> tuple[DataFrame, list[int]]:
         .withColumn("least", F.min("doc").over(by_phrase))
         .withColumn("shared", F.min("phrase").over(by_trigger) != F.max("phrase").over(by_trigger))
     )
-    warm = freeze(rows.filter(known))
+    warm = settle(rows.filter(known))
     least = warm.groupBy("trigger", "phrase").agg(F.min("doc").alias("least"))
     warm = warm.join(least, ["trigger", "phrase"]).withColumn("shared", F.lit(True))
     every = cold.unionByName(warm) if hot else cold
     whole = F.col("doc") > F.col("least")
-    return freeze(every.filter(whole | F.col("shared")).select("doc", "phrase", whole.alias("whole"))), hot
+    return settle(every.filter(whole | F.col("shared")).select("doc", "phrase", whole.alias("whole"))), hot
 
 
 def repeated_stretches(texts: DataFrame, shared: DataFrame, hot: list[int]) -> DataFrame:
@@ -216,7 +215,7 @@ def repeated_stretches(texts: DataFrame, shared: DataFrame, hot: list[int]) -> D
                 )
 
     schema = "trigger long, doc long, stretches array<long>"
-    expanded = freeze(texts.join(wanted, "doc").mapInArrow(expand, schema))
+    expanded = settle(texts.join(wanted, "doc").mapInArrow(expand, schema))
     known = F.col("trigger").isin(hot) if hot else F.lit(False)
     one = F.explode("stretches").alias("stretch")
     by_stretch = Window.partitionBy("trigger", "stretch")
@@ -230,7 +229,7 @@ def repeated_stretches(texts: DataFrame, shared: DataFrame, hot: list[int]) -> D
         least = warm.groupBy("trigger", "stretch").agg(F.min("doc").alias("least"))
         cold = cold.unionByName(warm.join(least, ["trigger", "stretch"]))
     later = cold.filter("doc > least").select("doc", "stretch")
-    return freeze(later).groupBy("doc").agg(F.collect_set("stretch").alias("stretches"))
+    return settle(later).groupBy("doc").agg(F.collect_set("stretch").alias("stretches"))
 
 
 def _removed(part: pa.RecordBatch, phrases: list[np.ndarray], stretches: list[np.ndarray]) -> dict[int, np.ndarray]:
