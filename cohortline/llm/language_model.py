@@ -1,14 +1,18 @@
 """Text scores of a log-bilinear model trained by noise-contrastive estimation.
 
-Everything that is learned comes from all training texts. Words are counted, the
-most frequent ones become classes of their own, other frequent ones share classes
-of equal mass, and all rarer and unknown words share the last class. Class
-triples are counted over every training token; the log-bilinear model predicts a
-class from the two before it and is fitted on these counts in numpy, with noise
-drawn from the class frequencies. Batched matrix products then give normalised
-log-probabilities of all classes after all pairs. The probability of a word is
-that of its class times its share of the class, so all words together, unknown
-ones included, have probability one.
+Everything that is learned comes from all training texts. Words are counted; each
+of the ``HEAD`` most frequent ones has a source vector for either place before a
+token, a target vector and a bias of its own, and all rarer and unknown words
+share those of the tail. A log-bilinear model of class triples, fitted on their
+counts, gives the vectors to begin with. Spark passes over every training token
+then train them: a task starts from the vectors sent to it, goes through its
+tokens in batches with noise drawn from the word frequencies, and hands on what
+it changed; the changes are averaged by blocks of words.
+
+Head words lie in groups of at most ``GROUP``. The probability of a word is that
+of its group after the two words before it times that of the word in its group,
+both normalised by batched matrix products, so all words together, unknown ones
+included, have probability one.
 
 Counts of the most frequent words travel with the tasks. Rarer words are looked
 up by a join; no key of it is hot, since frequent words are not in it.
@@ -21,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +40,9 @@ END = b""
 _END, _TAIL = CLASSES - 2, CLASSES - 1
 _DIM, _STEPS, _BATCH, _NOISE, _RATE = 32, 2_000, 2_048, 64, 0.01
 _SMOOTH = 0.1
+# Words of a group, passes over the training tokens, and what a pass works with.
+GROUP, PASSES = 256, 1
+_TOKENS, _WORD_NOISE, _STEP, _BLOCK = 4_096, 64, 0.05, 4_096
 # Distinct keys that a task counts before it hands them on.
 _HELD = 1 << 18
 _SEED = 29
@@ -102,9 +110,10 @@ class Vocabulary:
             self.classes[shared] = SINGLE + (passed / weight[shared].sum() * SHARED).astype(int)
         if end >= 0:
             self.classes[end] = _END
-        sums = np.bincount(self.classes[:-1], weight[:-1], CLASSES)
+        sums = np.bincount(self.classes[:-1], weight[:-1], CLASSES).astype(np.float64)
         sums[_TAIL] = max(self.mass - weight[:-1].sum(), _SMOOTH)
         self.used = sums > 0
+        self.weight, self.sums = weight, sums
         self.base = np.log10(weight / self.mass)
         self.share = np.log10(weight) - np.log10(np.where(self.used, sums, 1))[self.classes]
         # A tail word adds the logarithm of its own weight later.
@@ -258,6 +267,205 @@ def train(texts: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
     return model
 
 
+class WordModel:
+    """Vectors of all head words, of the tail and of the start of a text, in groups of words.
+
+    ``source`` has a row for each head word, the tail and the start, for either
+    place; ``target`` has one for each head word and ``top`` one for each group.
+    The last column of ``target`` and ``top`` is the bias.
+    """
+
+    names = ("source0", "source1", "target", "top")
+
+    def __init__(self, known: Vocabulary, classes: LogBilinear) -> None:
+        head = len(known.index)
+        self.tail, self.start = head, head + 1
+        self.group = np.zeros(head + 1, np.int64)
+        self.members: list[np.ndarray] = []
+        first, mass = [], []
+        for c in np.flatnonzero(known.used):
+            words_ = np.flatnonzero(known.classes[:-1] == c)
+            for start in range(0, len(words_), GROUP) if c != _TAIL else (0,):
+                some = words_[start : start + GROUP] if c != _TAIL else words_[:0]
+                self.group[some if c != _TAIL else [head]] = len(first)
+                self.members.append(some)
+                first.append(c)
+                mass.append(known.weight[some].sum() if c != _TAIL else known.sums[c])
+        first, mass = np.array(first), np.array(mass)
+        self.unigram = mass / mass.sum()
+        # Only words that share a group are told apart by a second step.
+        alone = np.array([len(m) < 2 for m in self.members])
+        self.shared = ~alone[self.group]
+        weight = np.where(self.shared, known.weight, 0)[:-1]
+        self.words = weight / max(weight.sum(), 1e-300)
+        rows = np.concatenate([known.classes, [_END]])
+        for place in (0, 1):
+            setattr(self, f"source{place}", (classes.source[place] * classes.place[place])[rows].astype(np.float32))
+        bias = classes.bias[first] + np.log(mass / known.sums[first])
+        self.top = np.column_stack([classes.target[first], bias]).astype(np.float32)
+        rng = np.random.default_rng(_SEED)
+        with np.errstate(divide="ignore"):
+            bias = np.where(self.shared[:-1], np.log(self.words), 0)
+        self.target = np.column_stack([rng.normal(0, 0.01, (head, _DIM)), bias]).astype(np.float32)
+
+    def contexts(self, index: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The two words before each token; texts begin after two starts."""
+        before = np.concatenate([[self.start], index[:-1]])
+        before[starts] = self.start
+        earlier = np.concatenate([[self.start], before[:-1]])
+        earlier[starts] = self.start
+        return earlier, before
+
+    def log_probabilities(self, index: np.ndarray, earlier: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """``log10`` of each word after its two; of a tail word, that of the whole tail."""
+        parts = [self._logs(*(x[i : i + (1 << 17)] for x in (index, earlier, before))) for i in range(0, len(index), 1 << 17)]
+        return np.concatenate(parts) / np.log(10) if parts else np.empty(0)
+
+    def _logs(self, index: np.ndarray, earlier: np.ndarray, before: np.ndarray) -> np.ndarray:
+        pairs, which = np.unique(earlier * (self.start + 1) + before, return_inverse=True)
+        hidden = self.source0[pairs // (self.start + 1)] + self.source1[pairs % (self.start + 1)]
+        hidden = np.column_stack([hidden, np.ones(len(hidden), np.float32)])
+        sums = np.concatenate([_log_sums(hidden[i : i + 4096] @ self.top.T) for i in range(0, len(hidden), 4096)])
+        group = self.group[index]
+        logs = np.einsum("ij,ij->i", hidden[which], self.top[group]).astype(np.float64) - sums[which]
+        chosen = np.flatnonzero(self.shared[index])
+        chosen = chosen[np.argsort(group[chosen], kind="stable")]
+        groups, at = np.unique(group[chosen], return_index=True)
+        for g, some in zip(groups.tolist(), np.split(chosen, at[1:]), strict=False):
+            rows, back = np.unique(which[some], return_inverse=True)
+            scores = hidden[rows] @ self.target[self.members[g]].T
+            sums = _log_sums(scores.copy())
+            logs[some] += scores[back, np.searchsorted(self.members[g], index[some])] - sums[back]
+        return logs
+
+
+def _log_sums(scores: np.ndarray) -> np.ndarray:
+    top = scores.max(1, keepdims=True)
+    scores -= top
+    return (top[:, 0] + np.log(np.exp(scores, out=scores).sum(1))).astype(np.float64)
+
+
+class Learner:
+    """Noise-contrastive training of a copy of the vectors, with a step for each row by its past gradients."""
+
+    def __init__(self, model: WordModel, seed: int = 0) -> None:
+        self.model = model
+        self.own = {n: getattr(model, n).copy() for n in model.names}
+        self.past = {n: np.full(len(x), 1e-6, np.float32) for n, x in self.own.items()}
+        self.times = {n: np.zeros(len(x), np.int64) for n, x in self.own.items()}
+        self.rng = np.random.default_rng([_SEED, seed])
+        self.top_upto, self.upto = np.cumsum(model.unigram), np.cumsum(model.words)
+        with np.errstate(divide="ignore"):
+            self.top_shift = np.log(_NOISE * model.unigram).astype(np.float32)
+            self.shift = np.log(_WORD_NOISE * model.words).astype(np.float32)
+
+    def learn(self, index: np.ndarray, earlier: np.ndarray, before: np.ndarray) -> None:
+        """One pass over the tokens."""
+        for i in range(0, len(index), _TOKENS):
+            self._batch(*(x[i : i + _TOKENS] for x in (index, earlier, before)))
+
+    def _batch(self, index: np.ndarray, earlier: np.ndarray, before: np.ndarray) -> None:
+        own, known = self.own, self.model
+        hidden = own["source0"][earlier] + own["source1"][before]
+        hidden = np.column_stack([hidden, np.ones(len(hidden), np.float32)])
+        back = self._contrast("top", known.group[index], hidden, self.top_upto, self.top_shift, _NOISE)
+        rows = np.flatnonzero(known.shared[index])
+        if len(rows):
+            back[rows] += self._contrast("target", index[rows], hidden[rows], self.upto, self.shift, _WORD_NOISE)
+        self._move("source0", earlier, back[:, :-1])
+        self._move("source1", before, back[:, :-1])
+
+    def _contrast(
+        self, name: str, truth: np.ndarray, hidden: np.ndarray, upto: np.ndarray, shift: np.ndarray, times: int
+    ) -> np.ndarray:
+        """Tell the true rows from noise; the gradient of ``hidden``."""
+        table = self.own[name]
+        noise = np.minimum(np.searchsorted(upto, self.rng.random(times) * upto[-1], side="right"), len(table) - 1)
+        true, other = table[truth], table[noise]
+        good = np.einsum("ij,ij->i", hidden, true) - shift[truth]
+        bad = hidden @ other.T - shift[noise]
+        pull = (1 / (1 + np.exp(-good.clip(-30, 30))) - 1).astype(np.float32)[:, None]
+        push = 1 / (1 + np.exp(-bad.clip(-30, 30)))
+        back = pull * true + push @ other
+        self._move(name, np.concatenate([truth, noise]), np.concatenate([pull * hidden, push.T @ hidden]))
+        return back
+
+    def _move(self, name: str, rows: np.ndarray, grad: np.ndarray) -> None:
+        order = np.argsort(rows, kind="stable")
+        rows, at = np.unique(rows[order], return_index=True)
+        grad = np.add.reduceat(grad[order], at, axis=0)
+        self.past[name][rows] += np.einsum("ij,ij->i", grad, grad) / grad.shape[1]
+        self.own[name][rows] -= _STEP * grad / np.sqrt(self.past[name][rows])[:, None]
+        self.times[name][rows] += np.diff(np.append(at, len(order)))
+
+    def changes(self) -> Iterator[pa.RecordBatch]:
+        """What moved, by blocks of rows: times each row took part, and its change so often."""
+        for name in self.model.names:
+            for block in range(0, len(self.own[name]), _BLOCK):
+                times = self.times[name][block : block + _BLOCK]
+                rows = np.flatnonzero(times)
+                if len(rows):
+                    moved = self.own[name][block + rows] - getattr(self.model, name)[block + rows]
+                    yield _change(name, block, rows, times[rows], moved)
+
+
+def _change(name: str, block: int, rows: np.ndarray, times: np.ndarray, moved: np.ndarray) -> pa.RecordBatch:
+    data = [rows.astype(np.int32), times.astype(np.int64), moved.astype(np.float32)]
+    columns = {"name": [name], "block": pa.array([block], pa.int64())}
+    return pa.RecordBatch.from_pydict(columns | {n: [x.tobytes()] for n, x in zip(("rows", "times", "moved"), data, strict=True)})
+
+
+_CHANGE = "name string, block long, rows binary, times binary, moved binary"
+
+
+def _unpacked(name: str, rows: bytes, times: bytes, moved: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    width = _DIM + (not name.startswith("source"))
+    return np.frombuffer(rows, np.int32), np.frombuffer(times, np.int64), np.frombuffer(moved, np.float32).reshape(-1, width)
+
+
+def _averaged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Mean change of each row, by the times it took part. A task holds only the blocks dealt to it."""
+    held: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] = {}
+    for part in parts:
+        for r in part.to_pylist():
+            rows, times, moved = _unpacked(r["name"], r["rows"], r["times"], r["moved"])
+            key = r["name"], r["block"]
+            if key not in held:
+                held[key] = np.zeros(_BLOCK, np.int64), np.zeros((_BLOCK, moved.shape[1]))
+            held[key][0][rows] += times
+            held[key][1][rows] += times[:, None] * moved
+    for (name, block), (times, moved) in held.items():
+        rows = np.flatnonzero(times)
+        yield _change(name, block, rows, times[rows], moved[rows] / times[rows, None])
+
+
+def train_words(texts: DataFrame, vocabulary: Vocabulary, model: WordModel) -> WordModel:
+    """Passes over every token of ``texts``; a pass brings each changed vector to the driver once."""
+    context = texts.sparkSession.sparkContext
+    known = context.broadcast(vocabulary)
+    for nth in range(PASSES):
+        sent = context.broadcast(model)
+
+        def learn(parts: Iterator[pa.RecordBatch], nth: int = nth, sent: Broadcast = sent) -> Iterator[pa.RecordBatch]:
+            learner = None
+            for part in parts:
+                for _, _, block in _rows(part):
+                    if learner is None:
+                        learner = Learner(sent.value, TaskContext.get().partitionId() * PASSES + nth)
+                    lengths = np.array([len(b) for b in block])
+                    index = known.value.look_up([w for b in block for w in b])
+                    learner.learn(index, *sent.value.contexts(index, np.cumsum(lengths) - lengths))
+            if learner is not None:
+                yield from learner.changes()
+
+        moved = texts.select("text").mapInArrow(learn, _CHANGE)
+        for r in moved.repartition("name", "block").mapInArrow(_averaged, _CHANGE).toLocalIterator():
+            rows, _, change = _unpacked(r["name"], bytes(r["rows"]), bytes(r["times"]), bytes(r["moved"]))
+            getattr(model, r["name"])[r["block"] + rows] += change
+        sent.unpersist()
+    return model
+
+
 def model_scores(docs: DataFrame, texts: DataFrame) -> DataFrame:
     """Scores of ``docs`` under a model of all ``texts``: one row per row.
 
@@ -269,13 +477,12 @@ def model_scores(docs: DataFrame, texts: DataFrame) -> DataFrame:
     counts = freeze(word_counts(texts))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     vocabulary = Vocabulary(frequent_words(counts, distinct, HEAD), total, distinct)
-    model = train(texts, vocabulary)
+    model = train_words(texts, vocabulary, WordModel(vocabulary, train(texts, vocabulary)))
     sent = docs.sparkSession.sparkContext.broadcast((vocabulary, model))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, net = sent.value
-        logs = net.log_probabilities().ravel()
         tail = len(known.index)
         for part in parts:
             for first, last, block in _rows(part):
@@ -283,8 +490,7 @@ def model_scores(docs: DataFrame, texts: DataFrame) -> DataFrame:
                 starts = np.cumsum(lengths) - lengths
                 flat = [w for b in block for w in b]
                 index = known.look_up(flat)
-                classes = known.classes[index]
-                token = logs[_contexts(classes, starts) * CLASSES + classes] + known.share[index]
+                token = net.log_probabilities(index, *net.contexts(index, starts)) + np.where(index < tail, 0, known.share[-1])
                 sums = [np.add.reduceat(x, starts) for x in (known.base[index], token, (index < tail).astype(np.int64))]
                 rare = [Counter() for _ in block]
                 places = np.flatnonzero(index == tail)
