@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortline.functions.scalars import let
 from cohortline.plans.durable import freeze
 from cohortline.plans.ordering import running_sums
 
@@ -208,9 +207,15 @@ def one_hot(df: DataFrame, fit_on: DataFrame, columns: Sequence[str]) -> DataFra
 
 
 def _marked(place: Column, size: int) -> Column:
-    """Array of ``size`` zeros with a one at ``place``; place 0 marks nothing."""
-    places = F.sequence(F.lit(1).cast("bigint"), F.lit(size).cast("bigint"))
-    return let(place, lambda p: F.transform(places, lambda i: (i == p).cast("double")))
+    """Array of ``size`` zeros with a one at ``place``; place 0 marks nothing.
+
+    No lambda here: a Python function over the array could not be planned.
+    """
+    place, zero = place.cast("int"), F.lit(0.0)
+    marked = F.concat(
+        F.array_repeat(zero, place - 1), F.array(F.lit(1.0)), F.array_repeat(zero, F.lit(size) - place)
+    )
+    return F.when(place > 0, marked).otherwise(F.array_repeat(zero, F.lit(size)))
 
 
 class _PrepParams(Params):
