@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from cohortline.llm import decontaminate, exact_dedup, language_model, page_text, pieces, quality, repeats, simhash, token_counts, tool_calls
+from cohortline.llm import (
+    decontaminate, exact_dedup, language_model, page_text, pieces, quality, repeats, simhash, token_counts, token_files,
+    tool_calls,
+)
 
 QUERIES = {
     "op1_page_text": page_text.op1_page_text,
@@ -15,6 +18,7 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_language_model": language_model.op9_language_model,
     "op10_tool_calls": tool_calls.op10_tool_calls,
+    "op11_token_files": token_files.op11_token_files,
 }
 ORACLES = {
     "op2_decontaminate": decontaminate.SQL,
