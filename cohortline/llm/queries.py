@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from cohortline.llm import (
     decontaminate, exact_dedup, language_model, page_text, pieces, quality, repeats, simhash, token_counts, token_files,
-    tool_calls,
+    tool_calls, whitening,
 )
 
 QUERIES = {
@@ -19,6 +19,7 @@ QUERIES = {
     "op9_language_model": language_model.op9_language_model,
     "op10_tool_calls": tool_calls.op10_tool_calls,
     "op11_token_files": token_files.op11_token_files,
+    "op12_whitening": whitening.op12_whitening,
 }
 ORACLES = {
     "op2_decontaminate": decontaminate.SQL,
