@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from cohortline.llm import (
-    decontaminate, exact_dedup, language_model, page_text, pieces, quality, repeats, simhash, token_counts, token_files,
-    tool_calls, whitening,
+    decontaminate, exact_dedup, language_model, page_text, pieces, quality, repeats, runs, simhash, token_counts,
+    token_files, tool_calls, whitening,
 )
 
 QUERIES = {
@@ -20,6 +20,7 @@ QUERIES = {
     "op10_tool_calls": tool_calls.op10_tool_calls,
     "op11_token_files": token_files.op11_token_files,
     "op12_whitening": whitening.op12_whitening,
+    "op13_runs": runs.op13_runs,
 }
 ORACLES = {
     "op2_decontaminate": decontaminate.SQL,

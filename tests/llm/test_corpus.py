@@ -15,7 +15,7 @@ NUMBERS = {int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES}
 
 
 def test_contract():
-    assert NUMBERS == set(range(1, 13))
+    assert NUMBERS == set(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(queries.ORACLES) <= set(entry.oracle_sql())
 
