@@ -52,7 +52,8 @@ _WORD = 32
 MAGIC = b"ids-rans-1\n"
 _TAIL = "<QI"
 # Characters that are cut into words at a time, and bytes of words kept with their ids.
-_SLICE, _KEPT_BYTES = 1 << 20, 32 << 20
+_SLICE, _KEPT_BYTES = 1 << 21, 96 << 20
+_WORD_BYTES = 220
 # White space after a letter or digit begins a word, whatever comes before it.
 _CUT = re.compile(r"(?<=[0-9A-Za-z])[ \n]")
 _NO_IDS = np.empty(0, np.uint32)
@@ -65,8 +66,10 @@ class Tokens:
     """Ids of texts as the tokenizers library gives them.
 
     The vocabulary never joins two words of its pattern, so the library encodes
-    each distinct word once and texts are put together from words. Kept words are
-    dropped when they and their ids exceed ``_KEPT_BYTES``.
+    each distinct word once and texts are put together from words. The words of a
+    slice of text are grouped by a rolling hash, and every word is compared with
+    the first of its group. Beyond ``_KEPT_BYTES`` kept words are thinned to those
+    that came more than once.
     """
 
     def __init__(self, path: str) -> None:
@@ -85,19 +88,43 @@ class Tokens:
         )
         self.added = added
         self.special = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
-        self._drop()
-
-    def _drop(self) -> None:
-        self.place: dict[str, int] = {}
-        self.held: list[np.ndarray] = []
-        self.bytes = 0
+        self._start([], np.empty(0, np.int64), _NO_IDS)
+
+    def _start(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.place = dict(zip(words, range(len(words))))
+        room = max(1024, 2 * len(words))
+        self.ids, self.used = np.concatenate([ids, np.empty(4 * room, np.uint32)]), len(ids)
+        self.size, self.hits = np.zeros(room, np.int64), np.zeros(room, np.int64)
+        self.size[: len(words)] = sizes
+        self.at = np.zeros(room, np.int64)
+        self.at[: len(words)] = np.cumsum(sizes) - sizes
+        self.bytes = sum(map(len, words)) + 4 * len(ids) + _WORD_BYTES * len(words)
+
+    def _thin(self) -> None:
+        """Keep words met again since the last time, the most frequent first, in half of the room."""
+        words = np.array(list(self.place), object)
+        hits = self.hits[: len(words)]
+        order = np.argsort(-hits, kind="stable")
+        cost = np.cumsum([_WORD_BYTES + len(w) for w in words[order]] + 4 * self.size[order])
+        kept = np.sort(order[(hits[order] > 1) & (cost <= _KEPT_BYTES // 2)])
+        self._start(words[kept].tolist(), self.size[kept], self.ids[_spread(self.at[kept], self.size[kept])])
 
     def _learn(self, words: list[str]) -> None:
-        for word, found in zip(words, self.library.encode_batch(words, add_special_tokens=False), strict=True):
-            self.place[word] = len(self.held)
-            self.held.append(np.array(found.ids, np.uint32))
-            # A text of one word costs its characters, the entry and an array.
-            self.bytes += 4 * len(word) + 4 * len(found.ids) + 250
+        # One call for all of them; the library tells which word each id belongs to.
+        found = self.library.encode(words, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(found.ids, np.uint32)
+        sizes = np.bincount(np.array(found.word_ids, np.int64), minlength=len(words))
+        known, more = len(self.place), len(words)
+        while known + more > len(self.size):
+            self.size, self.at, self.hits = (np.append(x, np.zeros_like(x)) for x in (self.size, self.at, self.hits))
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.append(self.ids, np.empty(len(self.ids) + len(ids), np.uint32))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.at[known : known + more] = self.used + np.cumsum(sizes) - sizes
+        self.size[known : known + more] = sizes
+        self.place.update(zip(words, range(known, known + more)))
+        self.used += len(ids)
+        self.bytes += sum(map(len, words)) + 4 * len(ids) + _WORD_BYTES * more
 
     def _segments(self, text: str) -> Iterator[str | int]:
         """Plain stretches of bounded length and the ids of special strings, in order."""
@@ -142,18 +169,53 @@ class Tokens:
         chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         starts = np.cumsum([0, *(len(part) for *_, part in held[:-1])])
         begins = self.splitter.marks(chars, starts)
-        edges = [*begins.tolist(), len(joined)]
-        words = [joined[a:b] for a, b in zip(edges, edges[1:])]
+        edges = np.append(begins, len(chars))
+        first, same = _distinct(chars, begins, np.diff(edges))
+        ends = edges[first + 1]
+        words = [joined[a:b] for a, b in zip(begins[first].tolist(), ends.tolist())]
         if self.bytes > _KEPT_BYTES:
-            self._drop()
-        at = [self.place.get(w, -1) for w in words]
-        if -1 in at:
-            self._learn(list({w: None for w, i in zip(words, at) if i < 0}))
-            at = [self.place[w] for w in words]
-        pieces = [self.held[i] for i in at]
-        bounds = [*np.searchsorted(begins, starts).tolist(), len(words)]
-        for (own, i, _), a, b in zip(held, bounds, bounds[1:]):
-            own[i] = np.concatenate(pieces[a:b])
+            self._thin()
+        get = self.place.get
+        if missing := [w for w in words if get(w) is None]:
+            self._learn(list(dict.fromkeys(missing)))
+        at = np.fromiter(map(get, words), np.int64, len(words))
+        np.add.at(self.hits, at, np.bincount(same, minlength=len(at)))
+        sizes = self.size[at][same]
+        ids = self.ids[_spread(self.at[at][same], sizes)]
+        upto = np.append(0, np.cumsum(sizes))[np.searchsorted(begins, np.append(starts, len(chars)))]
+        for (own, i, _), a, b in zip(held, upto.tolist(), upto[1:].tolist()):
+            own[i] = ids[a:b]
+
+
+def _spread(at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places ``at, at + 1, ...`` of each stretch, one after the other."""
+    return np.arange(int(sizes.sum())) + np.repeat(at - (np.cumsum(sizes) - sizes), sizes)
+
+
+@cache
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2**64, and their inverses."""
+    base = 0x9E3779B97F4A7C15
+    up, down = np.full(1 << bits, base, np.uint64), np.full(1 << bits, pow(base, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    return np.cumprod(up), np.cumprod(down)
+
+
+def _distinct(chars: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which words stand first among their equals, and for every word the number of its first one."""
+    # Tables are kept for slices of the usual size only.
+    bits = max(len(chars).bit_length(), 22)
+    up, down = _powers(bits) if bits == 22 else _powers.__wrapped__(bits)
+    code = (chars.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+    sums = np.append(np.uint64(0), np.cumsum((code ^ (code >> np.uint64(29))) * up[: len(chars)]))
+    hashes = (sums[begins + sizes] - sums[begins]) * down[begins] + sizes.astype(np.uint64)
+    hashes ^= hashes >> np.uint64(32)
+    _, first, same = np.unique(hashes, return_index=True, return_inverse=True)
+    there = _spread(begins[first][same], sizes)
+    if not ((sizes[first][same] == sizes).all() and (chars[there] == chars).all()):
+        # Two words under one hash: every word stands for itself.
+        first = same = np.arange(len(begins))
+    return first, same
 
 
 @cache
@@ -581,7 +643,10 @@ def _read(spark: SparkSession, folder: str, values: Callable, kind: str) -> Data
                 )
 
     schema = f"part int, doc long, doc_id long, opens boolean, closes boolean, at long, n long, value {kind}"
-    found = blocks.repartition("file", "block").mapInArrow(decode, schema)
+    # A block is a million ids, so one is enough for a task, and a few do not cost much.
+    count = blocks.count()
+    tasks = max(min(count, 4 * spark.sparkContext.defaultParallelism), -(-count // 64), 1)
+    found = blocks.repartition(tasks, "file", "block").mapInArrow(decode, schema)
     return found.join(F.broadcast(base), "part").withColumn("start", F.col("base") + F.col("at")).drop("base", "at")
 
 

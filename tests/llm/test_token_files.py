@@ -48,11 +48,18 @@ def test_words_give_the_ids_of_texts(library, given):
 def test_long_texts_and_a_small_store_of_words(library, monkeypatch):
     monkeypatch.setattr(tf, "_SLICE", 500)
     monkeypatch.setattr(tf, "_KEPT_BYTES", 20_000)
+    monkeypatch.setattr(tf, "_WORD_BYTES", 10)
     text = " ".join(f"word{i % 977} {i}," for i in range(150_000))
     assert len(text) > 1 << 20
     assert tf.Tokens(PATH).encode([text])[0].tolist() == wanted(library, [text])[0]
 
 
+def test_words_under_one_hash(library, given, monkeypatch):
+    monkeypatch.setattr(tf, "_powers", type("", (), {"__call__": lambda s, b: (np.zeros(1 << b, np.uint64),) * 2})())
+    texts = [t or "" for _, t in given[:20]]
+    assert [x.tolist() for x in tf.Tokens(PATH).encode(texts)] == wanted(library, texts)
+
+
 def test_a_vocabulary_that_is_not_byte_level(library):
     path = public_tokenizers.path("word_bpe_49k.json")
     own, texts = tf.Tokens(path), ["Hello World  again", "", "Été"]
