@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.functions.codes import LASSO_GRID, MLP_GRID
-from cohortline.operators import assemble, evaluation, explain, prep, splitting, training
+from cohortline.operators import assemble, evaluation, explain, neural, prep, splitting, training
+from cohortline.operators.lasso import Lasso
 from cohortline.plans import jobs
 from cohortline.plans.durable import freeze, new_path
+from cohortline.sources import tables
 
 BY = ["dataset", "model"]
 # Fixed weights of a linear score.
@@ -163,14 +166,27 @@ def topk_coefs(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(explain.top_by_size(table, "coefficient"), "coefficient")
 
 
-def _linear_shapley(spark: SparkSession, sf: str) -> DataFrame:
+def _explained(spark: SparkSession, sf: str) -> DataFrame:
     documents = _table(spark, sf, "documents").select(
         "doc_id", "n_chars", (F.size(F.split("text", "\n")) - 1).alias("n_lines")
     )
     rows = assemble.join_label(documents, _table(spark, sf, "labels"), "doc_id", "toxic")
-    x = rows.select("doc_id", F.array(*[F.col(c).cast("double") for c in WEIGHTS]).alias("x"))
-    predict = explain.linear_predictor(list(WEIGHTS.values()))
-    return explain.shapley_values(x, predict, list(WEIGHTS), ["doc_id"], permutations=16)
+    return rows.select("doc_id", F.array(*[F.col(c).cast("double") for c in WEIGHTS]).alias("x"))
+
+
+def _linear_shapley(spark: SparkSession, sf: str) -> DataFrame:
+    return explain.linear_shapley(_explained(spark, sf), list(WEIGHTS.values()), list(WEIGHTS), ["doc_id"])
+
+
+def shapley_kernel(spark: SparkSession, sf: str) -> DataFrame:
+    """Attributions of a score that is not linear: their sums, and how many have a standard error."""
+
+    def predict(rows: DataFrame) -> DataFrame:
+        x = F.col("x")
+        return rows.withColumn("f", F.greatest(x[0] / 100 - x[1], F.lit(0.0)) * (1 + x[2]) + x[1])
+
+    values = explain.kernel_shapley(_explained(spark, sf), predict, list(WEIGHTS), ["doc_id"], pairs=16)
+    return _rounded(values.groupBy("doc_id").agg(F.sum("phi").alias("total"), F.count("se").alias("n_se")), "total")
 
 
 def shapley_linear(spark: SparkSession, sf: str) -> DataFrame:
@@ -228,6 +244,80 @@ def lasso_binary_cv(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def lasso_certificate(spark: SparkSession, sf: str) -> DataFrame:
+    """Weights, objective and optimality bound over all rows, for every loss weight."""
+    rows = _binary_study(spark, sf).select(
+        array_to_vector(F.array(F.col("toxic").cast("double"))).alias("features"), F.col("death_2years").alias("label")
+    )
+    rows = freeze(rows)
+    fits = Lasso(labelCol="label").fit_all(rows, LASSO_GRID["C"])
+    get = lambda fit, name: fit.getOrDefault(fit.getParam(name))
+    found = [(c, *get(f, "weights"), get(f, "objective"), get(f, "violation")) for c, f in zip(LASSO_GRID["C"], fits)]
+    table = spark.createDataFrame(found, "c double, slope double, intercept double, objective double, violation double")
+    digits = {c: F.round(c, 4) for c in ("slope", "intercept", "objective", "violation")}
+    return table.withColumns(digits)
+
+
+def fold_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """What the preparation of each fold was fitted to: rows outside of the fold only."""
+    rows = _study(spark, sf)
+    roles = prep.column_roles(rows, ["doc_id", "death_2years"])
+    found = training.fold_statistics(rows, roles, "death_2years", ["doc_id"])
+    return found.withColumns({c: F.round(c, 6) for c in ("middle", "low", "high")})
+
+
+# A fixed network: its inputs, and its weights by a rule.
+NET_SIZES = [3, 4, 2, 1]
+
+
+def _fixed_weights(sizes: list[int]) -> list[float]:
+    count = sum(a * b + b for a, b in zip(sizes, sizes[1:]))
+    return [((7 * k) % 11 - 5) / 10 for k in range(count)]
+
+
+def _net_inputs(spark: SparkSession, sf: str) -> DataFrame:
+    rows = assemble.join_label(
+        _documents(spark, sf).select("doc_id", F.coalesce("n_chars", F.lit(0)).alias("n_chars"), "n_lines"),
+        _table(spark, sf, "labels"), "doc_id", "quality",
+    )
+    numbers = [F.col("n_chars") / 1000, F.col("n_lines") / 10, F.col("n_chars") % 3 - 1]
+    return rows.select("doc_id", F.array(*[n.cast("double") for n in numbers]).alias("x"), F.col("quality").alias("label"))
+
+
+def network_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of a network with given weights."""
+    rows = _net_inputs(spark, sf).withColumn("features", array_to_vector("x"))
+    model = neural.ReluNetworkModel(sizes=NET_SIZES, weights=_fixed_weights(NET_SIZES))
+    scored = training.with_score(model, rows)
+    return _rounded(scored.select("doc_id", "score", "prediction"), "score")
+
+
+def network_gradient(spark: SparkSession, sf: str) -> DataFrame:
+    """Loss and gradient of a network with given weights over the blocks of all rows."""
+    rows = _net_inputs(spark, sf).select("x", F.col("label").cast("double").alias("y"))
+    blocks = freeze(neural.row_blocks(rows, 64))
+    loss, gradient = neural.mean_gradient(blocks, NET_SIZES, _fixed_weights(NET_SIZES), 0.5)
+    found = [(i, float(v)) for i, v in enumerate([loss, *gradient])]
+    return _rounded(spark.createDataFrame(found, "at int, value double"), "value")
+
+
+def network_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Save a network with given weights behind a fitted preparation, load it, score and evaluate the test rows."""
+    root = new_path(spark, "study")
+    rows = assemble.join_label(
+        _documents(spark, sf).select("doc_id", "n_chars", "n_lines"),
+        _table(spark, sf, "labels").withColumnRenamed("quality", "death_2years"), "doc_id", "death_2years",
+    )
+    tables.write_split(splitting.stratified_split(rows, "death_2years", ["doc_id"]), f"{root}/split/documents")
+    train = tables.read_split(spark, f"{root}/split/documents", "train")
+    sizes = [2, 3, 1]
+    network = neural.ReluNetworkModel(sizes=sizes, weights=_fixed_weights(sizes))
+    model = PipelineModel([prep.TabularPrep(numeric=["n_chars", "n_lines"]).fit(train), network])
+    training.save_model(model, root, "mlp", "documents")
+    found = jobs.evaluate_models(spark, "documents", root, key="doc_id", model_types=("mlp",))
+    return found["metrics"]
+
+
 def lasso_job(spark: SparkSession, sf: str) -> DataFrame:
     """Split, tune, save, load, score and explain the L1 model of one feature."""
     root = new_path(spark, "study")
@@ -256,7 +346,7 @@ def _trained(spark: SparkSession, sf: str) -> str:
 def train_score_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Split, tune, save, load, score and report both models of a dataset."""
     root = _trained(spark, sf)
-    jobs.evaluate_models(spark, "documents", root, key="doc_id", draws=100)
+    jobs.evaluate_models(spark, "documents", root, key="doc_id")
     wide = jobs.results_report(spark, ["documents"], root)
     return wide.toDF(*[c.lower().replace(" ", "_") for c in wide.columns])
 
@@ -264,7 +354,7 @@ def train_score_metrics(spark: SparkSession, sf: str) -> DataFrame:
 def train_top_features(spark: SparkSession, sf: str) -> DataFrame:
     """The ten leading features of both trained models."""
     root = _trained(spark, sf)
-    tables = jobs.evaluate_models(spark, "documents", root, key="doc_id", draws=100)
+    tables = jobs.evaluate_models(spark, "documents", root, key="doc_id")
     return tables["top_features"]
 
 
@@ -284,11 +374,17 @@ QUERIES = {
     "metrics_join": metrics_join,
     "topk_coefs": topk_coefs,
     "shapley_linear": shapley_linear,
+    "shapley_kernel": shapley_kernel,
     "shapley_importance": shapley_importance,
     "lasso_cv": lasso_cv,
     "mlp_cv": mlp_cv,
     "lasso_binary_cv": lasso_binary_cv,
     "lasso_job": lasso_job,
+    "lasso_certificate": lasso_certificate,
+    "fold_statistics": fold_statistics,
+    "network_scores": network_scores,
+    "network_gradient": network_gradient,
+    "network_job": network_job,
     "train_score_metrics": train_score_metrics,
     "train_top_features": train_top_features,
 }
@@ -399,20 +495,78 @@ final AS (SELECT c, w, b FROM fits JOIN ranked_c USING (c) WHERE k = 5 AND rank
 
 
 def _shapley() -> str:
-    names = ", ".join(f"'{n}'" for n in WEIGHTS)
-    values = ", ".join(f"CAST({n} AS DOUBLE)" for n in WEIGHTS)
-    weights = ", ".join(str(w) for w in WEIGHTS.values())
+    parts = [
+        f"SELECT doc_id, '{n}' AS feature, {w} * ({n} - (SELECT avg({n}) FROM explained)) AS phi FROM explained"
+        for n, w in WEIGHTS.items()
+    ]
     return f"""
-placed AS (
-    SELECT doc_id, row_number() OVER (ORDER BY md5('42|' || doc_id)) - 1 AS at, count(*) OVER () AS n, [{values}] AS x
-    FROM (SELECT doc_id, n_chars, length(text) - length(replace(text, chr(10), '')) AS n_lines, toxic
-          FROM documents JOIN labels USING (doc_id))),
-drawn AS (
-    SELECT a.doc_id, a.x, b.x AS base FROM (SELECT *, unnest(range(0, 16)) AS draw FROM placed) a
-    JOIN placed b ON b.at = (a.at + a.draw + 1) % a.n),
-flat AS (
-    SELECT doc_id, unnest([{names}]) AS feature, unnest([{weights}]) AS w, unnest(x) AS v, unnest(base) AS u FROM drawn),
-phis AS (SELECT doc_id, feature, sum(w * (v - u)) / 16 AS phi FROM flat GROUP BY ALL)
+explained AS (
+    SELECT doc_id, n_chars, length(text) - length(replace(text, chr(10), '')) AS n_lines, toxic
+    FROM documents JOIN labels USING (doc_id)),
+phis AS ({" UNION ALL ".join(parts)})
+"""
+
+
+def _network(sizes: list[int], inputs: list[str], rows: str) -> tuple[str, str]:
+    """CTEs ``layer0 ..`` of the fixed network over ``rows``, and the column with its log-odds."""
+    flat, at, names = _fixed_weights(sizes), 0, inputs
+    steps = [f"layer0 AS (SELECT * FROM {rows})"]
+    for i, (fan_in, fan_out) in enumerate(zip(sizes, sizes[1:])):
+        bias = at + fan_in * fan_out
+        sums = [
+            " + ".join([f"({flat[bias + j]})", *[f"{n} * ({flat[at + k * fan_out + j]})" for k, n in enumerate(names)]])
+            for j in range(fan_out)
+        ]
+        last = i == len(sizes) - 2
+        units = [f"h{i}_{j}" for j in range(fan_out)]
+        out = ", ".join(f"{s} AS {u}" if last else f"greatest({s}, 0) AS {u}" for s, u in zip(sums, units))
+        steps.append(f"layer{i + 1} AS (SELECT *, {out} FROM layer{i})")
+        at, names = bias + fan_out, units
+    return ",\n".join(steps), names[0]
+
+
+def _net_gradient(sizes: list[int], inputs: list[str], odds: str, alpha: float) -> str:
+    """Rows ``(at, value)``: loss and gradient of the fixed network over its last layer."""
+    flat, layers = _fixed_weights(sizes), len(sizes) - 1
+    starts = [sum(a * b + b for a, b in zip(sizes[:i], sizes[1 : i + 1])) for i in range(layers)]
+    names = [inputs, *[[f"h{i}_{j}" for j in range(sizes[i + 1])] for i in range(layers)]]
+    ctes, table = [], f"layer{layers}"
+    deltas = [[] for _ in range(layers)]
+    deltas[-1] = [f"(1 / (1 + exp(-{odds})) - label)"]
+    for i in range(layers - 1, 0, -1):
+        fan_out = sizes[i + 1]
+        cells = [
+            "(" + " + ".join(f"{d} * ({flat[starts[i] + k * fan_out + j]})" for j, d in enumerate(deltas[i]))
+            + f") * CAST({names[i][k]} > 0 AS INTEGER) AS d{i - 1}_{k}"
+            for k in range(sizes[i])
+        ]
+        ctes.append(f"back{i} AS (SELECT *, {', '.join(cells)} FROM {table})")
+        table, deltas[i - 1] = f"back{i}", [f"d{i - 1}_{k}" for k in range(sizes[i])]
+    held = sum(flat[starts[i] + k] ** 2 for i in range(layers) for k in range(sizes[i] * sizes[i + 1]))
+    loss = f"(sum(greatest({odds}, 0) + ln(1 + exp(-abs({odds}))) - label * {odds}) + {alpha / 2 * held}) / count(*)"
+    values = [loss]
+    for i in range(layers):
+        for k in range(sizes[i]):
+            for j in range(sizes[i + 1]):
+                w = flat[starts[i] + k * sizes[i + 1] + j]
+                values.append(f"(sum({names[i][k]} * {deltas[i][j]}) + {alpha * w}) / count(*)")
+        values += [f"sum({d}) / count(*)" for d in deltas[i]]
+    picked = ", ".join(values)
+    return (
+        ",\n".join(ctes)
+        + f" SELECT CAST(unnest(range(0, {len(values)})) AS INTEGER) AS at, round(unnest([{picked}]), 6) AS value FROM {table}"
+    )
+
+
+_NET_ROWS = f"""{_DOCS},
+net AS (SELECT doc_id, coalesce(n_chars, 0) / 1000 AS a, n_lines / 10 AS b, CAST(coalesce(n_chars, 0) % 3 - 1 AS DOUBLE) AS c,
+    quality AS label FROM docs JOIN labels USING (doc_id))"""
+_NET, _NET_ODDS = _network(NET_SIZES, ["a", "b", "c"], "net")
+_JOB_NET, _JOB_ODDS = _network([2, 3, 1], ["a", "b"], "job")
+_FOLD_STATS = """
+names AS (SELECT 'numeric__n_chars' AS feature, n_chars AS v, outside FROM spread WHERE n_chars IS NOT NULL
+    UNION ALL SELECT 'numeric__n_lines', n_lines, outside FROM spread
+    UNION ALL SELECT 'numeric__constant', constant, outside FROM spread)
 """
 
 
@@ -503,6 +657,53 @@ ORACLES = {
             unnest([round_even(balanced_accuracy, 2), round_even(auc, 2), round_even(f1, 2)]) AS value
         FROM met JOIN area USING (dataset, model)
         UNION ALL SELECT 'documents', 'LASSO', 'toxic', round(w, 3) FROM final""",
+    "shapley_kernel": f"""WITH {_shapley()},
+        f AS (SELECT doc_id, greatest(n_chars / 100 - n_lines, 0) * (1 + toxic) + n_lines AS f FROM explained)
+        SELECT doc_id, round(f - (SELECT avg(f) FROM f), 6) AS total, CAST(3 AS BIGINT) AS n_se FROM f""",
+    "lasso_certificate": f"""WITH fit_rows AS (SELECT 0 AS k, toxic AS x, quality AS y FROM labels), {_CLOSED_FORM},
+        slopes AS (SELECT c, any_value(w) AS w, any_value(b) AS b,
+            any_value(abs(w) + abs(b)) + any_value(c) * sum(ln(1 + exp(b + w * x)) - y * (b + w * x)) AS objective,
+            any_value(c) * sum((1 / (1 + exp(-(b + w * x))) - y) * x) AS gw,
+            any_value(c) * sum(1 / (1 + exp(-(b + w * x))) - y) AS gb FROM fits, fit_rows GROUP BY c)
+        SELECT CAST(c AS DOUBLE) AS c, round(w, 4) AS slope, round(b, 4) AS intercept, round(objective, 4) AS objective,
+            round(greatest(CASE WHEN w = 0 THEN greatest(abs(gw) - 1, 0) ELSE abs(gw + sign(w)) END,
+                CASE WHEN b = 0 THEN greatest(abs(gb) - 1, 0) ELSE abs(gb + sign(b)) END), 4) AS violation
+        FROM slopes""",
+    "fold_statistics": f"""WITH {_DOCS}, rows AS (SELECT docs.*, quality AS y, toxic AS x FROM docs JOIN labels USING (doc_id)),
+        dealt_pos AS (SELECT y, (row_number() OVER (ORDER BY y) - 1) % 5 AS fold FROM rows),
+        fold_size AS (SELECT y, fold, count(*) AS n FROM dealt_pos GROUP BY ALL),
+        stops AS (SELECT y, fold, sum(n) OVER (PARTITION BY y ORDER BY fold) AS stop FROM fold_size),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY md5('42|' || doc_id)) AS r FROM rows),
+        marked AS (SELECT *, (SELECT min(fold) FROM stops s WHERE s.y = placed.y AND s.stop >= r) AS fold FROM placed),
+        spread AS (SELECT m.*, k AS outside FROM marked m, (SELECT unnest(range(0, 5)) AS k) WHERE fold <> k),
+        {_FOLD_STATS}
+        SELECT CAST(outside AS INTEGER) AS fold, feature, round(CAST(median(v) AS DOUBLE), 6) AS middle,
+            round(CAST(min(v) AS DOUBLE), 6) AS low, round(CAST(max(v) AS DOUBLE), 6) AS high, CAST(NULL AS VARCHAR) AS common
+        FROM names GROUP BY outside, feature
+        UNION ALL SELECT CAST(outside AS INTEGER), 'ordinal__overall_stage', NULL, NULL, NULL,
+            CAST(CAST(mode_of AS DOUBLE) AS VARCHAR)
+        FROM (SELECT outside, arg_max(overall_stage, (n, -overall_stage)) AS mode_of FROM
+            (SELECT outside, overall_stage, count(*) AS n FROM spread WHERE overall_stage IS NOT NULL GROUP BY ALL) GROUP BY outside)
+        UNION ALL SELECT CAST(outside AS INTEGER), 'nominal__' || c, NULL, NULL, NULL, v
+        FROM (SELECT outside, c, v, row_number() OVER (PARTITION BY outside, c ORDER BY count(*) DESC, v) AS k FROM
+            (SELECT outside, 'lang' AS c, lang AS v FROM spread UNION ALL SELECT outside, 'source', source FROM spread)
+            WHERE v IS NOT NULL GROUP BY outside, c, v) WHERE k = 1""",
+    "network_scores": f"""WITH {_NET_ROWS}, {_NET}
+        SELECT doc_id, round(1 / (1 + exp(-{_NET_ODDS})), 6) AS score, CAST(1 / (1 + exp(-{_NET_ODDS})) >= 0.5 AS INTEGER) AS prediction
+        FROM layer{len(NET_SIZES) - 1}""",
+    "network_gradient": f"WITH {_NET_ROWS}, {_NET}, {_net_gradient(NET_SIZES, ['a', 'b', 'c'], _NET_ODDS, 0.5)}",
+    "network_job": f"""WITH {_SPLIT}, {_DOCS},
+        rows AS (SELECT doc_id, n_chars, n_lines, split.quality AS label, split FROM docs JOIN split USING (doc_id)),
+        st AS (SELECT median(n_chars) AS mc, min(n_chars) AS lc, max(n_chars) AS hc, min(n_lines) AS ll, max(n_lines) AS hl
+            FROM rows WHERE split = 'train'),
+        job AS (SELECT label, CAST(coalesce(n_chars, mc) - lc AS DOUBLE) / (hc - lc) AS a,
+            CAST(n_lines - ll AS DOUBLE) / (hl - ll) AS b FROM rows, st WHERE split = 'test'), {_JOB_NET},
+        scored AS (SELECT 'Documents' AS dataset, 'MLP' AS model, label, 1 / (1 + exp(-{_JOB_ODDS})) AS score,
+            CAST({_JOB_ODDS} >= 0 AS INTEGER) AS prediction FROM layer2),
+        {_CLASS}, {_AUC}
+        SELECT dataset, model, unnest(['Weighted Accuracy', 'AUC', 'F1 Score']) AS metric,
+            unnest([round_even(balanced_accuracy, 2), round_even(auc, 2), round_even(f1, 2)]) AS value
+        FROM met JOIN area USING (dataset, model)""",
     "shapley_linear": f"WITH {_shapley()} SELECT doc_id, feature, round(phi, 6) AS phi FROM phis",
     "shapley_importance": f"""WITH {_shapley()}
         SELECT feature, round(avg(abs(phi)), 6) AS importance FROM phis GROUP BY feature""",

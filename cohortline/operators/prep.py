@@ -279,6 +279,14 @@ class TabularPrepModel(Model, _PrepParams, DefaultParamsReadable, DefaultParamsW
         names = [f"{kind}__{c[0]}" for kind in ("numeric", "ordinal") for c in state[kind]]
         return names + [f"nominal__{c}_{v}" for c, _, known in state["nominal"] for v in known]
 
+    def statistics(self) -> list[tuple]:
+        """``(feature, median, low, high, mode)`` of every column that is kept."""
+        state = self._state()
+        found = [(f"numeric__{c}", *map(float, values), None) for c, *values in state["numeric"]]
+        for kind in ("ordinal", "nominal"):
+            found += [(f"{kind}__{c[0]}", None, None, None, str(c[1])) for c in state[kind]]
+        return found
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         state, output = self._state(), self.getOrDefault(self.outputCol)
         numbers = [

@@ -258,11 +258,11 @@ def crossed(spark):
     return df.withColumn("features", array_to_vector("x"))
 
 
-@pytest.mark.parametrize("shards", [1, 3])
-def test_network_learns_what_is_not_linear(spark, shards, tmp_path):
+@pytest.mark.parametrize("rows", [4096, 130])
+def test_network_learns_what_is_not_linear(spark, rows, tmp_path):
     df = crossed(spark)
     model = neural.ReluNetwork(
-        hiddenLayers=[24], alpha=1e-4, batchSize=16, maxIter=150, shards=shards, roundEpochs=15
+        hiddenLayers=[24], alpha=1e-4, batchSize=16, maxIter=150, blockRows=rows, roundEpochs=15
     ).fit(df)
     path = str(tmp_path / "net")
     model.write().overwrite().save(path)
@@ -273,16 +273,60 @@ def test_network_learns_what_is_not_linear(spark, shards, tmp_path):
 
 def test_network_does_not_depend_on_partitions_and_shares_runs(spark):
     df = crossed(spark)
-    network = neural.ReluNetwork(hiddenLayers=[6], batchSize=32, shards=2, roundEpochs=4)
+    network = neural.ReluNetwork(hiddenLayers=[6], batchSize=32, blockRows=150, roundEpochs=4)
     points = [{"maxIter": 5}, {"maxIter": 9}, {"maxIter": 5, "alpha": 0.1}]
     first = network.fit_all(df, points)
     again = network.fit_all(df.repartition(5, "label").orderBy(F.rand(1)), points)
-    alone = [neural.ReluNetwork(hiddenLayers=[6], batchSize=32, shards=2, roundEpochs=4, maxIter=5).fit(df)]
+    alone = [neural.ReluNetwork(hiddenLayers=[6], batchSize=32, blockRows=150, roundEpochs=4, maxIter=5).fit(df)]
     weights = [m.getOrDefault(m.weights) for m in (*first, *again, *alone)]
     assert weights[:3] == weights[3:6]
     assert weights[0] == weights[6] != weights[1]
 
 
+def test_polished_weights_are_near_a_minimum(spark):
+    df = crossed(spark)
+    blocks = neural.row_blocks(df.select("x", F.col("label").cast("double").alias("y")), 100).persist()
+    network = neural.ReluNetwork(hiddenLayers=[8], alpha=0.5, batchSize=16, maxIter=30, blockRows=130, roundEpochs=15)
+    plain, polished = (n.fit(df) for n in (network, network.copy({network.polish: 60})))
+    (before, slope), (after, left) = (
+        neural.mean_gradient(blocks, [2, 8, 1], m.getOrDefault(m.weights), 0.5) for m in (plain, polished)
+    )
+    assert after < before and abs(left).max() < 0.1 * abs(slope).max()
+
+
+def test_blocks_are_bounded_and_whole(spark):
+    rows = [([float(i % 3), 1.0], 0.0) for i in range(700)] + [([float(i), 2.0], 1.0) for i in range(333)]
+    df = spark.createDataFrame(rows, "x array<double>, y double")
+    first, other = (neural.row_blocks(d, 64).collect() for d in (df.repartition(9), df.coalesce(1)))
+    assert sorted(r["n"] for r in first) == [1033 % 64] + [64] * (1033 // 64)
+    assert sorted(map(str, first)) == sorted(map(str, other))
+    back = [(tuple(r["x"][2 * i : 2 * i + 2]), r["y"][i]) for r in first for i in range(r["n"])]
+    assert sorted(back) == sorted((tuple(x), y) for x, y in rows)
+
+
+def test_gradient_over_blocks_is_that_of_all_rows(spark):
+    rng = np.random.default_rng(9)
+    x, y, sizes = rng.normal(size=(500, 3)), rng.integers(0, 2, 500).astype(float), [3, 5, 2, 1]
+    w = neural.start_weights(sizes, 3)
+    df = spark.createDataFrame([(r.tolist(), float(t)) for r, t in zip(x, y)], "x array<double>, y double")
+    blocks = neural.spread_blocks(neural.row_blocks(df, 7))
+    loss, gradient = neural.mean_gradient(blocks, sizes, w, 0.3)
+    want = neural.loss_and_gradient(w, sizes, x, y, 0.3)
+    assert loss == pytest.approx(want[0], rel=1e-12) and gradient == pytest.approx(want[1], rel=1e-9, abs=1e-14)
+
+
+def test_scores_are_column_expressions(spark):
+    rng = np.random.default_rng(7)
+    x, sizes = rng.normal(size=(40, 6)), [6, 9, 5, 3, 1]
+    w = neural.start_weights(sizes, 2) * 3
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "i int, x array<double>")
+    df = df.withColumn("features", array_to_vector("x"))
+    scored = neural.ReluNetworkModel(sizes=sizes, weights=w.tolist()).transform(df)
+    assert "Python" not in scored._jdf.queryExecution().executedPlan().toString()
+    got = [r["score"] for r in scored.orderBy("i").collect()]
+    assert got == pytest.approx(neural.probability(neural.forward(x, neural.unpack(w, sizes))[-1][:, 0]), rel=1e-12)
+
+
 @pytest.mark.parametrize("model_type", ["lreg", "lreg_wide"])
 def test_grid_search_finds_the_signal(spark, model_type):
     df, _, _ = study(spark)
@@ -305,13 +349,11 @@ def test_unknown_model_type(spark):
         jobs.apply_model(spark, "tree", "d", "nowhere")
 
 
-def test_shapley_of_a_linear_score_is_exact_with_all_background(spark):
+def test_shapley_of_a_linear_score_is_exact(spark):
     rng = np.random.default_rng(2)
     x, weights = rng.normal(size=(12, 3)), [2.0, -1.0, 0.5]
     rows = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id int, x array<double>")
-    values = explain.shapley_values(
-        rows, explain.linear_predictor(weights), ["a", "b", "c"], ["id"], permutations=12
-    )
+    values = explain.linear_shapley(rows, weights, ["a", "b", "c"], ["id"])
     got = {(r["id"], r["feature"]): r["phi"] for r in values.collect()}
     for i, r in enumerate(x):
         for name, w, v, mean in zip("abc", weights, r, x.mean(axis=0)):
@@ -320,19 +362,58 @@ def test_shapley_of_a_linear_score_is_exact_with_all_background(spark):
     assert [r["feature"] for r in top] == ["a", "b"]
 
 
-def test_shapley_values_add_up(spark):
-    """Each draw telescopes, so the values of a row sum to f(row) - mean f."""
+def exact_shapley(f, x):
+    """Shapley values of every row with all rows as background, over all coalitions."""
+    n, d = x.shape
+    value = {}
+    for mask in range(1 << d):
+        chosen = np.array([mask >> j & 1 for j in range(d)], bool)
+        value[mask] = np.array([f(np.where(chosen, row, x)).mean() for row in x])
+    phi = np.zeros((n, d))
+    for j in range(d):
+        for mask in range(1 << d):
+            if not mask >> j & 1:
+                k = bin(mask).count("1")
+                weight = math.factorial(k) * math.factorial(d - k - 1) / math.factorial(d)
+                phi[:, j] += weight * (value[mask | 1 << j] - value[mask])
+    return phi
+
+
+@pytest.mark.parametrize("d", [1, 2, 5])
+def test_kernel_shapley_against_all_coalitions(spark, d):
     rng = np.random.default_rng(4)
-    x = rng.normal(size=(10, 3))
-    rows = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id int, x array<double>")
+    x = rng.normal(size=(30, d))
 
-    def product(df):
-        return df.withColumn("f", F.col("x")[0] * F.col("x")[1] + F.col("x")[2])
+    def f(rows):
+        return np.maximum(rows[:, 0], 0) * (rows[:, -1] + 1) + rows.sum(1)
 
-    values = explain.shapley_values(rows, product, ["a", "b", "c"], ["id"], permutations=10)
-    f = x[:, 0] * x[:, 1] + x[:, 2]
-    sums = {r["id"]: r["s"] for r in values.groupBy("id").agg(F.sum("phi").alias("s")).collect()}
-    assert sums == pytest.approx({i: v - f.mean() for i, v in enumerate(f)})
+    def predict(df):
+        total = F.aggregate("x", F.lit(0.0), lambda t, v: t + v)
+        return df.withColumn("f", F.greatest(F.col("x")[0], F.lit(0.0)) * (F.col("x")[d - 1] + 1) + total)
+
+    rows = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id int, x array<double>")
+    names = [f"v{j}" for j in range(d)]
+    values = explain.kernel_shapley(rows.repartition(3), predict, names, ["id"], pairs=600).collect()
+    assert len(values) == 30 * d
+    want = exact_shapley(f, x)
+    got = {(r["id"], r["feature"]): r for r in values}
+    off = np.array([[got[i, n]["phi"] - want[i, j] for j, n in enumerate(names)] for i in range(30)])
+    se = np.array([[got[i, n]["se"] for n in names] for i in range(30)])
+    assert np.abs(off.sum(1)).max() < 1e-9  # the values of a row add up exactly
+    assert (np.abs(off) <= 4.5 * se + 1e-9).all()
+    assert np.abs(off).mean() < 0.1
+    if d == 1:
+        assert np.abs(off).max() < 1e-9
+
+
+def test_kernel_shapley_of_odd_rows(spark):
+    empty = spark.createDataFrame([], "id int, x array<double>")
+    linear = explain.linear_predictor([1.0, 2.0])
+    assert explain.kernel_shapley(empty, linear, ["a", "b"], ["id"]).count() == 0
+    same = spark.createDataFrame([(None, [1.0, 2.0])] * 5 + [(1, [2.0, 2.0])], "id int, x array<double>")
+    found = {(r["id"], r["feature"]): r for r in explain.kernel_shapley(same, linear, ["a", "b"], ["id"]).collect()}
+    assert len(found) == 4
+    assert found[None, "a"]["phi"] + found[None, "b"]["phi"] == pytest.approx(-1 / 6)
 
 
 def test_train_and_evaluate_jobs(spark, tmp_path):
