@@ -54,6 +54,8 @@ _TAIL = "<QI"
 # Characters that are cut into words at a time, and bytes of words kept with their ids.
 _SLICE, _KEPT_BYTES = 1 << 21, 96 << 20
 _WORD_BYTES = 220
+# Rows that are put to words at a time.
+_ROWS = 1024
 # White space after a letter or digit begins a word, whatever comes before it.
 _CUT = re.compile(r"(?<=[0-9A-Za-z])[ \n]")
 _NO_IDS = np.empty(0, np.uint32)
@@ -175,10 +177,12 @@ class Tokens:
         words = [joined[a:b] for a, b in zip(begins[first].tolist(), ends.tolist())]
         if self.bytes > _KEPT_BYTES:
             self._thin()
-        get = self.place.get
-        if missing := [w for w in words if get(w) is None]:
-            self._learn(list(dict.fromkeys(missing)))
-        at = np.fromiter(map(get, words), np.int64, len(words))
+        at = np.array([-1 if k is None else k for k in map(self.place.get, words)], np.int64)
+        new = np.flatnonzero(at < 0).tolist()
+        if new:
+            missing = list(dict.fromkeys([words[i] for i in new]))
+            self._learn(missing)
+            at[new] = [self.place[words[i]] for i in new]
         np.add.at(self.hits, at, np.bincount(same, minlength=len(at)))
         sizes = self.size[at][same]
         ids = self.ids[_spread(self.at[at][same], sizes)]
@@ -472,9 +476,9 @@ def token_stream(docs: DataFrame, path: str | None = None, end: int = END, block
         stop = np.array([end], np.uint32)
         for batch in parts:
             doc = batch["doc"].to_pylist()
-            for at in range(0, batch.num_rows, 256):
-                texts = [t.as_py().decode("utf-8", "replace") for t in batch["text"][at : at + 256]]
-                for tokens, d in zip(own.encode(texts), doc[at : at + 256]):
+            for at in range(0, batch.num_rows, _ROWS):
+                texts = [t.as_py().decode("utf-8", "replace") for t in batch["text"][at : at + _ROWS]]
+                for tokens, d in zip(own.encode(texts), doc[at : at + _ROWS]):
                     ids.append(np.concatenate([tokens, stop]))
                     named.append((seen, d))
                     seen += 1
