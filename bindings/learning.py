@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.functions.codes import LASSO_GRID, MLP_GRID
@@ -13,6 +13,7 @@ from cohortline.operators.lasso import Lasso
 from cohortline.plans import jobs
 from cohortline.plans.durable import freeze, new_path
 from cohortline.sources import tables
+from cohortline.sources.metrics import read_metrics, write_metrics
 
 BY = ["dataset", "model"]
 # Fixed weights of a linear score.
@@ -106,7 +107,7 @@ def prep_numeric(spark: SparkSession, sf: str) -> DataFrame:
     return _long(prep.TabularPrep(**roles).fit(rows).transform(rows), "vec_id")
 
 
-def _scored(spark: SparkSession, sf: str) -> DataFrame:
+def _scored(spark: SparkSession, sf: str, dataset: Column | None = None) -> DataFrame:
     """Two fixed scores with many ties."""
     rows = _table(spark, sf, "documents").select("doc_id", "n_chars").join(
         _table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id"
@@ -117,7 +118,7 @@ def _scored(spark: SparkSession, sf: str) -> DataFrame:
     )
     each = rows.select("doc_id", "label", F.explode(scores).alias("s"))
     return each.select(
-        F.lit("documents").alias("dataset"),
+        (F.lit("documents") if dataset is None else dataset).alias("dataset"),
         "s.model",
         "label",
         "s.score",
@@ -146,6 +147,19 @@ def metrics_pivot(spark: SparkSession, sf: str) -> DataFrame:
     return wide.toDF(*[c.lower().replace(" ", "_") for c in wide.columns])
 
 
+def metrics_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics of five datasets through a file with two header rows each, stacked and pivoted."""
+    root = new_path(spark, "metrics")
+    pairs = [(m, x) for m in ("LASSO", "MLP") for x in evaluation.METRICS]
+    scored = _scored(spark, sf, F.concat(F.lit("part "), (F.col("doc_id") % 5).cast("string")))
+    metrics = freeze(evaluation.metrics_table(scored, BY))
+    names = [f"part {i}" for i in range(5)]
+    for name in names:
+        write_metrics(metrics.filter(F.col("dataset") == name), f"{root}/{name}", pairs)
+    wide = assemble.pivot_metrics(read_metrics(spark, [f"{root}/{name}" for name in names]), pairs)
+    return wide.toDF(*[c.lower().replace(" ", "_") for c in wide.columns])
+
+
 def metrics_join(spark: SparkSession, sf: str) -> DataFrame:
     """The two models' metrics side by side, by a natural join."""
     metrics = freeze(evaluation.metrics_table(_scored(spark, sf), BY))
@@ -372,6 +386,7 @@ QUERIES = {
     "roc_curve": roc_curve,
     "metrics_pivot": metrics_pivot,
     "metrics_join": metrics_join,
+    "metrics_files": metrics_files,
     "topk_coefs": topk_coefs,
     "shapley_linear": shapley_linear,
     "shapley_kernel": shapley_kernel,
@@ -637,6 +652,9 @@ ORACLES = {
         FROM pts JOIN area USING (dataset, model)""",
     "metrics_pivot": f"""WITH {_METRICS} SELECT dataset, {", ".join(
         _pivot(m, x) for m in ("LASSO", "MLP") for x in evaluation.METRICS)} FROM long GROUP BY dataset""",
+    "metrics_files": f"""WITH {_METRICS.replace("'documents' AS dataset", "'part ' || doc_id % 5 AS dataset").replace(
+        "SELECT quality AS label,", "SELECT doc_id, quality AS label,")} SELECT dataset, {", ".join(
+        _pivot(m, x) for m in ("LASSO", "MLP") for x in evaluation.METRICS)} FROM long GROUP BY dataset""",
     "metrics_join": f"""WITH {_METRICS}
         SELECT dataset, metric, a.value AS lasso, b.value AS mlp FROM long a JOIN long b USING (dataset, metric)
         WHERE a.model = 'LASSO' AND b.model = 'MLP'""",

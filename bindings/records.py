@@ -16,7 +16,7 @@ from cohortline.functions.scalars import (
 from cohortline.operators import assemble, cleaning, cohort, prep
 from cohortline.plans import jobs
 from cohortline.plans.durable import new_path
-from cohortline.sources import catalogue, registry, tables
+from cohortline.sources import catalogue, quoted, registry, tables
 
 OFFSET_DAYS = 30
 PRIORITY_CODES = {
@@ -325,6 +325,17 @@ def raw_csv(spark: SparkSession, sf: str) -> DataFrame:
     return clean.withColumn("numeric_columns", kinds)
 
 
+def quoted_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole documents through delimited files whose cells hold quotes and line breaks."""
+    path = new_path(spark, "csv")
+    tables.write_csv(_table(spark, sf, "documents").select("doc_id", "text", "source"), path)
+    read = quoted.read_quoted(spark, path)
+    return read.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "source",
+        F.length("text").cast("long").alias("n"), F.md5(F.col("text").cast("binary")).alias("digest"),
+    )
+
+
 QUERIES = {
     "clean_names": clean_names,
     "na_tokens": na_tokens,
@@ -348,6 +359,7 @@ QUERIES = {
     "display_names": display_names,
     "csv_roundtrip": csv_roundtrip,
     "raw_csv": raw_csv,
+    "quoted_csv": quoted_csv,
     "study_registry": study_registry,
     "first_file": first_file,
 }
@@ -465,6 +477,8 @@ ORACLES = {
         SELECT l_orderkey AS series_id, lpad(CAST(l_partkey AS VARCHAR), 8, '0') AS file_name, l_linenumber AS frame
         FROM lineitem
         QUALIFY l_partkey = min(l_partkey) OVER (PARTITION BY l_orderkey)""",
+    "quoted_csv": """
+        SELECT doc_id, source, length(nullif(text, '')) AS n, md5(nullif(text, '')) AS digest FROM documents""",
     "raw_csv": """
         SELECT CAST(c_custkey AS VARCHAR) AS patient_id, c_acctbal AS age_at_histology_x,
             c_name || ' said "yes",' || chr(10) || ' then left' AS note,

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cohortline.sources import quoted, tables
+from cohortline.sources import metrics, quoted, tables
 
 
 def plain_csv(spark, path):
@@ -87,3 +87,28 @@ def test_multi_line_records_are_few_rows(spark, tmp_path):
     found = quoted.records(spark, path)
     assert found.count() == 2001
     assert found.filter(F.col("record").contains("\n")).count() == 4
+
+
+def test_two_header_rows(spark, tmp_path):
+    (tmp_path / "one.csv").write_text(",LASSO,,MLP\nDataset,AUC,F1 Score,AUC\n\"Full, all\",0.5,,0.75\nother,1.0,0.25,x\n")
+    (tmp_path / "two.csv").write_text(",MLP\nDataset,AUC\nthird,0.1\n")
+    (tmp_path / "three.csv").write_text(",MLP\nDataset,AUC\n")
+    found = sorted(map(tuple, metrics.read_metrics(spark, str(tmp_path)).collect()))
+    assert found == [
+        ("Full, all", "LASSO", "AUC", 0.5), ("Full, all", "LASSO", "F1 Score", None), ("Full, all", "MLP", "AUC", 0.75),
+        ("other", "LASSO", "AUC", 1.0), ("other", "LASSO", "F1 Score", 0.25), ("other", "MLP", "AUC", None),
+        ("third", "MLP", "AUC", 0.1),
+    ]
+    (tmp_path / "uneven.csv").write_text(",MLP,MLP\nDataset,AUC\n")
+    with pytest.raises(ValueError, match="different lengths"):
+        metrics.read_metrics(spark, str(tmp_path))
+
+
+def test_metrics_survive_writing(spark, tmp_path):
+    rows = [(d, m, x, v) for d, v in (("a", 0.25), ('b "x", y', 1.0), ("c", None)) for m in ("L", "M") for x in ("p", "q")]
+    long = spark.createDataFrame(rows, "dataset string, model string, metric string, value double").repartition(5)
+    path = str(tmp_path / "metrics")
+    metrics.write_metrics(long, path, [(m, x) for m in ("L", "M") for x in ("p", "q")])
+    assert sorted(metrics.read_metrics(spark, path).collect(), key=repr) == sorted(long.collect(), key=repr)
+    metrics.write_metrics(long.limit(0), path, [("L", "p")])
+    assert metrics.read_metrics(spark, path).count() == 0
