@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.functions.codes import LASSO_GRID, MLP_GRID
-from cohortline.operators import assemble, evaluation, explain, neural, prep, splitting, training
+from cohortline.operators import assemble, evaluation, explain, neural, prep, splitting, training, wide
 from cohortline.operators.lasso import Lasso
 from cohortline.plans import jobs
 from cohortline.plans.durable import freeze, new_path
@@ -79,6 +79,26 @@ def one_hot(spark: SparkSession, sf: str) -> DataFrame:
     return prep.one_hot(rows, rows.filter(F.col("source") != "src1"), ["lang", "source"])
 
 
+def wide_categories(spark: SparkSession, sf: str) -> DataFrame:
+    """Places and values of sparse vectors of orders: customers and days by frequency, and an order's price."""
+    orders = _table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 7 != 0, F.col("o_custkey").cast("string")).alias("customer"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        F.col("o_totalprice").alias("price"),
+        "o_orderstatus",
+    )
+    seen = orders.filter(F.col("o_orderstatus") != "F")
+    roles = {"numeric": ["price"], "nominal": ["customer", "day", "o_orderstatus"]}
+    ready = wide.fit_wide(seen, roles, min_frequency=4, max_categories=900).transform(orders)
+    # The parts of a sparse vector as they are stored.
+    parts = F.from_json(F.to_json(F.struct("features")), "features struct<indices: array<int>, values: array<double>>")
+    cells = F.explode(F.arrays_zip(parts["features"]["indices"].alias("place"), parts["features"]["values"].alias("value")))
+    return ready.select("o_orderkey", cells.alias("c")).select(
+        "o_orderkey", F.col("c.place").alias("place"), F.round("c.value", 6).alias("value")
+    )
+
+
 def _long(prepared: DataFrame, key: str) -> DataFrame:
     names = F.array(*[F.lit(n) for n in prep.vector_names(prepared)])
     pairs = F.arrays_zip(names.alias("feature"), vector_to_array("features").alias("value"))
@@ -379,6 +399,7 @@ QUERIES = {
     "impute_median": impute_median,
     "minmax_scale": minmax_scale,
     "one_hot": one_hot,
+    "wide_categories": wide_categories,
     "prep_mixed": prep_mixed,
     "prep_numeric": prep_numeric,
     "confusion_metrics": confusion_metrics,
@@ -630,6 +651,32 @@ ORACLES = {
     "one_hot": f"""WITH {_DOCS} SELECT doc_id, lang, source, {", ".join(
         f"CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS {c}_{v}"
         for c, vs in (("lang", _LANGS), ("source", _SOURCES)) for v in vs if v != "src1")} FROM docs""",
+    "wide_categories": """WITH
+        o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS customer,
+            strftime(o_orderdate, '%Y-%m-%d') AS day, o_totalprice AS price, o_orderstatus FROM orders),
+        seen AS (SELECT * FROM o WHERE o_orderstatus <> 'F'),
+        cells AS (SELECT 1 AS col, customer AS v FROM seen UNION ALL SELECT 2, day FROM seen
+            UNION ALL SELECT 3, o_orderstatus FROM seen),
+        cnt AS (SELECT col, v, count(*) AS n FROM cells WHERE v IS NOT NULL GROUP BY ALL),
+        low AS (SELECT *, n < 4 AS rare FROM cnt),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY col ORDER BY rare, n DESC, v) AS r,
+            count(*) FILTER (NOT rare) OVER (PARTITION BY col) + CAST(bool_or(rare) OVER (PARTITION BY col) AS INTEGER) AS need
+            FROM low),
+        final AS (SELECT col, v, n, rare OR (need > 900 AND r >= 900) AS rare FROM ranked),
+        placed AS (SELECT col, v, n, rare, CASE WHEN rare THEN count(*) FILTER (NOT rare) OVER (PARTITION BY col)
+            ELSE row_number() OVER (PARTITION BY col, rare ORDER BY v) - 1 END AS place FROM final),
+        size AS (SELECT col, max(place) + 1 AS size, bool_or(rare) AS shared FROM placed GROUP BY col),
+        start AS (SELECT col, size, shared, 1 + coalesce(sum(size) OVER (ORDER BY col ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            AS start FROM size),
+        top AS (SELECT col, arg_min(v, (-n, v)) AS v FROM cnt GROUP BY col),
+        long AS (SELECT o_orderkey, 1 AS col, customer AS v FROM o UNION ALL SELECT o_orderkey, 2, day FROM o
+            UNION ALL SELECT o_orderkey, 3, o_orderstatus FROM o),
+        full_long AS (SELECT o_orderkey, col, coalesce(long.v, top.v) AS v FROM long JOIN top USING (col)),
+        marks AS (SELECT o_orderkey, CAST(start + coalesce(place, CASE WHEN shared THEN size - 1 END) AS INTEGER) AS place
+            FROM full_long JOIN start USING (col) LEFT JOIN placed USING (col, v))
+        SELECT o_orderkey, place, 1.0 AS value FROM marks WHERE place IS NOT NULL
+        UNION ALL SELECT o_orderkey, 0, round((price - (SELECT min(price) FROM seen))
+            / (SELECT max(price) - min(price) FROM seen), 6) FROM o""",
     "prep_mixed": f"""WITH {_DOCS},
         full_docs AS (SELECT doc_id, n_lines, constant, source,
             coalesce(n_chars, (SELECT median(n_chars) FROM docs)) AS n_chars,

@@ -5,10 +5,11 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from cohortline.operators import evaluation, explain, lasso, neural, prep, splitting, training
+from cohortline.operators import evaluation, explain, lasso, neural, prep, splitting, training, wide
 from cohortline.plans import jobs, sums
 
 
@@ -112,6 +113,58 @@ def test_many_categories_are_one_look_up(spark):
     assert rows[3][names.index("nominal__kind_v0")] == 1
 
 
+def test_rare_categories_share_a_place(spark, tmp_path):
+    rows = [("a",)] * 5 + [("b",)] * 3 + [("c",)] * 2 + [("d",)] * 2 + [("e",), (None,)]
+    df = spark.createDataFrame(rows, "kind string").withColumn("size", F.lit(2.0))
+
+    def places(**limits):
+        model = wide.fit_wide(df, {"nominal": ["kind"]}, **limits)
+        return {r["value"]: (r["place"], r["rare"]) for r in model.categories.collect()}, model
+
+    every, model = places()
+    assert every == {c: (i, False) for i, c in enumerate("abcde")} and model.shared == []
+    few, model = places(min_frequency=3)
+    assert few == {"a": (0, False), "b": (1, False), "c": (2, True), "d": (2, True), "e": (2, True)}
+    # Ties at the limit go by text; a shared place takes one of the places.
+    capped, _ = places(max_categories=4)
+    assert capped == {"a": (0, False), "b": (1, False), "c": (2, False), "d": (3, True), "e": (3, True)}
+    assert places(max_categories=5)[0] == every
+    assert places(min_frequency=2, max_categories=3)[0]["c"] == (2, True)
+    fresh = spark.createDataFrame([("b",), ("e",), ("new",), (None,)], "kind string")
+    model.save(str(tmp_path / "wide"))
+    again = wide.load_wide(spark, str(tmp_path / "wide"))
+    got = {r["kind"]: r["features"].toArray().tolist() for r in again.transform(fresh).collect()}
+    assert got == {"b": [0, 1, 0], "e": [0, 0, 1], "new": [0, 0, 1], None: [1, 0, 0]}
+    names = {r["place"]: r["feature"] for r in again.features().collect()}
+    assert names == {0: "nominal__kind_a", 1: "nominal__kind_b", 2: "nominal__kind_infrequent"}
+    plain = places()[1].transform(fresh).filter("kind = 'new'").first()["features"]
+    assert plain.size == 5 and plain.numNonzeros() == 0
+
+
+def test_a_hundred_thousand_categories(spark):
+    df = spark.range(300_000).selectExpr(
+        "id", "concat('v', id % 100000) AS kind", "concat('w', id % 3) AS few", "CAST(id AS DOUBLE) AS size", "id % 2 AS y"
+    )
+    roles = {"numeric": ["size"], "nominal": ["kind", "few"]}
+    model = wide.fit_wide(df, roles)
+    ready = model.transform(df)
+    assert model.width == 1 + 100_000 + 3
+    assert len(ready._jdf.queryExecution().analyzed().toString()) < 10_000
+    row = ready.filter("id = 299999").first()["features"]
+    names = {r["place"]: r["feature"] for r in model.features().filter(F.col("place").isin(row.indices.tolist())).collect()}
+    assert dict(zip((names[i] for i in row.indices.tolist()), row.values.tolist())) == {
+        "numeric__size": 1.0, "nominal__kind_v99999": 1.0, "nominal__few_w2": 1.0,
+    }
+    fitted = LogisticRegression(labelCol="y", maxIter=2).fit(ready)
+    assert fitted.numFeatures == model.width
+
+
+def test_wide_preparation_of_empty_columns(spark):
+    df = spark.createDataFrame([(1, None, None)], "id int, kind string, size double")
+    model = wide.fit_wide(df, {"numeric": ["size"], "nominal": ["kind"]})
+    assert model.width == 0 and model.transform(df).first()["features"].size == 0
+
+
 def test_exact_median(spark):
     df = spark.range(1, 1001).select((F.col("id") * F.col("id")).cast("double").alias("v"))
     exact = {"v": (500**2 + 501**2) / 2}
