@@ -43,8 +43,8 @@ from cohortline.plans.durable import freeze, new_path
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 2
-LANES = 256
-STRIDE = 1 << 16
+LANES = 1024
+STRIDE = 1 << 18
 BLOCK = 1 << 20
 # Probabilities are multiples of 2**-20; states are kept in [2**31, 2**63).
 _BITS, _LOW = 20, 31
@@ -52,7 +52,7 @@ _WORD = 32
 MAGIC = b"ids-rans-1\n"
 _TAIL = "<QI"
 # Characters that are cut into words at a time, and bytes of words kept with their ids.
-_SLICE, _KEPT_BYTES = 1 << 21, 96 << 20
+_SLICE, _KEPT_BYTES = 1 << 21, 160 << 20
 _WORD_BYTES = 220
 # Rows that are put to words at a time.
 _ROWS = 1024
@@ -76,6 +76,7 @@ class Tokens:
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.library, self.splitter = Tokenizer.from_file(path), Splitter()
         spec = json.loads(self.library.to_str())
@@ -88,6 +89,9 @@ class Tokens:
             and pre.get("use_regex", True) and spec["model"]["type"] == "BPE" and not spec.get("normalizer")
             and not spec["model"].get("ignore_merges")
         )
+        if self.by_words:
+            # Words come cut already.
+            self.library.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.added = added
         self.special = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
         self._start([], np.empty(0, np.int64), _NO_IDS)
