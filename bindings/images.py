@@ -6,10 +6,11 @@ ordered by the text of their file name. The mask is the cells above 0.2.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from itertools import permutations, product
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.functions.mesh import cell_areas
 from cohortline.operators import (
     components,
     features,
@@ -18,8 +19,10 @@ from cohortline.operators import (
     texture,
     volumes,
 )
-from cohortline.plans.durable import freeze
+from cohortline.plans import jobs
+from cohortline.plans.durable import freeze, new_path
 from cohortline.plans.skew import attach
+from cohortline.sources import frames
 from cohortline.sources.catalogue import slice_order
 
 SIDE = 8
@@ -139,6 +142,12 @@ def surface_mesh(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(surface.derived_ratios(sizes.join(area, "volume_id")))
 
 
+def mesh_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Area, triangles and vertices of the mesh, summed over its tables."""
+    triangles = freeze(surface.mesh_triangles(mask_voxels(spark, sf)))
+    return rounded(surface.mesh_area(triangles, freeze(surface.mesh_vertices(triangles))), 5)
+
+
 def max_diameter(spark: SparkSession, sf: str) -> DataFrame:
     faces = surface.boundary_faces(mask_voxels(spark, sf))
     return rounded(surface.maximum_diameter(faces))
@@ -165,6 +174,49 @@ def image_features(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(features.volume_features(image(spark, sf, files), mask(spark, sf, files)))
 
 
+def image_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Image files of every volume, a catalogue and labels to labelled feature rows, in one job."""
+    root = new_path(spark, "images")
+    files = freeze(_files(spark, sf).join(_names(spark, sf), ["volume_id", "z"]))
+    scans = raw_image(spark, sf, files).join(files.select("volume_id", "z", "file_name"), ["volume_id", "z"])
+    frame = ["frame", "height", "width", "pixels"]
+
+    def folder(kind: str) -> Column:
+        return F.concat(F.lit("study/"), F.col("volume_id").cast("string"), F.lit(f"/{kind}"))
+
+    scans = scans.withColumns({"path": folder("ct"), "frame": F.lit(0)})
+    outlines = files.withColumns(
+        {
+            "path": folder("seg"), "file_name": F.lit("1-1.dcm"), "frame": F.col("z"),
+            "pixels": F.transform("cells", lambda v: F.when(v > F.lit(CUT), 1).otherwise(0)),
+        }
+    )
+    frames.write_frames(scans.select("path", "file_name", *frame), root).count()
+    frames.write_frames(outlines.select("path", "file_name", *frame), root, bits=1).count()
+    volumes_of = files.select("volume_id").distinct()
+    subject = F.concat(F.lit("p"), F.col("volume_id").cast("string"))
+    # Every third volume has a second scan, which makes its subject ineligible.
+    kinds = F.when(F.col("volume_id") % 3 == 1, F.array(*map(F.lit, ("seg", "ct", "ct")))).otherwise(
+        F.array(F.lit("seg"), F.lit("ct"))
+    )
+    catalogue = volumes_of.select("volume_id", subject.alias("Subject ID"), F.posexplode(kinds).alias("at", "kind")).select(
+        "Subject ID", F.upper(F.replace("kind", F.lit("seg"), F.lit("SEG"))).alias("Modality"),
+        F.concat_ws("/", F.col("volume_id").cast("string"), "kind").alias("File Location"), "at",
+    )
+    label = F.when(F.col("volume_id") % 5 != 4, (F.col("volume_id") % 2).cast("int"))
+    labels = volumes_of.select(subject.alias("patient_id"), label.alias("death_2years"))
+    return rounded(jobs.image_features({"study": catalogue}, frames.read_frames(spark, root), labels, ["at"]))
+
+
+def _names(spark: SparkSession, sf: str) -> DataFrame:
+    """The file of each slice."""
+    named = spark.read.parquet(f"{sf}/embeddings.parquet").select(
+        F.col("label").alias("series_id"),
+        F.concat(F.lit("1-"), F.col("vec_id").cast("string"), F.lit(".dcm")).alias("file_name"),
+    )
+    return slice_order(named).select(F.col("series_id").alias("volume_id"), F.col("z").cast("int").alias("z"), "file_name")
+
+
 QUERIES = {
     "slice_normalise": slice_normalise,
     "volume_voxels": volume_voxels,
@@ -175,11 +227,13 @@ QUERIES = {
     "component_shape": component_shape,
     "surface_faces": surface_faces,
     "surface_mesh": surface_mesh,
+    "mesh_tables": mesh_tables,
     "max_diameter": max_diameter,
     "intensity_stats": intensity_stats,
     "glcm_counts": glcm_counts,
     "glcm_props": glcm_props,
     "image_features": image_features,
+    "image_job": image_job,
 }
 
 # --------------------------------------------------------------------------
@@ -334,7 +388,34 @@ far AS (
     SELECT a.volume_id, sqrt(max((a.z - b.z) ** 2 + (a.y - b.y) ** 2 + (a.x - b.x) ** 2)) / 510 AS maximum_diameter
     FROM pt a JOIN pt b USING (volume_id) GROUP BY ALL)
 """
-_AREAS = ", ".join(f"({i}, {a!r})" for i, a in enumerate(cell_areas()))
+# Area of the surface in a cell, for one corner pattern of each kind that turning
+# and mirroring the cell leaves apart. Bit 4a + 2b + c of a pattern is the corner (a, b, c).
+_KINDS = {
+    0: 0.0, 1: 0.862632555317, 3: 1.411440594604, 6: 1.729178989911, 7: 1.366022074198, 15: 1.0,
+    22: 0.869418252252, 23: 0.869414922666, 24: 2.999999954835, 25: 1.502772945187, 27: 1.002772952714,
+    30: 0.502776289828, 31: 0.502772960242, 60: 0.005545935539, 61: 0.002776297356, 63: 0.002772967769,
+    105: 0.000013318345, 107: 0.000009988759, 111: 0.000006659173, 126: 0.000006659173, 127: 0.000003329586,
+    255: 0.0,
+}
+# Triangles of the same kinds.
+_COUNTS = {
+    0: 0, 1: 1, 3: 2, 6: 4, 7: 3, 15: 2, 22: 5, 23: 4, 24: 6, 25: 5, 27: 4, 30: 4, 31: 3, 60: 4, 61: 3, 63: 2,
+    105: 4, 107: 3, 111: 2, 126: 2, 127: 1, 255: 0,
+}
+
+
+def _kind(pattern: int) -> int:
+    """The least pattern that turning and mirroring the cell can give."""
+    corners = [(c >> 2 & 1, c >> 1 & 1, c & 1) for c in range(8) if pattern >> c & 1]
+    return min(
+        sum(1 << 4 * (c[i] ^ u) + 2 * (c[j] ^ v) + (c[k] ^ w) for c in corners)
+        for i, j, k in permutations(range(3))
+        for u, v, w in product((0, 1), repeat=3)
+    )
+
+
+_AREAS = ", ".join(f"({p}, {_KINDS[_kind(p)]!r})" for p in range(256))
+_TRIANGLES = ", ".join(f"({p}, {_COUNTS[_kind(p)]})" for p in range(256))
 _MESH = f"""
 area(pattern, a) AS (VALUES {_AREAS}),
 cube AS (
@@ -360,6 +441,14 @@ def _round(*columns: str) -> str:
 _TEX_OUT = _round("contrast", "correlation", "dissimilarity", "homogeneity", "energy")
 _LIGHT = [f"{s}_intensity" for s in ("mean", "std", "min", "max", "median")]
 
+_FEATURES = f"""WITH RECURSIVE {_PROPS}, {_STATS}, {_PARTS}, {_SHAPES}, {_FACES}, {_POINTS}, {_MESH},
+    rows AS (SELECT volume_id, CAST(n_tumours AS DOUBLE) AS n_tumours,
+            {_round("maximum_diameter", "surface_area", "surface_to_volume_ratio")},
+            CAST(bulk.volume AS DOUBLE) AS volume,
+            {_round("radius", "sphericity", "elongation", "compactness", *_LIGHT)}, {_TEX_OUT}
+        FROM bulk JOIN far USING (volume_id) JOIN mesh USING (volume_id)
+            JOIN light USING (volume_id) JOIN tex USING (volume_id))"""
+
 ORACLES = {
     "slice_normalise": f"WITH {_IMAGE} SELECT volume_id, z, y, x, value FROM img",
     "volume_voxels": f"""WITH {_RAW}
@@ -383,17 +472,19 @@ ORACLES = {
     "surface_mesh": f"""WITH {_IMAGE}, {_MESH}
         SELECT volume_id, volume,
             {_round("surface_area", "surface_to_volume_ratio", "sphericity", "compactness")} FROM mesh""",
+    "mesh_tables": f"""WITH {_IMAGE}, {_MESH}, {_FACES},
+        points AS (SELECT volume_id, count(*) AS vertices FROM face WHERE inside GROUP BY volume_id),
+        tri(pattern, n) AS (VALUES {_TRIANGLES}),
+        numbers AS (SELECT volume_id, CAST(sum(n) AS BIGINT) AS triangles FROM cube JOIN tri USING (pattern) GROUP BY volume_id)
+        SELECT volume_id, round(surface_area, 5) AS surface_area, triangles, vertices
+        FROM skin JOIN points USING (volume_id) JOIN numbers USING (volume_id)""",
     "max_diameter": f"""WITH {_IMAGE}, {_FACES}, {_POINTS}
         SELECT volume_id, {_round("maximum_diameter")} FROM far""",
     "intensity_stats": f"WITH {_HALF}, {_STATS} SELECT volume_id, {_round(*_LIGHT)} FROM light",
     "glcm_counts": f"""WITH {_GLCM}
         SELECT volume_id, z, angle, lo, hi, pairs, total FROM freq WHERE hi > 0""",
     "glcm_props": f"WITH {_PROPS} SELECT volume_id, {_TEX_OUT} FROM tex",
-    "image_features": f"""WITH RECURSIVE {_PROPS}, {_STATS}, {_PARTS}, {_SHAPES}, {_FACES}, {_POINTS}, {_MESH}
-        SELECT volume_id, CAST(n_tumours AS DOUBLE) AS n_tumours,
-            {_round("maximum_diameter", "surface_area", "surface_to_volume_ratio")},
-            CAST(bulk.volume AS DOUBLE) AS volume,
-            {_round("radius", "sphericity", "elongation", "compactness", *_LIGHT)}, {_TEX_OUT}
-        FROM bulk JOIN far USING (volume_id) JOIN mesh USING (volume_id)
-            JOIN light USING (volume_id) JOIN tex USING (volume_id)""",
+    "image_features": f"{_FEATURES} SELECT * FROM rows",
+    "image_job": f"""{_FEATURES} SELECT 'p' || volume_id AS patient_id, * EXCLUDE (volume_id),
+        CAST(volume_id % 2 AS INTEGER) AS death_2years FROM rows WHERE volume_id % 3 <> 1 AND volume_id % 5 <> 4""",
 }

@@ -1,4 +1,4 @@
-"""Area of the iso-surface inside a 2 x 2 x 2 cell, by corner pattern.
+"""Triangles and area of the iso-surface inside a 2 x 2 x 2 cell, by corner pattern.
 
 The masks are binary, so a cell has only 256 patterns. Their areas are derived
 from one rule and not listed: cut points sit on the edges between a set and an
@@ -23,6 +23,10 @@ UNSET_GAP = 0.5 / 255
 CORNERS = np.array([(i >> 2 & 1, i >> 1 & 1, i & 1) for i in range(8)], dtype=float)
 
 
+# The two corners of an edge of the cell.
+Edge = frozenset
+
+
 def corner_bit(dz: int, dy: int, dx: int) -> int:
     """Bit of the corner at an offset from the cell origin."""
     return 1 << (dz * 4 + dy * 2 + dx)
@@ -86,44 +90,63 @@ def _triangle(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> float:
     return float(np.linalg.norm(np.cross(b - a, c - a)) / 2)
 
 
-def _least_fill(points: list[np.ndarray]) -> float:
-    """Area of the smallest triangulation of a closed polygon in space."""
+def _least_fill(points: list[np.ndarray]) -> list[tuple[int, int, int]]:
+    """The triangulation of least area of a closed polygon in space; the first of those that tie."""
 
     @lru_cache(maxsize=None)
-    def fill(i: int, j: int) -> float:
+    def fill(i: int, j: int) -> tuple[float, tuple[tuple[int, int, int], ...]]:
         if j - i < 2:
-            return 0.0
-        return min(
-            fill(i, k) + fill(k, j) + _triangle(points[i], points[k], points[j])
-            for k in range(i + 1, j)
-        )
+            return 0.0, ()
+        parts = []
+        for k in range(i + 1, j):
+            (left, first), (right, second) = fill(i, k), fill(k, j)
+            area = left + right + _triangle(points[i], points[k], points[j])
+            parts.append((area, (*first, *second, (i, k, j))))
+        least = min(area for area, _ in parts)
+        return next(p for p in parts if p[0] <= least + 1e-12)
 
-    return fill(0, len(points) - 1)
+    return list(fill(0, len(points) - 1)[1])
 
 
-def _tube(on: set[int], gap: float) -> float:
+def _tube(on: set[int]) -> list[tuple[Edge, Edge, Edge]]:
     """Two set corners on a body diagonal: six triangles around the ring between them."""
     first, last = sorted(on)
     ring = [first ^ 1, first ^ 3, first ^ 2, first ^ 6, first ^ 4, first ^ 5]
     near = {c: first if bin(c ^ first).count("1") == 1 else last for c in ring}
-    points = [_cut(near[c], c, on, gap) for c in ring]
-    return sum(
-        _triangle(points[i], points[(i + 1) % 6], points[(i + 2) % 6]) for i in range(6)
-    )
+    edges = [frozenset((near[c], c)) for c in ring]
+    return [(edges[i], edges[(i + 1) % 6], edges[(i + 2) % 6]) for i in range(6)]
 
 
 @lru_cache(maxsize=None)
-def cell_areas(gap: float = UNSET_GAP) -> tuple[float, ...]:
-    """Surface area for each of the 256 corner patterns."""
+def cell_triangles(gap: float = UNSET_GAP) -> tuple[tuple[tuple[Edge, Edge, Edge], ...], ...]:
+    """The triangles of each of the 256 corner patterns, by the cut edges they join."""
     diagonals = {frozenset(p) for p in combinations(range(8), 2) if p[0] ^ p[1] == 7}
-    areas = []
+    found = []
     for pattern in range(256):
         on = {c for c in range(8) if pattern >> c & 1}
         if frozenset(on) in diagonals:
-            areas.append(_tube(on, gap))
+            found.append(tuple(_tube(on)))
             continue
-        loops = _loops(on)
-        areas.append(
-            sum((_least_fill([_cut(*sorted(e), on, gap) for e in loop]) for loop in loops), 0.0)
-        )
+        triangles = []
+        for loop in _loops(on):
+            points = [_cut(*sorted(e), on, gap) for e in loop]
+            triangles += [tuple(loop[i] for i in t) for t in _least_fill(points)]
+        found.append(tuple(triangles))
+    return tuple(found)
+
+
+def lattice_edge(edge: Edge, pattern: int) -> tuple[int, int, int, int, int]:
+    """``dz, dy, dx, axis, side`` of a cut edge: its lower corner, its direction, and 1 where the upper corner is set."""
+    low, high = sorted(edge)
+    axis = {4: 0, 2: 1, 1: 2}[low ^ high]
+    return low >> 2 & 1, low >> 1 & 1, low & 1, axis, 1 if pattern >> high & 1 else -1
+
+
+@lru_cache(maxsize=None)
+def cell_areas(gap: float = UNSET_GAP) -> tuple[float, ...]:
+    """Surface area for each of the 256 corner patterns."""
+    areas = []
+    for pattern, triangles in enumerate(cell_triangles(gap)):
+        on = {c for c in range(8) if pattern >> c & 1}
+        areas.append(sum((_triangle(*[_cut(*sorted(e), on, gap) for e in t]) for t in triangles), 0.0))
     return tuple(areas)

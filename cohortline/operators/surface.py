@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.functions.mesh import cell_areas, corner_bit
+from cohortline.functions.mesh import cell_areas, cell_triangles, corner_bit, lattice_edge
 from cohortline.plans.durable import freeze
 from cohortline.plans.skew import attach
 
@@ -56,12 +56,10 @@ def face_counts(faces: DataFrame) -> DataFrame:
     )
 
 
-def surface_area(voxels: DataFrame) -> DataFrame:
-    """Area of the iso-surface of the mask, from the corner pattern of each cell.
+def _cells(voxels: DataFrame) -> DataFrame:
+    """``volume_id, z, y, x, pattern`` of every cell of 2 x 2 x 2 voxels that holds a mask voxel.
 
-    Cells lie within the image, so a mask at the border is not capped. Cells
-    are counted per pattern before the areas are looked up: at most 256 rows
-    per volume meet the table of 256 areas.
+    Cells lie within the image, so a mask at the border is not capped.
     """
     corners = ", ".join(
         f"named_struct('z', z - {dz}, 'y', y - {dy}, 'x', x - {dx}, 'bit', {corner_bit(dz, dy, dx)})"
@@ -69,7 +67,7 @@ def surface_area(voxels: DataFrame) -> DataFrame:
         for dy in (0, 1)
         for dx in (0, 1)
     )
-    cells = (
+    return (
         voxels.select(
             "volume_id", "depth", "height", "width", F.explode(F.expr(f"array({corners})")).alias("c")
         )
@@ -80,7 +78,15 @@ def surface_area(voxels: DataFrame) -> DataFrame:
         .groupBy("volume_id", "c.z", "c.y", "c.x")
         .agg(F.bit_or("c.bit").alias("pattern"))
     )
-    counted = cells.groupBy("volume_id", "pattern").agg(F.count("*").alias("cells"))
+
+
+def surface_area(voxels: DataFrame) -> DataFrame:
+    """Area of the iso-surface of the mask, from the corner pattern of each cell.
+
+    Cells are counted per pattern before the areas are looked up: at most 256
+    rows per volume meet the table of 256 areas.
+    """
+    counted = _cells(voxels).groupBy("volume_id", "pattern").agg(F.count("*").alias("cells"))
     table = voxels.sparkSession.createDataFrame(
         list(enumerate(cell_areas())), "pattern int, area double"
     )
@@ -91,6 +97,60 @@ def surface_area(voxels: DataFrame) -> DataFrame:
     )
 
 
+# A vertex is named by the lattice edge it lies on: the lower voxel, the direction
+# and the side of the set voxel. Cells that share an edge share its vertex.
+EDGE = ["z", "y", "x", "axis", "side"]
+
+
+def mesh_triangles(voxels: DataFrame) -> DataFrame:
+    """``volume_id, z, y, x, number, corners``: the triangles of every cell, three vertex names each."""
+    rows = [
+        (pattern, number, [lattice_edge(e, pattern) for e in triangle])
+        for pattern, triangles in enumerate(cell_triangles())
+        for number, triangle in enumerate(triangles)
+    ]
+    named = ", ".join(f"{c}: int" for c in EDGE)
+    table = voxels.sparkSession.createDataFrame(rows, f"pattern int, number int, edges array<struct<{named}>>")
+    moved = F.transform(
+        "edges",
+        lambda e: F.struct(
+            *[(F.col(c) + e[c]).alias(c) for c in "zyx"], e["axis"].alias("axis"), e["side"].alias("side")
+        ),
+    )
+    found = _cells(voxels).join(F.broadcast(table), "pattern")
+    return found.select("volume_id", "z", "y", "x", "number", moved.alias("corners"))
+
+
+def mesh_vertices(triangles: DataFrame) -> DataFrame:
+    """``volume_id``, the name of each vertex and its place ``pz, py, px``, once for all triangles at it."""
+    names = triangles.select("volume_id", F.explode("corners").alias("e")).select("volume_id", "e.*").distinct()
+    along = F.when(F.col("side") == 1, 1 / UNIT).otherwise(1 - 1 / UNIT)
+    places = [
+        (F.col(c) + F.when(F.col("axis") == i, along).otherwise(0.0)).alias(f"p{c}") for i, c in enumerate("zyx")
+    ]
+    return names.select("volume_id", *EDGE, *places)
+
+
+def mesh_area(triangles: DataFrame, vertices: DataFrame) -> DataFrame:
+    """Area of each volume's mesh, and its numbers of triangles and vertices."""
+    cell = ["volume_id", "z", "y", "x", "number"]
+    corners = triangles.select(
+        F.struct(*cell).alias("triangle"), "volume_id", F.posexplode("corners").alias("k", "e")
+    ).select("triangle", "volume_id", "k", "e.*")
+    held = F.array_sort(F.collect_list(F.struct("k", "pz", "py", "px"))).alias("p")
+    met = corners.join(vertices, ["volume_id", *EDGE]).groupBy("triangle").agg(held)
+
+    def side(k: int, c: str) -> Column:
+        return F.col("p")[k][f"p{c}"] - F.col("p")[0][f"p{c}"]
+
+    (a, b, c), (d, e, f) = ([side(k, axis) for axis in "zyx"] for k in (1, 2))
+    area = F.sqrt(F.pow(b * f - c * e, 2) + F.pow(c * d - a * f, 2) + F.pow(a * e - b * d, 2)) / 2
+    sizes = met.select(F.col("triangle.volume_id").alias("volume_id"), area.alias("area"))
+    totals = sizes.groupBy("volume_id").agg(F.sum("area").alias("surface_area"), F.count("*").alias("triangles"))
+    points = vertices.groupBy("volume_id").agg(F.count("*").alias("vertices"))
+    return totals.join(points, "volume_id")
+
+
 def surface_points(faces: DataFrame) -> DataFrame:
     """The iso-surface points of the faces inside the image, in 1/510 voxel.
 

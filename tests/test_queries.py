@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 # Model fitting has no SQL form; these are tested in test_learning.
 FITTED = {"lasso_cv", "mlp_cv", "train_score_metrics", "train_top_features"}
 # The other volume queries are steps of this one and tested in test_volumes.
-VOLUMES = ["image_features", "glcm_counts", "resample_linear"]
+VOLUMES = ["image_features", "glcm_counts", "resample_linear", "mesh_tables", "image_job"]
 CHECKED = [
     name
     for part in entry._PARTS

@@ -1,11 +1,13 @@
 """Sources: split files with quoted line breaks, two header rows, image files."""
 
 import random
+import struct
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortline.sources import metrics, quoted, tables
+from cohortline.sources import frames, metrics, quoted, tables
 
 
 def plain_csv(spark, path):
@@ -112,3 +114,75 @@ def test_metrics_survive_writing(spark, tmp_path):
     assert sorted(metrics.read_metrics(spark, path).collect(), key=repr) == sorted(long.collect(), key=repr)
     metrics.write_metrics(long.limit(0), path, [("L", "p")])
     assert metrics.read_metrics(spark, path).count() == 0
+
+
+def random_frames(rng, n=3, bits=16, height=5, width=7):
+    return rng.integers(0, 1 << bits, (n, height, width))
+
+
+@pytest.mark.parametrize("bits", [1, 8, 16])
+@pytest.mark.parametrize("n", [1, 4])
+def test_image_files_round_trip(bits, n):
+    cells = random_frames(np.random.default_rng(bits), n, bits)
+    assert (frames.decode(frames.encode(cells, bits)) == cells).all()
+
+
+def test_image_files_of_other_writers():
+    cells = random_frames(np.random.default_rng(1), 2)
+    data = frames.encode(cells)
+    at = data.index(struct.pack("<HH2s", 0x28, 2, b"US"))
+    item = struct.pack("<HHI", 0xFFFE, 0xE000, 0xFFFFFFFF)
+    ends = struct.pack("<HHI", 0xFFFE, 0xE00D, 0), struct.pack("<HHI", 0xFFFE, 0xE0DD, 0)
+    inner = struct.pack("<HH2sHI", 8, 0x1199, b"SQ", 0, 0xFFFFFFFF) + item + struct.pack("<HH2sH", 8, 0x1150, b"UI", 4) + b"1.2\0"
+    nested = struct.pack("<HH2sHI", 8, 0x1115, b"SQ", 0, 0xFFFFFFFF) + item + inner + ends[0] + ends[1] + ends[0] + ends[1]
+    # Sequences of undefined length, nested and with pixels of their own, are passed over.
+    assert (frames.decode(data[:at] + nested + data[at:]) == cells).all()
+    # Implicit representations: the same elements without their kinds.
+    implicit, at = bytearray(data[: data.index(b"1.2.840")] + b"1.2.840.10008.1.2\0"), 132
+    implicit[implicit.index(b"UI") + 2 : implicit.index(b"UI") + 4] = struct.pack("<H", 18)
+    view = memoryview(data)
+    at = data.index(struct.pack("<HH2s", 0x28, 2, b"US"))
+    while at < len(data):
+        tag, size, value = frames._head(view, at, True)
+        implicit += struct.pack("<HHI", tag >> 16, tag & 0xFFFF, size) + data[value : value + size]
+        at = value + size
+    assert (frames.decode(bytes(implicit)) == cells).all()
+
+
+@pytest.mark.parametrize(
+    "change, message",
+    [
+        (lambda d: d[:-3], "ends within"),
+        (lambda d: b"x" * 200, "not an image"),
+        (lambda d: d.replace(b"1.2.840.10008.1.2.1", b"1.2.840.10008.1.2.9"), "transfer syntax"),
+        (lambda d: d[: d.index(struct.pack("<HH2s", 0x28, 0x100, b"US"))], "missing"),
+    ],
+)
+def test_image_files_that_cannot_be_read(change, message):
+    with pytest.raises(ValueError, match=message):
+        frames.decode(change(frames.encode(random_frames(np.random.default_rng(2)))))
+
+
+def test_frames_through_the_data_source(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    rows = []
+    for series in ("a/ct", "a/seg", "b"):
+        for k in range(4):
+            cells = random_frames(rng, 1 + k)
+            rows += [(series, f"1-{k}.dcm", i, 5, 7, c.ravel().tolist()) for i, c in enumerate(cells)]
+    df = spark.createDataFrame(rows, frames.SCHEMA).repartition(6)
+    root = str(tmp_path / "images")
+    assert frames.write_frames(df, root).agg(F.sum("frames")).first()[0] == len(rows)
+    read = frames.read_frames(spark, root, partition_bytes=600)
+    assert read.rdd.getNumPartitions() > 3
+    assert sorted(map(tuple, read.collect())) == sorted(rows)
+    # An aborted attempt leaves a file that is not read.
+    (tmp_path / "images" / "b" / "_1-9.dcm.7").write_bytes(b"half")
+    assert read.count() == frames.read_frames(spark, root).count() == len(rows)
+    (tmp_path / "images" / "b" / "1-9.dcm").write_bytes(b"half")
+    with pytest.raises(Exception, match="1-9.dcm: not an image file"):
+        frames.read_frames(spark, root).collect()
+
+
+def test_an_empty_folder_has_no_frames(spark, tmp_path):
+    assert frames.read_frames(spark, str(tmp_path)).count() == 0

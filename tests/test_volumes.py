@@ -337,3 +337,43 @@ def test_feature_row_does_not_depend_on_partitions(spark):
     ]
     assert len(rows[0]) == 20
     assert list(rows[0])[1:] == pytest.approx(list(rows[1])[1:], rel=1e-12)
+
+
+def ball_and_voxel(spark, radius=3.2, side=10):
+    """A ball and a lone voxel, away from the border."""
+    cells = [
+        (z, y, x) for z in range(side) for y in range(side) for x in range(side)
+        if (z - 4.5) ** 2 + (y - 4.5) ** 2 + (x - 4.5) ** 2 <= radius**2 or (z, y, x) == (1, 1, 8)
+    ]
+    rows = [("v", side, side, side, *c) for c in cells]
+    return spark.createDataFrame(rows, "volume_id string, depth int, height int, width int, z int, y int, x int")
+
+
+def test_mesh_is_closed_and_shares_its_vertices(spark):
+    voxels = ball_and_voxel(spark)
+    triangles = surface.mesh_triangles(voxels)
+    vertices = surface.mesh_vertices(triangles)
+    faces = [[tuple(e) for e in r["corners"]] for r in triangles.collect()]
+    sides = {}
+    for a, b, c in faces:
+        for pair in ((a, b), (b, c), (c, a)):
+            sides[frozenset(pair)] = sides.get(frozenset(pair), 0) + 1
+    assert set(sides.values()) == {2}
+    # Two closed surfaces without holes: corners less edges plus faces is 2 for each.
+    names = {tuple(r[c] for c in surface.EDGE) for r in vertices.collect()}
+    assert len(names) == vertices.count() and len(names) - len(sides) + len(faces) == 4
+    found = surface.mesh_area(triangles, vertices).first()
+    table = surface.surface_area(voxels).first()
+    assert found["surface_area"] == pytest.approx(table["surface_area"], rel=1e-9)
+    assert (found["triangles"], found["vertices"]) == (len(faces), len(names))
+
+
+def test_vertices_lie_beside_the_unset_voxel(spark):
+    one = spark.createDataFrame([("v", 3, 3, 3, 1, 1, 1)], "volume_id string, depth int, height int, width int, z int, y int, x int")
+    triangles = surface.mesh_triangles(one)
+    places = sorted((r["pz"], r["py"], r["px"]) for r in surface.mesh_vertices(triangles).collect())
+    near, far = 1 / 510, 2 - 1 / 510
+    assert places == sorted([(v, 1, 1) for v in (near, far)] + [(1, v, 1) for v in (near, far)] + [(1, 1, v) for v in (near, far)])
+    area = surface.mesh_area(triangles, surface.mesh_vertices(triangles)).first()["surface_area"]
+    assert area == pytest.approx(8 * math.sqrt(3) / 2 * (1 - near) ** 2)
+    assert surface.mesh_triangles(one.limit(0)).count() == 0
