@@ -2,13 +2,15 @@
 
 A 64-bit fingerprint is cut into ``(bits + 2) // 2`` segments, so of two
 fingerprints within ``bits`` differing bits one segment differs in at most one.
-Every segment is indexed once per position with that bit deleted; equal variants
-are joined and the full distance verified. Fingerprints are collapsed first, so
-copies of one text never meet each other. A variant shared by more than
-``CROWD`` fingerprints is not expanded into pairs: its members are indexed again
-with ``bits`` bits deleted from the whole fingerprint. Such a class holds at most
-``2 ** bits`` fingerprints, all of them within the distance, and any two members
-of a crowd within the distance share one.
+Every segment is indexed once per position with that bit deleted, and only
+fingerprints that share a variant with another one go on. Fingerprints are
+collapsed first, so copies of one text never meet each other.
+
+These candidates are joined on whole fingerprints with ``bits // 2`` bits turned
+(and one more deleted where ``bits`` is odd): two of them within the distance
+have a point half-way in common, and all that have one are within the distance.
+Such a class is bounded by the number of points around one, whatever the size of
+a group, so links are given as a star in each class and no pairs are formed.
 """
 
 from __future__ import annotations
@@ -27,7 +29,6 @@ from cohortline.plans.durable import freeze
 
 SHINGLE = 3
 BITS = 2
-CROWD = 16
 _BLOCK = 1 << 15
 
 
@@ -69,11 +70,22 @@ def _variants(points: DataFrame, masks: list[int]) -> DataFrame:
     return spread.select("fp", "mask", F.col("fp").bitwiseAND(F.col("bits")).alias("key"))
 
 
+def _turns(bits: int) -> list[tuple[int, int]]:
+    """Bits that are kept and bits that are turned, so that points within ``bits`` of each other meet.
+
+    After one deletion for an odd distance the rest is even, and half of it leads to a middle.
+    """
+    everything = (1 << 64) - 1
+    masks = [everything & ~(1 << b) for b in range(64)] if bits % 2 else [everything]
+    turned = [sum(1 << b for b in some) for k in range(bits // 2 + 1) for some in combinations(range(64), k)]
+    return [(m, t) for m in masks for t in turned if t & m == t]
+
+
 def near_links(points: DataFrame, bits: int = BITS) -> DataFrame:
     """Distinct links ``(u, v)`` that connect whatever is within ``bits`` differing bits.
 
-    ``points`` holds distinct fingerprints in column ``fp``. Pairs outside crowds
-    are all given; inside a crowd enough of them to keep it connected as it is.
+    ``points`` holds distinct fingerprints in column ``fp``. Every link is within
+    the distance, and any two points within it have a path of links in their class.
     """
     segments = (bits + 2) // 2
     cuts = [64 * s // segments for s in range(segments + 1)]
@@ -83,37 +95,21 @@ def near_links(points: DataFrame, bits: int = BITS) -> DataFrame:
         for wild in range(lo, hi)
     ]
     index = _variants(points, masks)
-    buckets = freeze(
-        index.groupBy("mask", "key")
-        .agg(F.count("*").alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v"))
-        .filter("n > 1")
+    shared = freeze(index.groupBy("mask", "key").agg(F.count("*").alias("n")).filter("n > 1").drop("n"))
+    met = index.join(F.broadcast(shared) if small_enough(shared, 40) else shared, ["mask", "key"], "left_semi")
+    candidates = freeze(met.select("fp").distinct())
+    turns = F.array(
+        *[F.struct(F.lit(_signed(m)).cast("long").alias("kept"), F.lit(_signed(t)).cast("long").alias("turned")) for m, t in _turns(bits)]
     )
+    around = candidates.select("fp", F.explode(turns).alias("t")).select(
+        "fp", F.col("t.kept").alias("kept"),
+        F.col("fp").bitwiseAND(F.col("t.kept")).bitwiseXOR(F.col("t.turned")).alias("key"),
+    )
+    # A class lies within ``bits // 2`` of its key, so its members are few.
+    classes = around.groupBy("kept", "key").agg(F.collect_list("fp").alias("members")).filter(F.size("members") > 1)
+    stars = classes.select(F.explode("members").alias("u"), F.array_min("members").alias("v"))
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= bits
-    links = buckets.filter("n = 2").select("u", "v").filter(near)
-    larger = buckets.filter("n > 2").select("mask", "key", "n")
-    members = freeze(
-        index.join(F.broadcast(larger) if small_enough(larger, 40) else larger, ["mask", "key"])
-    )
-    few = members.filter(F.col("n") <= CROWD)
-    left = few.select("mask", "key", F.col("fp").alias("u"))
-    right = few.select("mask", "key", F.col("fp").alias("v"))
-    links = links.unionByName(
-        left.join(right, ["mask", "key"]).filter("u < v").select("u", "v").filter(near)
-    )
-    crowded = freeze(members.filter(F.col("n") > CROWD).select("fp").distinct())
-    if not crowded.isEmpty():
-        everything = (1 << 64) - 1
-        wild = [
-            everything & ~sum(1 << b for b in gone) for gone in combinations(range(64), bits)
-        ]
-        classes = _variants(crowded, wild).groupBy("mask", "key").agg(
-            F.count("*").alias("n"), F.collect_list("fp").alias("members")
-        )
-        stars = classes.filter("n > 1").select(
-            F.explode("members").alias("u"), F.array_min("members").alias("v")
-        )
-        links = links.unionByName(stars.filter("u <> v"))
-    return links.distinct()
+    return stars.filter("u <> v").filter(near).distinct()
 
 
 def simhash_groups(docs: DataFrame, width: int = SHINGLE, bits: int = BITS) -> DataFrame:
