@@ -32,8 +32,10 @@ from cohortline.llm.common import table
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 CHUNK = 64
-# Stretches whose encoding is kept, and pairs whose verdict is kept.
-KEPT = 1 << 20
+# Bytes of the stretches whose encoding is kept, and of the pairs whose verdict is kept, in a worker;
+# and what an entry costs besides its characters and ids.
+KEPT_BYTES, PAIR_BYTES = 96 << 20, 64 << 20
+_ENTRY = 190
 # Where pieces may be cut: before the blank of a word, and between letters and
 # anything else; each with what no piece of a model may hold for that.
 _WORDS = regex.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+"), regex.compile(f"[^{BLANK}]{BLANK}")
@@ -79,6 +81,8 @@ class Encoder:
         self.apart: dict[str, dict[str, float]] = {}
         self.pairs = 0
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.bytes = 0
         self.spelled = {i: p for p, (i, _) in scores.items()}
         self.byte_of = {i: b for b, i in enumerate(byte_ids)}
         # Ids that stand for the same text wherever they are.
@@ -118,10 +122,11 @@ class Encoder:
         if not self.bpe:
             found = self.scores.get(piece)
             return found[1] if found else self.unknown
-        if self.pairs >= KEPT:
+        if self.pairs >= PAIR_BYTES:
             self.apart.clear()
             self.pairs = 0
-        self.pairs += 1
+        # The verdict and, at worst, a table of its own for the piece before.
+        self.pairs += 2 * _ENTRY + len(before) + len(piece)
         apart = self.merge(before + piece) == ([before, piece] if before else [piece])
         return 0.0 if apart else _NONE
 
@@ -231,11 +236,16 @@ class Encoder:
         for stretch in self.stretches(escaped):
             ids = kept.get(stretch)
             if ids is None:
-                ids = self._ids(stretch)
+                ids = self.older.get(stretch)
+                if ids is None:
+                    ids = self._ids(stretch)
                 if len(stretch) <= CHUNK:
-                    if len(kept) >= KEPT:
-                        kept.clear()
+                    if self.bytes >= KEPT_BYTES // 2:
+                        # What was met since the last time stays, as the older half.
+                        self.older, self.kept, self.bytes = kept, {}, 0
+                        kept = self.kept
                     kept[stretch] = ids
+                    self.bytes += _ENTRY + len(stretch) + len(ids)
             found.append(ids)
         return np.frombuffer(b"".join(found), np.int32)
 
@@ -324,6 +334,7 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     for texts that hold the blank mark itself. Null counts as empty. Columns of
     these names are replaced; repeated rows give repeated results.
     """
+    # Only the text goes through Python; the other columns wait in their rows.
     encoded = docs.withColumn("piece_ids", checked_ids(F.col("text"), path))
     found = encoded.withColumns(
         {"n_pieces": F.size("piece_ids.ids").cast("long"), "round_trip": F.col("piece_ids.same")}

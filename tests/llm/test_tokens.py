@@ -127,6 +127,17 @@ def test_unigram_scores_against_all_segmentations(chunk):
         assert sum(scores[p][1] if p in scores else own.unknown for p in path) == pytest.approx(best)
 
 
+def test_small_stores_give_the_same_ids(encoder, monkeypatch):
+    texts = odd_texts(200, 8) + [" ".join(f"word{i % 301} x{i}" for i in range(120_000))]
+    assert len(texts[-1]) > 1 << 20
+    want = [encoder.encode(t).tolist() for t in texts]
+    monkeypatch.setattr(pieces, "KEPT_BYTES", 20_000)
+    monkeypatch.setattr(pieces, "PAIR_BYTES", 30_000)
+    own = pieces.Encoder.load(public_tokenizers.path(pieces.MODEL))
+    assert [own.encode(t).tolist() for t in texts] == want
+    assert own.bytes < 20_000 and own.pairs < 40_000
+
+
 def test_prefix_scan_is_associative():
     rng = np.random.default_rng(1)
     matrices = [rng.normal(size=s) for s in ((1, 4), (4, 3), (3, 5), (5, 2), (2, 2))]
