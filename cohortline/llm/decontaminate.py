@@ -1,8 +1,10 @@
 """Benchmark decontamination with a broadcast hash set of n-grams.
 
-Native Spark expressions only. Each text becomes an array of words; an array of
-window hashes is exploded into a broadcast hash join with the distinct windows
-of the benchmark. A hit is verified word by word before it counts.
+Native Spark expressions only. Each text becomes an array of words; the hashes
+of its windows are exploded, without the words, into a broadcast hash join with
+the distinct windows of the benchmark. Texts with hits are read once more, and
+every hit is verified word by word against its text before it counts. The work
+is in proportion to the words of a text, however long it is.
 """
 
 from __future__ import annotations
@@ -10,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import lower_ascii, small_enough, table
+from cohortline.llm.common import BROADCAST_BYTES, lower_ascii, small_enough, table
 from cohortline.plans.durable import freeze
+from cohortline.plans.skew import table_bytes
 
 WINDOW = 10
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -58,37 +61,55 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
     grams, owners = benchmark_windows(benchmark, width)
     grams, owners = freeze(grams), freeze(owners)
     sizes = sorted(r[0] for r in grams.select("size").distinct().collect())  # at most ``width`` numbers
-    rows = docs.select("doc_id", F.xxhash64("text").alias("copy"), words(F.col("text")).alias("tokens"))
-    # The first element stands for the row itself, so that one pass serves all.
-    row = F.struct(F.lit(-1).alias("at"), F.lit(0).alias("size"), F.lit(0).cast("long").alias("hash"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("copy"), F.col("text").alias("text"))
+    tokens = words(F.col("text"))
+    parted = rows.withColumn("tokens", tokens)
+    # The first element stands for the row itself and holds its size, so that one pass serves all.
+    row = F.struct(F.lit(-1).alias("at"), F.size("tokens").alias("size"), F.lit(0).cast("long").alias("hash"))
     all_windows = F.concat(F.array(row), *[_windows(F.col("tokens"), F.lit(s)) for s in sizes])
-    spread = rows.select("doc_id", "copy", "tokens", F.explode(all_windows).alias("w"))
-    small = F.broadcast(grams) if small_enough(grams, 64 + 16 * width) else grams
+    spread = parted.select("doc_id", "copy", F.explode(all_windows).alias("w"))
+    small = F.broadcast(grams) if table_bytes(grams) <= BROADCAST_BYTES else grams
     small = small.select("gram", F.col("hash").alias("g_hash"), F.col("size").alias("g_size"), "words")
-    hit = (F.col("w.hash") == F.col("g_hash")) & (F.col("w.size") == F.col("g_size"))
+    same = (F.col("w.hash") == F.col("g_hash")) & (F.col("w.size") == F.col("g_size")) & (F.col("w.at") >= 0)
+    itself = F.col("w.at") < 0
     found = (
-        spread.join(small, hit, "left")
-        .filter(
-            (F.col("w.at") < 0)
-            | (F.slice("tokens", F.col("w.at") + 1, F.col("w.size")) == F.col("words"))
-        )
+        spread.join(small, same, "left")
+        .filter(itself | F.col("gram").isNotNull())
         .select(
             "doc_id",
             "copy",
-            F.when(F.col("w.at") < 0, F.size("tokens")).alias("n_words"),
-            F.when(F.col("w.at") >= 0, F.struct("w.at", "w.size")).alias("span"),
-            F.when(F.col("w.at") >= 0, F.col("gram")).alias("gram"),
+            F.when(itself, F.col("w.size")).alias("n_words"),
+            F.when(~itself, F.struct("w.at", "w.size", "gram", "words")).alias("hit"),
         )
     )
-    # One group is one text: its spans are bounded by its words.
+    # One group is one text: its hits are bounded by its words.
     texts = freeze(
         found.groupBy("doc_id", "copy").agg(
             F.max("n_words").cast("long").alias("n_words"),
             F.count("n_words").alias("copies"),
-            F.sort_array(F.collect_set("span")).alias("spans"),
-            F.collect_set("gram").alias("grams"),
+            F.sort_array(F.collect_set("hit")).alias("hits"),
         )
     )
+    marked = texts.filter(F.size("hits") > 0).select(
+        F.col("doc_id").alias("m_doc"), F.col("copy").alias("m_copy"), "n_words", "hits"
+    )
+    marked = freeze(marked)
+    few = F.broadcast(marked) if table_bytes(marked) <= BROADCAST_BYTES else marked
+    met = F.col("doc_id").eqNullSafe(F.col("m_doc")) & (F.col("copy") == F.col("m_copy"))
+    # Every row with hits is read again with its words; repeated rows come as often as they are.
+    again = rows.join(few, met).withColumn("tokens", tokens)
+    true = F.filter("hits", lambda h: F.slice("tokens", h["at"] + 1, h["size"]) == h["words"])
+    verified = again.select(
+        "doc_id", "copy", "n_words", F.lit(1).cast("long").alias("copies"), true.alias("hits")
+    )
+    clean = texts.filter(F.size("hits") == 0)
+    texts = freeze(
+        verified.unionByName(clean).select(
+            "doc_id", "copy", "n_words", "copies",
+            F.array_sort(F.array_distinct(F.transform("hits", lambda h: F.struct(h["at"].alias("at"), h["size"].alias("size"))))).alias("spans"),
+            F.array_distinct(F.transform("hits", lambda h: h["gram"])).alias("grams"),
+        )
+    )
     end = F.struct(F.lit(0).cast("long").alias("hit"), F.lit(0).alias("end"))
     covered = F.aggregate(
         "spans",
@@ -103,6 +124,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
         texts.filter(F.size("grams") > 0)
         .select("doc_id", "copy", F.explode("grams").alias("gram"))
         .join(few_owners, "gram")
+        .distinct()
         .groupBy(F.col("doc_id").alias("i_doc"), F.col("copy").alias("i_copy"))
         .agg(F.collect_set(F.coalesce(F.col("item_id").cast("string"), F.lit(""))).alias("items"))
     )

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -84,3 +85,23 @@ def test_pipeline_stages(spark):
     final = corpus_pipeline.run(spark, SF)
     assert rows(final, "doc_id") == rows(docs, "doc_id")
     assert final.filter("not round_trip or size(piece_ids) <> n_pieces").count() == 0
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    """A text four times as long does not take sixteen times as long."""
+    passage = " ".join(f"planted{i}" for i in range(12))
+    benchmark = spark.createDataFrame([("b1", passage)], "item_id string, text string")
+
+    def seconds(n):
+        text = " ".join(f"w{i % 9973}" for i in range(n)) + " " + passage
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string").persist()
+        docs.count()
+        start = time.perf_counter()
+        found = decontaminate.contamination(docs, benchmark).first()
+        assert (found["n_words"], found["n_hit"], found["n_items"]) == (n + 12, 12, 1)
+        return time.perf_counter() - start
+
+    seconds(1000)
+    short, long = seconds(100_000), seconds(400_000)
+    assert len(" ".join(f"w{i % 9973}" for i in range(400_000))) > 1 << 21
+    assert long < 8 * short + 5
