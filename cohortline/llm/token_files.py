@@ -28,11 +28,9 @@ import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
-from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,6 +38,7 @@ from pyspark.sql import functions as F
 from cohortline.llm.common import settle, table
 from cohortline.llm.token_counts import Splitter
 from cohortline.plans.durable import freeze, new_path
+from cohortline.sources.files import get_file, put_file
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 2
@@ -350,34 +349,6 @@ def decode_block(n: int, stream: np.ndarray, states: np.ndarray, before: np.ndar
 # Files
 
 
-def _open(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path as tasks and driver see it."""
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), unquote(urlparse(path).path)
-    if path.startswith("/"):
-        return fs.LocalFileSystem(), path
-    return fs.FileSystem.from_uri(path)
-
-
-def _put(path: str, data: list[bytes]) -> None:
-    """Write a file under its name in one move, so that a repeated task leaves a whole file."""
-    system, place = _open(path)
-    context = TaskContext.get()
-    own = f"{place}.{context.taskAttemptId() if context else 'driver'}.part"
-    system.create_dir(place.rsplit("/", 1)[0], recursive=True)
-    with system.open_output_stream(own) as out:
-        for piece in data:
-            out.write(piece)
-    system.move(own, place)
-
-
-def _get(path: str, start: int = 0, size: int | None = None) -> bytes:
-    system, place = _open(path)
-    with system.open_input_file(place) as source:
-        source.seek(start)
-        return source.read(source.size() - start if size is None else size)
-
-
 @dataclass
 class Pieces:
     """The documents of a block: ``count`` ids of each lie in it."""
@@ -530,7 +501,7 @@ def write_token_files(
     spark = docs.sparkSession
     stream = settle(token_stream(docs, path, end, block))
     shared = Table.of_counts({r["id"]: r["n"] for r in id_counts(stream).collect()})
-    _put(f"{folder}/table", [shared.pack()])
+    put_file(f"{folder}/table", [shared.pack()])
     sent = spark.sparkContext.broadcast(shared.pack())
 
     def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -544,7 +515,7 @@ def write_token_files(
             first = held[0][0]
             name = f"{folder}/ids-{first['part']:07d}-{first['block']:09d}"
             tail = json.dumps({"table": crc, "blocks": [d for d, _ in held]}).encode()
-            _put(name, [*(x for _, b in held for x in b), tail, struct.pack(_TAIL, len(tail), zlib.crc32(tail)), MAGIC])
+            put_file(name, [*(x for _, b in held for x in b), tail, struct.pack(_TAIL, len(tail), zlib.crc32(tail)), MAGIC])
             yield pa.RecordBatch.from_pydict({"file": [name], "blocks": [len(held)], "ids": [sum(d["n"] for d, _ in held)]})
             held.clear()
 
@@ -574,7 +545,7 @@ _DIRECTORY = "file string, entry string, part int, block long, n long"
 def directory(spark: SparkSession, folder: str) -> DataFrame:
     """``file, entry, part, block, n`` of every block, from the ends of the files."""
     files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "ids-*-*[0-9]").load(folder)
+        spark.read.format("binaryFile").option("pathGlobFilter", "ids-*").load(folder)
         .select("path", "length").repartition("path")
     )
 
@@ -582,11 +553,11 @@ def directory(spark: SparkSession, folder: str) -> DataFrame:
         for part in parts:
             for file, length in zip(part["path"].to_pylist(), part["length"].to_pylist()):
                 fixed = struct.calcsize(_TAIL) + len(MAGIC)
-                end = _get(file, length - fixed, fixed) if length >= fixed else b""
+                end = get_file(file, length - fixed, fixed) if length >= fixed else b""
                 if not end.endswith(MAGIC):
                     raise ValueError(f"not a file of ids: {file}")
                 size, crc = struct.unpack_from(_TAIL, end)
-                tail = _get(file, length - fixed - size, size)
+                tail = get_file(file, length - fixed - size, size)
                 if zlib.crc32(tail) != crc:
                     raise ValueError(f"the directory is damaged: {file}")
                 blocks = json.loads(tail)["blocks"]
@@ -603,7 +574,7 @@ def directory(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_block(file: str, entry: dict, shared: Table) -> tuple[np.ndarray, Pieces]:
     """Ids and documents of one block; damaged bytes raise an error."""
-    data = memoryview(_get(file, entry["at"], sum(entry["sizes"])))
+    data = memoryview(get_file(file, entry["at"], sum(entry["sizes"])))
     body, at = [], 0
     for size, crc in zip(entry["sizes"], entry["crc"]):
         body.append(data[at : at + size])
@@ -624,7 +595,7 @@ def _read(spark: SparkSession, folder: str, values: Callable, kind: str) -> Data
         blocks.groupBy("part").agg(F.sum("n").alias("ids"))
         .select("part", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
     )
-    sent = spark.sparkContext.broadcast(_get(f"{folder}/table"))
+    sent = spark.sparkContext.broadcast(get_file(f"{folder}/table"))
 
     def decode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = Table.unpack(sent.value)

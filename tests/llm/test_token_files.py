@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cohortline.llm import token_files as tf
+from cohortline.sources.files import get_file, put_file
 from tests.llm.conftest import ROWS, SF, rows
 from tests.llm.test_tokens import odd_texts
 
@@ -161,8 +162,8 @@ def test_damage_is_found(spark, tmp_path):
     texts = [(i, "some words to write down " * 50) for i in range(4)]
     folder, files = written(spark, spark.createDataFrame(texts, "doc_id long, text string"), tmp_path)
     name = files.first()["file"]
-    data = bytearray(tf._get(name))
+    data = bytearray(get_file(name))
     data[40] ^= 1
-    tf._put(name, [bytes(data)])
+    put_file(name, [bytes(data)])
     with pytest.raises(Exception, match="is damaged"):
         tf.read_checksums(spark, folder).collect()
