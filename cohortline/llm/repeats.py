@@ -1,5 +1,6 @@
 """Removal of repeated passages by prefix-free parsing.
 
+Of equal texts only the first is parsed; the others are repeated as a whole.
 A rolling hash of the bytes sets the triggers: in every stretch of ``LENGTH``
 bytes the smallest hash of a short gram. All stretches with the same trigger
 form a phrase, so equal stretches begin at the same place of phrases with the
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import settle, table
+from cohortline.llm.common import settle, small_enough, table
 
 LENGTH = 50
 GRAM = 16
@@ -276,7 +277,17 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     rows without an id come last. ``kept`` holds the other bytes in order. Null
     counts as empty; repeated rows give repeated results.
     """
-    texts = _keyed(docs)
+    every = _keyed(docs)
+    # A text that a smaller document holds whole goes whole; only the first of equal texts is parsed.
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    copies = settle(
+        every.groupBy(digest.alias("copy")).agg(F.min("doc").alias("least"), F.max("doc").alias("last"))
+        .filter("least < last").drop("last")
+    )
+    few = F.broadcast(copies) if small_enough(copies, 128) else copies
+    marked = every.withColumn("copy", digest).join(few, "copy", "left")
+    again = F.coalesce(F.col("doc") > F.col("least"), F.lit(False))
+    texts = marked.filter(~again).select("doc", "text")
     found, hot = repeated_phrases(texts)
     phrases = found.filter("whole").groupBy("doc").agg(F.collect_set("phrase").alias("phrases"))
     stretches = repeated_stretches(texts, found.filter("not whole"), hot)
@@ -305,10 +316,17 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 ["doc", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
-    marked = texts.join(phrases, "doc", "left").join(stretches, "doc", "left")
+    parsed = texts.join(phrases, "doc", "left").join(stretches, "doc", "left")
     schema = "doc long, n_bytes long, n_removed long, n_spans long, kept binary"
+    data = F.coalesce("text", F.lit("")).cast("binary")
+    size, whole = F.octet_length(data).cast("long"), F.octet_length(data) >= LENGTH
+    repeated = marked.filter(again).select(
+        "doc", size.alias("n_bytes"), F.when(whole, size).otherwise(0).alias("n_removed"),
+        whole.cast("long").alias("n_spans"), F.when(whole, F.lit(b"")).otherwise(data).alias("kept"),
+    )
     own = F.when(F.col("doc") != (1 << 63) - 1, F.col("doc")).cast(docs.schema["doc_id"].dataType)
-    return marked.mapInArrow(cut, schema).select(own.alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
+    done = parsed.mapInArrow(cut, schema).unionByName(repeated)
+    return done.select(own.alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
