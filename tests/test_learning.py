@@ -353,6 +353,8 @@ def test_blocks_are_bounded_and_whole(spark):
     first, other = (neural.row_blocks(d, 64).collect() for d in (df.repartition(9), df.coalesce(1)))
     assert sorted(r["n"] for r in first) == [1033 % 64] + [64] * (1033 // 64)
     assert sorted(map(str, first)) == sorted(map(str, other))
+    spread, parts = neural.spread_blocks(neural.row_blocks(df, 64), 5)
+    assert parts > 1 and spread.count() == parts * len(first) and spread.rdd.getNumPartitions() >= len(first)
     back = [(tuple(r["x"][2 * i : 2 * i + 2]), r["y"][i]) for r in first for i in range(r["n"])]
     assert sorted(back) == sorted((tuple(x), y) for x, y in rows)
 
@@ -362,7 +364,7 @@ def test_gradient_over_blocks_is_that_of_all_rows(spark):
     x, y, sizes = rng.normal(size=(500, 3)), rng.integers(0, 2, 500).astype(float), [3, 5, 2, 1]
     w = neural.start_weights(sizes, 3)
     df = spark.createDataFrame([(r.tolist(), float(t)) for r, t in zip(x, y)], "x array<double>, y double")
-    blocks = neural.spread_blocks(neural.row_blocks(df, 7))
+    blocks = neural.row_blocks(df, 7)
     loss, gradient = neural.mean_gradient(blocks, sizes, w, 0.3)
     want = neural.loss_and_gradient(w, sizes, x, y, 0.3)
     assert loss == pytest.approx(want[0], rel=1e-12) and gradient == pytest.approx(want[1], rel=1e-9, abs=1e-14)
