@@ -270,6 +270,21 @@ def test_lasso_stops_where_rounding_ends(spark):
     assert all(f.passes < 100 and np.isfinite(f.objective) for f in fits)
 
 
+def test_lasso_step_among_dependent_columns():
+    # All values of a category beside the intercept: coordinate descent alone crawls along their common line.
+    rng = np.random.default_rng(3)
+    x = np.hstack([np.eye(4)[rng.integers(0, 4, 400)], np.eye(9)[rng.integers(0, 9, 400)], np.ones((400, 1))])
+    y = (rng.random(400) < 0.8).astype(float)
+    w = np.zeros(x.shape[1])
+    for passes in range(1, 16):  # noqa: B007
+        found = lasso._unpacked(lasso.partial_sums(x, y, w), len(w))
+        gradient = 1000 * found[1]
+        if lasso.violation(w, gradient) < 1e-6:
+            break
+        w = w + lasso._solve(w, gradient, 1000 * found[2], 1e-12)
+    assert passes < 12
+
+
 def test_sums_do_not_depend_on_the_order(spark):
     rng = np.random.default_rng(6)
     values = rng.normal(size=(90, 50)) * 10.0 ** rng.integers(-12, 12, (90, 50))
