@@ -397,6 +397,27 @@ def test_scores_are_column_expressions(spark):
     assert got == pytest.approx(neural.probability(neural.forward(x, neural.unpack(w, sizes))[-1][:, 0]), rel=1e-12)
 
 
+def test_many_models_are_scored_in_one_pass(spark):
+    rng = np.random.default_rng(5)
+    rows = spark.createDataFrame([(rng.random(3).tolist(), i % 2) for i in range(50)], "x array<double>, label int")
+    rows = rows.withColumn("features", array_to_vector("x")).repartition(60)
+    shapes = [[3, 4, 1], [3, 5, 2, 1], [3, 4, 1]]
+    models = [
+        neural.ReluNetworkModel(sizes=s, weights=neural.start_weights(s, i).tolist()) for i, s in enumerate(shapes)
+    ]
+    models.insert(1, lasso.LassoModel(weights=[1.0, -2.0, 0.5, 0.1], objective=0.0, violation=0.0))
+    scored = training.scores_of(models, rows)
+    # One branch for all networks, however many, and one for the other model.
+    assert scored._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2
+    found = {}
+    for r in scored.collect():
+        found.setdefault(r["model"], []).append((r["label"], round(r["score"], 9)))
+    assert sorted(found) == [0, 1, 2, 3]
+    for i, model in enumerate(models):
+        expected = [(r["label"], round(r["score"], 9)) for r in training.with_score(model, rows).collect()]
+        assert sorted(found[i]) == sorted(expected)
+
+
 @pytest.mark.parametrize("model_type", ["lreg", "lreg_wide"])
 def test_grid_search_finds_the_signal(spark, model_type):
     df, _, _ = study(spark)
