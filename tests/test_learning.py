@@ -497,6 +497,48 @@ def test_kernel_shapley_against_all_coalitions(spark, d):
         assert np.abs(off).max() < 1e-9
 
 
+def test_shapley_scores_every_coalition(spark):
+    rows = spark.createDataFrame(
+        [(1, [1.0, 2.0, 0.0]), (1, [1.0, 2.0, 0.0]), (2, [3.0, None, 1.0]), (None, [5.0, 8.0, 1.0])], "id long, x array<double>"
+    )
+    weights, names, seen = [0.5, -0.25, 2.0], ["a", "b", "c"], []
+
+    def predict(df):
+        seen.append(df.count())
+        return explain.linear_predictor(weights)(df)
+
+    got = explain.coalition_shapley(rows, predict, names, ["id"]).collect()
+    # The model is asked for all eight coalitions of the four rows.
+    assert seen == [32]
+    want = explain.linear_shapley(rows, weights, names, ["id"]).collect()
+    order = lambda r: (str(r["id"]), r["feature"], r["phi"] or 0.0)
+    for g, w in zip(sorted(got, key=order), sorted(want, key=order), strict=True):
+        assert (g["id"], g["feature"]) == (w["id"], w["feature"])
+        assert g["phi"] == (None if w["phi"] is None else pytest.approx(w["phi"], abs=1e-12))
+
+
+def test_shapley_queries_ask_the_model(spark, tmp_path, monkeypatch):
+    from bindings import learning
+
+    spark.createDataFrame([(i, "a\nb" * i, 10 * i) for i in range(5)], "doc_id long, text string, n_chars long").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    spark.createDataFrame([(i, i % 2) for i in range(5)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    asked, made = [], explain.linear_predictor
+
+    def watched(weights):
+        def predict(df):
+            asked.append(df.count())
+            return made(weights)(df)
+
+        return predict
+
+    monkeypatch.setattr(explain, "linear_predictor", watched)
+    assert learning.shapley_linear(spark, str(tmp_path)).count() == 15
+    assert learning.shapley_importance(spark, str(tmp_path)).count() == 3
+    assert asked == [40, 40]
+
+
 def test_kernel_shapley_of_odd_rows(spark):
     empty = spark.createDataFrame([], "id int, x array<double>")
     linear = explain.linear_predictor([1.0, 2.0])
