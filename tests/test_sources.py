@@ -1,9 +1,12 @@
 """Sources: split files with quoted line breaks, two header rows, image files."""
 
 import random
+import string
 import struct
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,3 +189,35 @@ def test_frames_through_the_data_source(spark, tmp_path):
 
 def test_an_empty_folder_has_no_frames(spark, tmp_path):
     assert frames.read_frames(spark, str(tmp_path)).count() == 0
+
+
+def test_quoted_text_is_written_twice_only(spark, tmp_path):
+    rng = random.Random(4)
+    # Every document has many lines, so each line belongs to a longer record.
+    rows = [(str(i), "\n".join("".join(rng.choices(string.ascii_letters + string.digits, k=70)) for _ in range(40))) for i in range(2000)]
+    path = tmp_path / "long.csv"
+    path.write_text("k,text\n" + "".join(f'{k},"{t}"\n' for k, t in rows))
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    size = lambda: sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+    before, split = size(), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        found = quoted.read_quoted(spark, str(path))
+        assert sorted(tuple(r) for r in found.collect()) == sorted(rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    assert size() - before < 2.7 * path.stat().st_size
+
+
+def test_lines_of_many_splits_in_one_batch():
+    texts = ['a,"x', "y", 'z"', "b,c", 'd,"""', '"']
+    kinds = [pa.string(), pa.int64(), pa.string()]
+    columns = [["f"] * 6 + ["g"] * 6, [0, 0, 9, 9, 9, 20] + [0] * 5 + [7], texts * 2]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["file", "block", "value"])
+    whole = [r for b in quoted._numbered(iter([batch])) for r in b.to_pylist()]
+    parts = [r for b in quoted._numbered(iter([batch[:4], batch[4:4], batch[4:]])) for r in b.to_pylist()]
+    assert whole == parts
+    assert [r["at"] for r in whole] == [1, 2, 1, 2, 3, 1, 1, 2, 3, 4, 5, 1]
+    assert [r["before"] for r in whole[6:]] == [False, True, True, False, False, False]
+    assert [r["even_from"] for r in whole[6:]] == [1, 1, 1, 4, 5, 1]
+    assert [r["odd_from"] for r in whole[6:]] == [0, 2, 3, 3, 3, 0]
