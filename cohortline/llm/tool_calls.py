@@ -14,8 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import table
-from cohortline.plans.durable import freeze
+from cohortline.llm.common import settle, table
 from cohortline.plans.ordering import row_index
 
 # Parameters of a tool: name, JSON type, and whether it must be given.
@@ -84,33 +83,84 @@ def levels(calls: DataFrame) -> DataFrame:
     """``conv_id, call_id, level``: the longest chain of needed calls before each call.
 
     Needs of calls that do not exist, and of calls without a conversation, are
-    ignored; calls on a cycle, or behind one, have no level. Each round of joins settles one level, so only the calls with
-    needs and those that they need take part.
+    ignored; calls on a cycle, or behind one, have no level.
     """
-    nodes = calls.filter("call_id is not null").select("conv_id", "call_id").distinct()
-    links = (
+    nowhere = calls.select("conv_id", "call_id", "needs", F.lit(0).alias("turn"), F.lit(0).alias("place"))
+    return settled_calls(nowhere).drop("behind")
+
+
+def settled_calls(calls: DataFrame) -> DataFrame:
+    """``levels``, and ``behind``: the last ``(turn, place)`` among each call and all that it needs.
+
+    Calls with one need are settled by pointer doubling, in rounds that grow with
+    the logarithm of a chain. Calls with several needs are then settled level by
+    level, so they alone add rounds, by their number on a path.
+    """
+    key = ["conv_id", "call_id"]
+    nodes = settle(
+        calls.filter("call_id is not null").groupBy(*key).agg(F.min(F.struct("turn", "place")).alias("behind"))
+    )
+    links = settle(
         calls.filter("call_id is not null and size(needs) > 0")
-        .select("conv_id", "call_id", F.explode("needs").alias("need")).distinct()
-        .join(nodes.withColumnRenamed("call_id", "need"), ["conv_id", "need"], "left_semi")
+        .select(*key, F.explode("needs").alias("need")).distinct()
+        .join(nodes.select("conv_id", F.col("call_id").alias("need")), ["conv_id", "need"], "left_semi")
     )
-    links = freeze(links)
     if links.isEmpty():
-        return nodes.withColumn("level", F.lit(0))
-    ends = links.select("conv_id", "call_id").distinct()
-    level = 0
-    settled = freeze(nodes.join(ends, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0)))
+        return nodes.select(*key, F.lit(0).alias("level"), "behind")
+    several = links.groupBy(*key).agg(F.count("*").alias("n"), F.min("need").alias("need"))
+    # Calls that need one other: where they point to, how far it is, and the last place on the way to it.
+    path = several.filter("n = 1").join(nodes, key).select(*key, "need", F.lit(1).alias("far"), "behind")
+    path, done, before = settle(path), None, None
     while True:
-        known = settled.select("conv_id", F.col("call_id").alias("need"), "level")
-        state = links.join(known, ["conv_id", "need"], "left").groupBy("conv_id", "call_id").agg(
-            F.count("*").alias("n"), F.count("level").alias("done"), F.max("level").alias("level")
-        )
-        ready = state.filter("n = done").join(settled, ["conv_id", "call_id"], "left_anti")
-        level += 1
-        new = freeze(ready.select("conv_id", "call_id", F.lit(level).alias("level")))
+        ahead = path.select("conv_id", F.col("call_id").alias("need"), F.col("need").alias("next"),
+                            F.col("far").alias("more"), F.col("behind").alias("then"))
+        jumped = settle(
+            path.join(ahead, ["conv_id", "need"], "left").select(
+                *key, F.coalesce("next", "need").alias("need"), (F.col("far") + F.coalesce("more", F.lit(0))).alias("far"),
+                F.greatest("behind", F.coalesce("then", "behind")).alias("behind"), F.col("next").isNotNull().alias("open"),
+            )
+        )
+        open_ = jumped.filter("open").count()
+        # Each round ends at least one path while there is one to end; the rest are cycles.
+        if open_ in (0, before):
+            done = jumped.filter("not open").drop("open")
+            break
+        path, before = jumped.drop("open"), open_
+    ends = links.select(*key).distinct()
+    settled = settle(nodes.join(ends, key, "left_anti").select(*key, F.lit(0).alias("level"), "behind"))
+    joins = several.filter("n > 1").select(*key)
+    wanted = links.join(joins, key, "left_semi")
+    # A need that was settled by its path stands for the call at the end of the path.
+    over = done.select("conv_id", F.col("call_id").alias("need"), F.col("need").alias("end"), "far", F.col("behind").alias("then"))
+    steps = settle(
+        wanted.join(over, ["conv_id", "need"], "left")
+        .select(*key, F.coalesce("end", "need").alias("need"), F.coalesce("far", F.lit(0)).alias("far"), "then")
+    )
+    while not steps.isEmpty():
+        known = settled.select("conv_id", F.col("call_id").alias("need"), F.lit(True).alias("known"), "level",
+                               F.col("behind").alias("there"))
+        state = steps.join(known, ["conv_id", "need"], "left").groupBy(*key).agg(
+            F.count("*").alias("n"), F.count("known").alias("done"), F.max(F.col("level") + F.col("far") + 1).alias("level"),
+            F.max(F.greatest("there", F.coalesce("then", "there"))).alias("needed"),
+        )
+        new = settle(
+            state.filter("n = done").join(nodes, key)
+            .select(*key, "level", F.greatest("behind", "needed").alias("behind"))
+        )
         if new.isEmpty():
-            rest = nodes.join(settled, ["conv_id", "call_id"], "left_anti")
-            return settled.unionByName(rest.withColumn("level", F.lit(None).cast("int")))
-        settled = freeze(settled.unionByName(new))
+            break
+        settled = settle(settled.unionByName(new))
+        steps = settle(steps.join(new, key, "left_anti"))
+    known = settled.select("conv_id", F.col("call_id").alias("need"), "level", F.col("behind").alias("there"))
+    single = done.join(known, ["conv_id", "need"]).select(
+        *key, (F.col("level") + F.col("far")).alias("level"), F.greatest("behind", "there").alias("behind")
+    )
+    every = settle(settled.unionByName(single))
+    # Calls without a conversation are settled, though their nulls meet nothing here.
+    rest = nodes.filter("conv_id is not null").join(every, key, "left_anti").select(
+        *key, F.lit(None).cast("int").alias("level"), F.lit(None).cast(nodes.schema["behind"].dataType).alias("behind")
+    )
+    return every.unionByName(rest)
 
 
 def argument_errors(name: Column, arguments: Column, schemas: Schemas) -> Column:
@@ -138,17 +188,18 @@ def link_calls(calls: DataFrame, results: DataFrame, messages: DataFrame, schema
     ``conv_id, turn, seq, kind, call_id, linked, errors, record``: ``kind`` is
     call, orphan or message, ``seq`` the place in the conversation from zero and
     ``record`` canonical JSON. A conversation keeps its own order where needed
-    calls come first, and is ordered by level where they do not; calls on a cycle
-    come last, with an error. Of several results of one call the earliest counts;
+    calls come first; a call that stands before what it needs goes behind the last
+    of it, and calls that meet there are ordered by level. Calls on a cycle come
+    last, with an error. Of several results of one call the earliest counts;
     calls that share an identifier share its result. Null ids are a conversation
     of their own; null texts are null in the record.
     """
-    settled = levels(calls)
+    settled = settled_calls(calls)
     key = ["conv_id", "call_id"]
     first = results.groupBy(*key).agg(F.min(F.struct("turn", "content")).alias("result")).select(
         F.col("conv_id").alias("r_conv"), F.col("call_id").alias("r_call"), "result"
     )
-    ranked = settled.select(F.col("conv_id").alias("l_conv"), F.col("call_id").alias("l_call"), "level")
+    ranked = settled.select(F.col("conv_id").alias("l_conv"), F.col("call_id").alias("l_call"), "level", "behind")
     same_result = F.col("conv_id").eqNullSafe(F.col("r_conv")) & (F.col("call_id") == F.col("r_call"))
     same_level = F.col("conv_id").eqNullSafe(F.col("l_conv")) & (F.col("call_id") == F.col("l_call"))
     errors = argument_errors(F.col("name"), F.col("arguments"), schemas)
@@ -167,6 +218,8 @@ def link_calls(calls: DataFrame, results: DataFrame, messages: DataFrame, schema
         F.col("result").isNotNull().alias("linked"),
         F.array_join("errors", "; ").alias("errors"),
         F.coalesce("level", F.when(F.col("cyclic"), F.lit((1 << 31) - 1)), F.lit(0)).alias("level"),
+        "cyclic",
+        F.greatest(F.struct("turn", "place"), F.coalesce("behind", F.struct("turn", "place"))).alias("at"),
         _json(
             F.struct(F.try_parse_json("arguments").alias("arguments"), F.col("call_id").alias("id"), "name").alias("call"),
             F.when(F.col("result").isNotNull(), F.struct("result.content", "result.turn")).alias("result"),
@@ -185,19 +238,12 @@ def link_calls(calls: DataFrame, results: DataFrame, messages: DataFrame, schema
         F.lit(None).cast("string").alias("call_id"), F.lit(False).alias("linked"), F.lit("").alias("errors"),
         F.lit(0).alias("level"), _json(F.col("text").alias("content"), "role", "turn").alias("record"),
     )
-    every = records.unionByName(orphans).unionByName(plain)
-    # Levels decide only where a conversation's own order has a call before what it needs.
-    turns = calls.select("conv_id", "turn", "place", "call_id")
-    needed = turns.select(*[F.col(c).alias(f"n_{c}") for c in turns.columns])
-    ahead = (
-        calls.select("conv_id", "turn", "place", F.explode("needs").alias("need"))
-        .join(needed, F.col("conv_id").eqNullSafe(F.col("n_conv_id")) & (F.col("need") == F.col("n_call_id")))
-        .filter(F.struct("n_turn", "n_place") >= F.struct("turn", "place"))
-        .select(F.col("conv_id").alias("f_conv")).distinct()
-    )
-    ordered = every.join(ahead.withColumn("mixed", F.lit(True)), F.col("conv_id").eqNullSafe(F.col("f_conv")), "left")
-    placed = ordered.withColumn("level", F.when(F.col("mixed"), F.col("level")).otherwise(0)).drop("f_conv", "mixed")
-    indexed = row_index(placed, ["conv_id"], ["level", "turn", "place", "kind", "record"], "seq")
+    here = F.struct("turn", "place").alias("at")
+    others = orphans.unionByName(plain).select("*", F.lit(False).alias("cyclic"), here)
+    every = records.unionByName(others).select("*", F.col("at.turn").alias("at_turn"), F.col("at.place").alias("at_place"))
+    # What a call needs, and then its level, decide where it stands.
+    order = ["cyclic", "at_turn", "at_place", "kind", "level", "turn", "place", "record"]
+    indexed = row_index(every.drop("at"), ["conv_id"], order, "seq")
     return indexed.select("conv_id", "turn", "seq", "kind", "call_id", "linked", "errors", "record")
 
 
@@ -215,13 +261,14 @@ def exchanges(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """A chat without tools as calls, results and other messages.
 
     A turn of the user is a call of ``reply`` with its text as prompt, the turn of
-    the assistant behind it the result; other turns stay messages.
+    the assistant behind it the result; other turns stay messages. A call needs
+    the one whose result is the turn before it.
     """
     called = F.concat(F.lit("reply-"), F.col("turn").cast("string"))
     calls = messages.filter("role = 'user'").select(
         "conv_id", "turn", F.lit(0).alias("place"), called.alias("call_id"), F.lit("reply").alias("name"),
         _json(F.col("text").alias("prompt"), "turn").alias("arguments"),
-        F.array().cast("array<string>").alias("needs"),
+        F.array(F.concat(F.lit("reply-"), (F.col("turn") - 2).cast("string"))).alias("needs"),
     )
     before = F.concat(F.lit("reply-"), (F.col("turn") - 1).cast("string"))
     results = messages.filter("role = 'assistant'").select(

@@ -2,9 +2,11 @@
 
 import html
 import json
+import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortline.llm import page_text, tool_calls
 from tests.llm.conftest import SF, rows
@@ -108,3 +110,40 @@ def test_levels_of_a_long_chain(spark):
     frame = spark.createDataFrame(chain, "conv_id long, call_id string, needs array<string>")
     want = [(1, f"c{i}", i) for i in range(6)] + [(1, "d", 6)]
     assert rows(tool_calls.levels(frame)) == sorted(want, key=repr)
+
+
+def test_exchanges_need_the_reply_before(spark):
+    told = [(c, t, ("user", "assistant")[t % 2], f"{t}") for c in (1, 2) for t in range(40) if (c, t) != (2, 20)]
+    frame = spark.createDataFrame([*told, (None, 0, "user", "x")], "conv_id long, turn long, role string, text string")
+    calls, results, other = tool_calls.exchanges(frame)
+    level = {(r.conv_id, r.call_id): r.level for r in tool_calls.levels(calls).collect()}
+    assert level[1, "reply-38"] == 19 and level[2, "reply-38"] == 8 and level[None, "reply-0"] == 0
+    found = tool_calls.link_calls(calls, results, other, tool_calls.REPLY).collect()
+    assert len(found) == 41
+    # A call that is told before the one it needs stands behind it, and what follows stays where it was.
+    swapped = calls.withColumn("turn", F.when(F.col("call_id") == "reply-6", 1).otherwise(F.col("turn")))
+    found = tool_calls.link_calls(swapped, results, other, tool_calls.REPLY).filter("conv_id = 1 and kind = 'call'")
+    assert [r.call_id for r in found.orderBy("seq").collect()] == [f"reply-{t}" for t in range(0, 40, 2)]
+
+
+def test_levels_of_many_shapes(spark):
+    rng = random.Random(3)
+    calls, want = [], {}
+    for conv in range(30):
+        names, shape = rng.sample(range(100), 25), conv % 3
+        needs = {n: [rng.choice(names[:i]) for _ in range(rng.randint(0, (1, 3, 2)[shape]))] for i, n in enumerate(names) if i}
+        needs[names[0]] = [names[rng.randrange(1, 25)]] if conv % 5 == 0 else []
+        place = {n: rng.randrange(50) for n in names}
+        calls += [(conv, str(n), [str(x) for x in needs[n]] + ["none"], place[n], 0) for n in names]
+
+        def settle(n, on=()):
+            if n in on:
+                return None
+            told = [settle(x, (*on, n)) for x in needs[n]]
+            return None if None in told else (max([t[0] + 1 for t in told], default=0), max([place[n], *[t[1] for t in told]]))
+
+        want |= {(conv, str(n)): settle(n) for n in names}
+    frame = spark.createDataFrame(calls, "conv_id long, call_id string, needs array<string>, turn long, place int")
+    found = {(r.conv_id, r.call_id): r for r in tool_calls.settled_calls(frame).collect()}
+    assert {k: r.level if r.level is None else (r.level, r.behind.turn) for k, r in found.items()} == want
+    assert any(v is None for v in want.values()) and max(v[0] for v in want.values() if v) > 5
