@@ -1,16 +1,22 @@
 """Main text of web pages by the tokens that the pages of a host share.
 
 A page is read as tokens: tags with the path of blocks they are in, and blocks of
-text with theirs. For each host the pages and the times of every token are
-counted, a partial aggregate however many pages a host has.
-
-The tokens that occur exactly once on a page, on most pages of the host that hold
-any, are the root template. It is valid on a page as far as its tokens come in the common order; what lies
-between two of them is a slot. Other classes (items of a menu, paragraphs) are
-nested: all their tokens lie in one slot, named by their path. Template text
-outside the article is dropped, slots in menus, headers, footers, adverts, forms, comments and the like
-are dropped by the tags, roles and names of the blocks around them, and what the
-remaining slots hold is the text: of the article where there is one.
+text with theirs. For each host and token the pages, the times and a fingerprint
+of the occurrence vector (the times on every page) are added up, a partial
+aggregate however many pages a host has.
+
+Tokens that occur exactly once on a page, on most pages of the host that hold any,
+are the root class. Its tokens count on a page as far as they come in the common
+order; what lies between two of them is a slot. Tokens with equal vectors and more
+times (items of a menu) form the other classes. Each page is then held against
+them: a class is ordered where its tokens come in turns, and nested where each
+turn lies in one slot of the root or of another class, the same one every time. A
+class that is both on most of its pages is valid, if the class it lies in is.
+
+Template text outside the article is dropped, slots in menus, headers, footers,
+adverts, forms, comments and the like are dropped by the tags, roles and names of
+the blocks around them, and what the remaining slots hold is the text: of the
+article where there is one.
 """
 
 from __future__ import annotations
@@ -171,77 +177,222 @@ def _with_host(pages: DataFrame) -> DataFrame:
     return pages.select(host.alias("host"), "page_id", "url", "html")
 
 
-def templates(pages: DataFrame, least: int = LEAST_PAGES) -> DataFrame:
-    """``host, template``: the root class of every host, in the common order.
+def vectors(pages: DataFrame) -> DataFrame:
+    """``host, token, n, place, times, high, low``: pages, sum of first places, times and vector of each token.
 
-    One list is bounded by twice the mean number of tokens of the host's pages.
+    ``high`` and ``low`` are sums over the pages of a hash of the page and the times on it.
     """
 
     def occurrences(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             held: dict[tuple[str, int], list[int]] = {}
             for host, page in zip(part["host"], part["html"], strict=True):
-                host = host.as_py()
+                host, page = host.as_py(), page.as_py() or ""
                 order: dict[int, int] = {}
                 counts: Counter[int] = Counter()
-                for place, (token, _, _) in enumerate(tokens(page.as_py() or "")):
+                for place, (token, block, said) in enumerate(tokens(page)):
+                    # Text of the article is never template, even where all pages share it.
+                    if said and block.article:
+                        continue
                     key = _key(token)
                     counts[key] += 1
                     order.setdefault(key, place)
                 # Token 0 stands for the page, if it holds anything.
                 if counts:
                     counts[0] = 1
+                seed = xxhash.xxh64_intdigest(page.encode("utf-8", "replace"))
+                marks = {c: xxhash.xxh64_intdigest(c.to_bytes(8, "little"), seed) for c in set(counts.values())}
                 for key, count in counts.items():
-                    one = held.setdefault((host, key), [0, 0, 0])
+                    one = held.setdefault((host, key), [0, 0, 0, 0, 0])
                     one[0] += 1
                     one[1] += order.get(key, -1)
                     one[2] += count
-            columns = [[h for h, _ in held], [k for _, k in held], *zip(*held.values(), strict=True)]
-            types = [pa.string(), *[pa.int64()] * 4]
+                    one[3] += marks[count] >> 32
+                    one[4] += marks[count] & 0xFFFFFFFF
             if held:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["host", "token", "n", "place", "times"]
-                )
-
-    rows = pages.select("host", "html").mapInArrow(occurrences, "host string, token long, n long, place long, times long")
-    vectors = freeze(
-        rows.groupBy("host", "token").agg(
-            F.sum("n").alias("n"), F.sum("place").alias("place"), F.sum("times").alias("times")
-        )
+                columns = [[h for h, _ in held], [k for _, k in held], *zip(*held.values(), strict=True)]
+                types = [pa.string(), *[pa.int64()] * 6]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+    names = ["host", "token", "n", "place", "times", "high", "low"]
+    rows = pages.select("host", "html").mapInArrow(
+        occurrences, "host string, token long, n long, place long, times long, high long, low long"
     )
-    root = vectors.filter("token = 0").select("host", F.col("n").alias("pages"))
+    return freeze(rows.groupBy("host", "token").agg(*[F.sum(n).alias(n) for n in names[2:]]))
+
+
+def equal_classes(pages: DataFrame, least: int = LEAST_PAGES) -> DataFrame:
+    """``host, template, classes``: the root class of every host and those of equal vectors, in the common order.
+
+    All lists of a host together are bounded by twice the mean number of tokens of its pages.
+    """
+    found = vectors(pages)
+    root = found.filter("token = 0").select("host", F.col("n").alias("pages"))
     roots = root.filter(F.col("pages") >= least)
-    shared = vectors.filter(f"token <> 0 and n >= {least}").join(roots, "host")
     # An odd page or two, cut short or built in another way, do not undo the template.
-    valid = shared.filter("times = n and 2 * n > pages").withColumn("place", F.col("place") / F.col("n"))
-    return valid.groupBy("host").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("place", "token"))), lambda t: t["token"]).alias("template")
+    shared = found.filter(f"token <> 0 and n >= {least}").join(roots, "host").filter("2 * n > pages")
+    placed = shared.withColumn("place", F.col("place") / F.col("n"))
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("place", "token"))), lambda t: t["token"])
+    once = placed.filter("times = n").groupBy("host").agg(in_order.alias("template"))
+    # A class of one token says nothing about an order.
+    equal = placed.filter("times > n").groupBy("host", "n", "times", "high", "low").agg(in_order.alias("tokens"))
+    others = equal.filter("size(tokens) > 1").groupBy("host").agg(F.sort_array(F.collect_list("tokens")).alias("classes"))
+    none = F.array()
+    return once.join(others, "host", "full").select(
+        "host",
+        F.coalesce("template", none.cast("array<long>")).alias("template"),
+        F.coalesce("classes", none.cast("array<array<long>>")).alias("classes"),
     )
 
 
-def page_text(page: str | None, template: list[int] | None = None) -> str:
-    """The main text of a page, given the root template of its host in order."""
-    rank = {key: i for i, key in enumerate(template or ())}
-    slots: dict[int, list[tuple[Block, str]]] = {}
-    slot, article, sure = -1, False, False
+def templates(pages: DataFrame, least: int = LEAST_PAGES) -> DataFrame:
+    """``host, template``: the root class of every host, in the common order."""
+    return equal_classes(pages, least).select("host", "template")
+
+
+class Template:
+    """The classes of a host. ``nested`` has, for each class, the class and slot it lies in, or null if invalid.
+
+    Class -1 is the root. Without ``nested`` all classes are followed wherever they lie.
+    """
+
+    def __init__(
+        self,
+        root: list[int] | None = None,
+        classes: list[list[int]] | None = None,
+        nested: list[tuple[int, int] | None] | None = None,
+    ) -> None:
+        self.rank = {key: i for i, key in enumerate(root or ())}
+        self.sizes = [len(c) for c in classes or ()]
+        self.places = nested
+        self.members = {
+            key: (c, i) for c, some in enumerate(classes or ()) if self.valid(c) for i, key in enumerate(some)
+        }
+
+    def valid(self, c: int) -> bool:
+        """Whether a class and all that it lies in are valid."""
+        seen: set[int] = set()
+        while self.places is not None and c >= 0:
+            if c in seen or self.places[c] is None:
+                return False
+            seen.add(c)
+            c = self.places[c][0]
+        return True
+
+
+class Walk:
+    """One page held against a template, token by token.
+
+    ``inside`` has the places where turns of a class began, ``bad`` the classes
+    that came out of order or overlap another.
+    """
+
+    def __init__(self, template: Template) -> None:
+        self.template, self.slot = template, -1
+        # Classes whose turn is not over, from the outside, and the token that each waits for.
+        self.open: list[list[int]] = []
+        self.inside: dict[int, set[tuple[int, int]]] = {}
+        self.bad: set[int] = set()
+
+    def step(self, key: int) -> bool:
+        """Whether the next token belongs to the template."""
+        rank = self.template.rank.get(key)
+        if rank is not None and rank > self.slot:
+            # The next token of the root: a slot ends, another begins.
+            self.end()
+            self.slot = rank
+            return True
+        found = self.template.members.get(key)
+        if found is None:
+            return False
+        c, i = found
+        level = next((k for k, (other, _) in enumerate(self.open) if other == c), None)
+        if i == 0:
+            place = tuple(self.open[-1]) if self.open else (-1, self.slot)
+            if level is not None:
+                self.bad.add(c)
+                return False
+            if self.template.places is not None and self.template.places[c] != place:
+                return False
+            self.inside.setdefault(c, set()).add(place)
+            self.open.append([c, 1])
+            return True
+        if level is None or self.open[level][1] != i:
+            self.bad.add(c)
+            return False
+        # What began inside and is not over overlaps.
+        self.end(level + 1)
+        self.open[level][1] += 1
+        if self.open[level][1] == self.template.sizes[c]:
+            del self.open[level:]
+        return True
+
+    def end(self, level: int = 0) -> None:
+        """Close what is open from a level on."""
+        self.bad.update(c for c, _ in self.open[level:])
+        del self.open[level:]
+
+
+def nested_classes(hosted: DataFrame, found: DataFrame) -> DataFrame:
+    """``host, nested``: for each class of ``found`` the class and slot it lies in, or null where it is not valid."""
+
+    def walk(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            held: Counter[tuple[str, int, int, int]] = Counter()
+            known: dict[str, Template] = {}
+            for i, host in enumerate(part["host"].to_pylist()):
+                if host not in known:
+                    known[host] = Template(part["template"][i].as_py(), part["classes"][i].as_py())
+                page = Walk(known[host])
+                for token, block, said in tokens(part["html"][i].as_py() or ""):
+                    if not (said and block.article):
+                        page.step(_key(token))
+                page.end()
+                for c in page.bad | set(page.inside):
+                    one = page.inside.get(c, ())
+                    held[host, c, *(next(iter(one)) if c not in page.bad and len(one) == 1 else (-2, -1))] += 1
+            if held:
+                columns = [*zip(*held, strict=True), list(held.values())]
+                types = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+    names = ["host", "class", "parent", "slot", "n"]
+    joined = with_host(hosted.select("host", "html"), found.filter("size(classes) > 0"), "inner")
+    seen = joined.mapInArrow(walk, "host string, class int, parent int, slot int, n long")
+    places = seen.groupBy("host", "class", "parent", "slot").agg(F.sum("n").alias("n"))
+    best = places.groupBy("host", "class").agg(F.max(F.struct("n", "parent", "slot")).alias("best"), F.sum("n").alias("pages"))
+    valid = best.filter("2 * best.n > pages and best.parent > -2")
+    by_class = F.map_from_entries(F.collect_list(F.struct("class", F.struct("best.parent", "best.slot"))))
+    listed = valid.groupBy("host").agg(by_class.alias("places"))
+    return found.join(listed, "host", "left").select(
+        "host", "template", "classes",
+        F.transform("classes", lambda _, i: F.try_element_at("places", i)).alias("nested"),
+    )
+
+
+def with_host(hosted: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """``hosted`` with the lists of its hosts."""
+    lists = F.coalesce(F.size("template"), F.lit(0)) + F.coalesce(F.size(F.flatten("classes")), F.lit(0))
+    size = found.agg(F.coalesce(F.sum(lists * 16 + F.length("host") * 4 + 64), F.lit(0))).first()[0]
+    # Beyond the bound adaptive execution splits hosts with many pages.
+    return hosted.join(F.broadcast(found) if size <= BROADCAST_BYTES else found, "host", how)
+
+
+def page_text(page: str | None, template: Template | None = None) -> str:
+    """The main text of a page, given the template of its host."""
+    walk = Walk(template or Template())
+    slots: list[tuple[Block, str]] = []
+    article, sure = False, False
     for token, block, said in tokens(page or ""):
         # Text of the article is never template, even where all pages share it.
-        place = None if said and block.article else rank.get(_key(token))
-        if place is not None and place > slot:
-            # The next token of the template: a slot ends, another begins.
-            slot = place
+        if not (said and block.article) and walk.step(_key(token)):
             continue
         if said and not block.side:
-            slots.setdefault(slot, []).append((block, said))
+            slots.append((block, said))
             article = article or block.article
             sure = sure or (block.article and not block.doubted)
     # Teasers and comments are articles too: those under a side name count only where there is no other.
-    kept = [
-        said
-        for key in sorted(slots)
-        for block, said in slots[key]
-        if (block.article or not article) and not (sure and block.doubted)
-    ]
+    kept = [said for block, said in slots if (block.article or not article) and not (sure and block.doubted)]
     return " ".join(kept)
 
 
@@ -254,21 +405,25 @@ def main_text(pages: DataFrame) -> DataFrame:
     names decide. Repeated rows give repeated results.
     """
     hosted = _with_host(pages)
-    found = freeze(templates(hosted))
-    size = found.agg(F.coalesce(F.sum(F.size("template") * 8 + F.length("host") * 4 + 64), F.lit(0))).first()[0]
-    # Beyond the bound adaptive execution splits hosts with many pages.
-    joined = hosted.join(F.broadcast(found) if size <= BROADCAST_BYTES else found, "host", "left")
+    found = freeze(equal_classes(hosted))
+    joined = with_host(hosted, freeze(nested_classes(hosted, found)), "left")
 
     def extract(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            said = [
-                page_text(page.as_py(), template.as_py())
-                for page, template in zip(part["html"], part["template"], strict=True)
-            ]
+            known: dict[str, Template] = {}
+            said = []
+            for i, host in enumerate(part["host"].to_pylist()):
+                if host not in known:
+                    places = part["nested"][i].as_py() or []
+                    nested = [p and (p["parent"], p["slot"]) for p in places]
+                    known[host] = Template(part["template"][i].as_py(), part["classes"][i].as_py(), nested)
+                said.append(page_text(part["html"][i].as_py(), known[host]))
             yield pa.RecordBatch.from_arrays([part["page_id"], part["url"], pa.array(said, pa.string())], ["page_id", "url", "text"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return joined.select("page_id", "url", "html", "template").mapInArrow(extract, f"page_id {kind}, url string, text string")
+    return joined.select("host", "page_id", "url", "html", "template", "classes", "nested").mapInArrow(
+        extract, f"page_id {kind}, url string, text string"
+    )
 
 
 def op1_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
