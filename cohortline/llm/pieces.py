@@ -43,6 +43,8 @@ _RUNS = (
     regex.compile(rf"{BLANK}*\p{{L}}+|{BLANK}*[^\p{{L}}{BLANK}]+|{BLANK}+"),
     regex.compile(rf"\p{{L}}\P{{L}}|[^\p{{L}}{BLANK}][\p{{L}}{BLANK}]"),
 )
+# The same for texts that hold no blank mark, before their blanks become one.
+_PLAIN = {cut: regex.compile(cut.pattern.replace(BLANK, " ")) for cut, _ in (_WORDS, _RUNS)}
 _NONE = -np.inf
 
 Edge = tuple[int, int]
@@ -71,12 +73,13 @@ class Encoder:
 
     def __init__(self, scores: dict[str, tuple[int, float]], byte_ids: list[int], bpe: bool = True) -> None:
         self.scores, self.byte_ids, self.bpe = scores, byte_ids, bpe
-        # Whether a text is a piece, for the beginnings of all pieces.
-        self.matches = {p[:k]: False for p in scores for k in range(1, len(p) + 1)} | dict.fromkeys(scores, True)
+        # The piece that a text is, if any, for the beginnings of all pieces.
+        self.matches = {p[:k]: "" for p in scores for k in range(1, len(p) + 1)} | {p: p for p in scores}
         self.longest = max(map(len, scores), default=1)
         self.unknown = min((s for _, s in scores.values()), default=0.0) - 10
         fitting = [cut for cut, never in (_RUNS, _WORDS) if not any(map(never.search, scores))]
         self.stretches = fitting[0].findall if fitting else lambda text: [text]
+        self.plain_stretches = _PLAIN[fitting[0]].findall if fitting else lambda text: [text]
         # Weights by the piece before and the piece.
         self.apart: dict[str, dict[str, float]] = {}
         self.pairs = 0
@@ -125,8 +128,8 @@ class Encoder:
         if self.pairs >= PAIR_BYTES:
             self.apart.clear()
             self.pairs = 0
-        # The verdict and, at worst, a table of its own for the piece before.
-        self.pairs += 2 * _ENTRY + len(before) + len(piece)
+        # A place in a table; the model's own text of a piece is its key.
+        self.pairs += 64 if piece in self.scores else _ENTRY
         apart = self.merge(before + piece) == ([before, piece] if before else [piece])
         return 0.0 if apart else _NONE
 
@@ -157,24 +160,30 @@ class Encoder:
         reached = {at: (0.0, first)}
         matches, apart, size = self.matches.get, self.apart, len(text)
         for start in range(at, right):
-            if start not in reached:
+            state = reached.get(start)
+            if state is None:
                 continue
-            value, begin = reached[start]
+            value, begin = state
             before = text[begin:start]
             verdicts = apart.get(before)
             if verdicts is None:
                 verdicts = apart[before] = {}
-            for end in range(start + 1, size + 1):
+                self.pairs += 3 * _ENTRY + 2 * len(before)
+            verdict, one = verdicts.get, start + 1
+            for end in range(one, size + 1):
                 piece = text[start:end]
-                match = matches(piece)
-                if match or end == start + 1:
-                    step = verdicts.get(piece)
-                    if step is None:
-                        step = verdicts[piece] = self.weight(before, piece)
-                    if step != _NONE and (end not in reached or reached[end][0] < value + step):
+                step = verdict(piece)
+                if step is None:
+                    match = matches(piece)
+                    if not match and end > one:
+                        if match is None:
+                            break
+                        continue
+                    step = verdicts[match or piece] = self.weight(before, piece)
+                if step != _NONE:
+                    best = reached.get(end)
+                    if best is None or best[0] < value + step:
                         reached[end] = (value + step, start)
-                if match is None:
-                    break
         return reached
 
     def transfer(self, text: str, entry: list[Edge], exit_: list[Edge], left: int, right: int) -> np.ndarray:
@@ -222,7 +231,7 @@ class Encoder:
 
     def _ids(self, stretch: str) -> bytes:
         ids = []
-        for piece in self.path(stretch):
+        for piece in self.path(stretch.replace(" ", BLANK)):
             found = self.scores.get(piece)
             ids += [found[0]] if found else [self.byte_ids[b] for b in piece.encode("utf-8", "replace")]
         return array("i", ids).tobytes()
@@ -231,9 +240,13 @@ class Encoder:
         """Ids of a text, without begin or end; none for null and empty texts."""
         if not text:
             return np.empty(0, np.int32)
-        escaped = BLANK + text.replace(" ", BLANK)
+        # Few texts hold the mark itself; the others are cut as they are, which is faster and keeps shorter texts.
+        if BLANK in text:
+            stretches = self.stretches(BLANK + text.replace(" ", BLANK))
+        else:
+            stretches = self.plain_stretches(f" {text}")
         kept, found = self.kept, []
-        for stretch in self.stretches(escaped):
+        for stretch in stretches:
             ids = kept.get(stretch)
             if ids is None:
                 ids = self.older.get(stretch)
@@ -252,7 +265,7 @@ class Encoder:
     def decode(self, ids: np.ndarray | list[int]) -> str:
         """Text of ids; invalid bytes become U+FFFD, ids without a piece are left out."""
         try:
-            text = "".join([self.plain[i] for i in np.asarray(ids).tolist()]).replace(BLANK, " ")
+            text = "".join(map(self.plain.__getitem__, np.asarray(ids).tolist())).replace(BLANK, " ")
             return text[1:] if text.startswith(" ") else text
         except KeyError:
             # Characters of several bytes, or ids without a piece, take the longer way.

@@ -152,3 +152,16 @@ def test_encoded_rows(docs, no_docs, encoder):
     want = [(i, encoder.encode(t).tolist(), len(encoder.encode(t)), True) for i, t, _ in ROWS]
     assert rows(ours, "doc_id", "piece_ids", "n_pieces", "round_trip") == sorted(want, key=repr)
     assert pieces.encode_documents(no_docs).count() == 0
+
+
+def test_verdicts_of_pairs_are_kept_and_blank_marks_are_cut_alike(encoder, monkeypatch):
+    monkeypatch.setattr(pieces, "PAIR_BYTES", 200_000)
+    own = pieces.Encoder(encoder.scores, encoder.byte_ids)
+    words = ["the", "of", "and", "in", "to", "that", "was", "for", "with", "his"]
+    told = [f"{a}{b}{c}" for a in words for b in words for c in words[:4]]
+    own.encode(" ".join(told))
+    # At 390 bytes a pair the store was emptied every 512 of them.
+    assert sum(map(len, own.apart.values())) > 600 and own.pairs < 210_000
+    for text in (" a  b ", "a b", "x, y  7z", " "):
+        marked = text.replace(" ", pieces.BLANK)
+        assert own.encode(text).tolist() == own.encode(marked).tolist()
