@@ -16,9 +16,10 @@ of phrases that share their trigger with another phrase, are sorted by (trigger,
 stretch, document), and those that a smaller document holds are repeated.
 Phrases of a trigger of their own have no equal stretch and are never expanded.
 
-Triggers that hold a large share of the parse are found first; their rows are
-counted by partial aggregates and looked up by a join that adaptive execution
-splits, while all others are sorted where their trigger is.
+Triggers that hold a large share of the parse are found first, by counts that
+every task keeps of its most frequent ones. Their rows are sorted in runs that may
+be cut anywhere, also within equal rows of different documents; what a run hands
+to the next is its last key. All others are sorted where their trigger is.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +39,8 @@ LENGTH = 50
 GRAM = 16
 # A trigger is hot when it may hold this share of the parse.
 HOT_SHARE = 1 / 2_000
+# Triggers that a task keeps counts of: what it loses of one is at most a quarter of that share.
+_COUNTED = 4 * 2_000
 # Bytes that are parsed at a time.
 _SLICE = 1 << 20
 _BITS = 24
@@ -84,7 +88,7 @@ class Parse:
             self.trigger = self.phrase = empty.astype(np.uint64)
             return
         low = np.uint64((1 << _BITS) - 1)
-        grams = _mix(self._hash(np.arange(len(data) - GRAM + 1), GRAM))
+        grams = _mix((self._sums[GRAM:] - self._sums[:-GRAM]) * self._down[: len(data) - GRAM + 1] + np.uint64(GRAM))
         least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
         # Smallest gram of the stretch at each position, the leftmost of equals.
         span, wanted = 1, LENGTH - GRAM + 1
@@ -141,17 +145,21 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"), "text")
 
 
-def parse(texts: DataFrame) -> DataFrame:
-    """``trigger, phrase, doc``: the distinct phrases of every text."""
+def parse(texts: DataFrame, only: list[int] | None = None) -> DataFrame:
+    """``trigger, phrase, doc``: the distinct phrases of every text, or those of the triggers in ``only``."""
+    wanted = None if only is None else np.array(only, np.int64)
 
     def phrases(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             ids = part["doc"].to_numpy()
             for rows, pieces in _slices(part):
                 found = Parse(pieces)
-                doc = ids[np.array(rows)[found.phrase_row]]
-                order = np.lexsort((found.phrase, found.trigger, doc))
-                doc, trigger, phrase = doc[order], found.trigger[order], found.phrase[order]
+                doc, trigger, phrase = ids[np.array(rows)[found.phrase_row]], found.trigger, found.phrase
+                if wanted is not None:
+                    own = np.isin(trigger.view(np.int64), wanted)
+                    doc, trigger, phrase = doc[own], trigger[own], phrase[own]
+                order = np.lexsort((phrase, trigger, doc))
+                doc, trigger, phrase = doc[order], trigger[order], phrase[order]
                 new = np.ones(len(doc), bool)
                 new[1:] = (doc[1:] != doc[:-1]) | (trigger[1:] != trigger[:-1]) | (phrase[1:] != phrase[:-1])
                 yield pa.RecordBatch.from_arrays(
@@ -162,29 +170,103 @@ def parse(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(phrases, "trigger long, phrase long, doc long")
 
 
+def _merged(trigger: np.ndarray, n: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by trigger, all lowered by the largest that does not fit into ``most``."""
+    trigger, at = np.unique(trigger, return_inverse=True)
+    n = np.bincount(at, n, len(trigger)).astype(np.int64)
+    if len(n) > most:
+        n = n - np.partition(n, len(n) - most - 1)[len(n) - most - 1]
+    return trigger[n > 0], n[n > 0]
+
+
+def hot_triggers(texts: DataFrame) -> list[int]:
+    """All triggers with ``HOT_SHARE`` of the phrases of all texts, and none with less than half of it."""
+
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, trigger, n = 0, np.empty(0, np.int64), np.empty(0, np.int64)
+        for part in parts:
+            for _, pieces in _slices(part):
+                own = Parse(pieces).trigger.view(np.int64)
+                total += len(own)
+                trigger, n = _merged(np.append(trigger, own), np.append(n, np.ones(len(own), np.int64)), _COUNTED)
+        # Null stands for all triggers.
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None, *trigger.tolist()], pa.int64()), pa.array([total, *n.tolist()], pa.int64())], ["trigger", "n"]
+        )
+
+    counts = settle(texts.mapInArrow(count, "trigger long, n long").groupBy("trigger").agg(F.sum("n").alias("n")))
+    total = counts.filter("trigger is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # Each task may have lost a quarter of the share of its own phrases.
+    return [r.trigger for r in counts.filter((F.col("trigger").isNotNull()) & (F.col("n") >= 0.75 * HOT_SHARE * total)).collect()]
+
+
+def later_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows ``keys, doc`` with ``later``: whether a smaller document has the same keys, which are whole numbers.
+
+    The rows are sorted in runs that may be cut anywhere between documents, so equal
+    keys of any number are dealt evenly. The driver sees two rows of a run.
+    """
+
+    def mark(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part_id = TaskContext.get().partitionId()
+        last, least, edge = None, 0, True
+        for part in parts:
+            if not part.num_rows:
+                continue
+            columns = [part[k].to_numpy() for k in keys]
+            doc = part["doc"].to_numpy()
+            new = np.ones(len(doc), bool)
+            new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+            first = tuple(int(c[0]) for c in columns)
+            new[0] = first != last
+            begin = np.maximum.accumulate(np.where(new, np.arange(len(doc)), -1))
+            smallest = np.where(begin >= 0, doc[begin], least)
+            # Equal keys before the first change go on from the run before.
+            if last is None:
+                new[0] = False
+            at_edge = (np.cumsum(new) == 0) & edge
+            edge = bool(at_edge[-1])
+            last, least = tuple(int(c[-1]) for c in columns), smallest[-1]
+            yield pa.RecordBatch.from_arrays(
+                [*[part[k] for k in keys], part["doc"], pa.array(doc > smallest), pa.array(at_edge),
+                 pa.array(np.full(len(doc), part_id, np.int32))],
+                [*keys, "doc", "later", "edge", "run"],
+            )
+
+    schema = ", ".join(f"{k} long" for k in keys) + ", doc long, later boolean, edge boolean, run int"
+    order = [*keys, "doc"]
+    runs = settle(rows.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(mark, schema))
+    key = F.struct(*keys)
+    ends = runs.groupBy("run").agg(F.min(key).alias("first"), F.max(key).alias("last")).orderBy("run").collect()
+    # Equal rows are in one run, so all documents of a key that goes on are behind those before.
+    goes_on = [b.run for a, b in zip(ends, ends[1:], strict=False) if a["last"] == b["first"]]
+    later = F.col("later") | (F.col("edge") & F.col("run").isin(goes_on)) if goes_on else F.col("later")
+    return runs.select(*order, later.alias("later"))
+
+
 def repeated_phrases(texts: DataFrame) -> tuple[DataFrame, list[int]]:
     """``doc, phrase, whole`` and the hot triggers.
 
     ``whole`` phrases are in a smaller document too. The others are the first of
     their kind, and share their trigger with another phrase.
     """
+    hot = hot_triggers(texts)
     rows = parse(texts)
-    # No row is left out here: the summary covers every trigger above the share.
-    hot = [int(x) for x in rows.stat.freqItems(["trigger"], HOT_SHARE).first()[0] or []]
     known = F.col("trigger").isin(hot) if hot else F.lit(False)
     by_phrase, by_trigger = Window.partitionBy("trigger", "phrase"), Window.partitionBy("trigger")
-    cold = (
+    whole = F.col("doc") > F.col("least")
+    every = (
         rows.filter(~known)
         .repartition("trigger")
         .withColumn("least", F.min("doc").over(by_phrase))
         .withColumn("shared", F.min("phrase").over(by_trigger) != F.max("phrase").over(by_trigger))
+        .filter(whole | F.col("shared"))
+        .select("doc", "phrase", whole.alias("whole"))
     )
-    warm = settle(rows.filter(known))
-    least = warm.groupBy("trigger", "phrase").agg(F.min("doc").alias("least"))
-    warm = warm.join(least, ["trigger", "phrase"]).withColumn("shared", F.lit(True))
-    every = cold.unionByName(warm) if hot else cold
-    whole = F.col("doc") > F.col("least")
-    return settle(every.filter(whole | F.col("shared")).select("doc", "phrase", whole.alias("whole"))), hot
+    if hot:
+        warm = later_rows(settle(parse(texts, hot)), ["trigger", "phrase"])
+        every = every.unionByName(warm.select("doc", "phrase", F.col("later").alias("whole")))
+    return settle(every), hot
 
 
 def repeated_stretches(texts: DataFrame, shared: DataFrame, hot: list[int]) -> DataFrame:
@@ -225,11 +307,10 @@ def repeated_stretches(texts: DataFrame, shared: DataFrame, hot: list[int]) -> D
         expanded.filter(~known).repartition("trigger").select("trigger", "doc", one)
         .withColumn("least", F.min("doc").over(by_stretch))
     )
-    if hot:
-        warm = expanded.filter(known).select("trigger", "doc", one)
-        least = warm.groupBy("trigger", "stretch").agg(F.min("doc").alias("least"))
-        cold = cold.unionByName(warm.join(least, ["trigger", "stretch"]))
     later = cold.filter("doc > least").select("doc", "stretch")
+    if hot:
+        warm = later_rows(expanded.filter(known).select("trigger", "doc", one), ["trigger", "stretch"])
+        later = later.unionByName(warm.filter("later").select("doc", "stretch"))
     return settle(later).groupBy("doc").agg(F.collect_set("stretch").alias("stretches"))
 
 

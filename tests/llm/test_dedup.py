@@ -181,3 +181,34 @@ def test_repeats_with_hot_triggers_and_small_slices(spark, monkeypatch):
     none = np.empty(0, np.int64)
     masks = repeats._removed(part, [phrases, none, none], [none, none, none])
     assert set(masks) == {0} and masks[0].all() and len(masks[0]) == 500
+
+
+def test_later_rows_of_one_hot_key_without_a_join(spark):
+    rng = random.Random(1)
+    told = [(1, 1, rng.randrange(3000)) for _ in range(6000)] + [(rng.randrange(9), rng.randrange(9), rng.randrange(40)) for _ in range(3000)]
+    frame = spark.createDataFrame([*told, (-5, 3, 7)], "trigger long, phrase long, doc long").repartition(7)
+    least = {}
+    for t, p, d in [*told, (-5, 3, 7)]:
+        least[t, p] = min(d, least.get((t, p), d))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = repeats.later_rows(frame, ["trigger", "phrase"])
+        got = found.collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(got) == 9001 and all(r.later == (r.doc > least[r.trigger, r.phrase]) for r in got)
+    assert "Join" not in found._jdf.queryExecution().toString()
+
+
+def test_hot_triggers_are_all_found_and_no_rare_ones(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT_SHARE", 1 / 50)
+    passage = "This very passage of some words stands in each and every text of all of them here. "
+    rng = random.Random(2)
+    texts = [passage + "".join(rng.choice("abcdefgh ") for _ in range(150)) for _ in range(400)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc long, text string").repartition(5)
+    rows = repeats.parse(frame).groupBy("trigger").count().collect()
+    every = sum(r["count"] for r in rows)
+    hot = set(repeats.hot_triggers(frame))
+    assert {r.trigger for r in rows if r["count"] >= every / 50} <= hot
+    assert hot and all(r["count"] >= every / 100 for r in rows if r.trigger in hot)
