@@ -29,7 +29,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import crc_remainder, table
+from cohortline.llm.common import crc_remainder, settle, table
 from cohortline.plans.durable import freeze
 
 # Words whose counts travel with the tasks, and the classes of the model.
@@ -43,6 +43,8 @@ _SMOOTH = 0.1
 # Words of a group, passes over the training tokens, and what a pass works with.
 GROUP, PASSES = 256, 1
 _TOKENS, _WORD_NOISE, _STEP, _BLOCK = 4_096, 64, 0.05, 4_096
+# Training tokens of a task, which hands on nearly all vectors: this bounds them by the size of the texts.
+_SHARE = 1 << 23
 # Distinct keys that a task counts before it hands them on.
 _HELD = 1 << 18
 _SEED = 29
@@ -260,7 +262,7 @@ def train(texts: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
         names = ("source", "place", "target", "bias")
         yield pa.RecordBatch.from_pydict({"name": names, "data": [getattr(model, n).tobytes() for n in names]})
 
-    counts = freeze(class_counts(texts, vocabulary))
+    counts = settle(class_counts(texts, vocabulary))
     model = LogBilinear(np.where(used, 1.0, 1e-12) / max(used.sum(), 1))
     for name, data in counts.repartition(1).mapInArrow(learn, "name string, data binary").collect():
         setattr(model, name, np.frombuffer(bytes(data)).reshape(getattr(model, name).shape))
@@ -392,7 +394,9 @@ class Learner:
 
     def _move(self, name: str, rows: np.ndarray, grad: np.ndarray) -> None:
         order = np.argsort(rows, kind="stable")
-        rows, at = np.unique(rows[order], return_index=True)
+        rows = rows[order]
+        at = np.flatnonzero(np.diff(rows, prepend=-1))
+        rows = rows[at]
         grad = np.add.reduceat(grad[order], at, axis=0)
         self.past[name][rows] += np.einsum("ij,ij->i", grad, grad) / grad.shape[1]
         self.own[name][rows] -= _STEP * grad / np.sqrt(self.past[name][rows])[:, None]
@@ -439,6 +443,11 @@ def _averaged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _change(name, block, rows, times[rows], moved[rows] / times[rows, None])
 
 
+def dealt(texts: DataFrame, total: int) -> DataFrame:
+    """All texts in as few partitions as leave each about ``_SHARE`` of the ``total`` tokens."""
+    return texts.select("text").coalesce(max(-(-total // _SHARE), 1))
+
+
 def train_words(texts: DataFrame, vocabulary: Vocabulary, model: WordModel) -> WordModel:
     """Passes over every token of ``texts``; a pass brings each changed vector to the driver once."""
     context = texts.sparkSession.sparkContext
@@ -458,11 +467,12 @@ def train_words(texts: DataFrame, vocabulary: Vocabulary, model: WordModel) -> W
             if learner is not None:
                 yield from learner.changes()
 
-        moved = texts.select("text").mapInArrow(learn, _CHANGE)
-        for r in moved.repartition("name", "block").mapInArrow(_averaged, _CHANGE).toLocalIterator():
+        moved = dealt(texts, vocabulary.total).mapInArrow(learn, _CHANGE)
+        for r in settle(moved.repartition("name", "block").mapInArrow(_averaged, _CHANGE)).toLocalIterator():
             rows, _, change = _unpacked(r["name"], bytes(r["rows"]), bytes(r["times"]), bytes(r["moved"]))
             getattr(model, r["name"])[r["block"] + rows] += change
-        sent.unpersist()
+        sent.destroy()
+    known.destroy()
     return model
 
 
@@ -474,7 +484,7 @@ def model_scores(docs: DataFrame, texts: DataFrame) -> DataFrame:
     empty texts are one end. Without training texts all words are unknown.
     Repeated rows give repeated results.
     """
-    counts = freeze(word_counts(texts))
+    counts = settle(word_counts(texts))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     vocabulary = Vocabulary(frequent_words(counts, distinct, HEAD), total, distinct)
     model = train_words(texts, vocabulary, WordModel(vocabulary, train(texts, vocabulary)))

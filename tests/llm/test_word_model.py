@@ -53,3 +53,11 @@ def test_changes_are_averaged_by_their_times():
         change = np.stack([(x.own[r["name"]] - getattr(model, r["name"]))[r["block"] + rows] for x in (one, two)])
         assert np.array_equal(times, counts.sum(0))
         assert np.allclose(moved, (counts[..., None] * change).sum(0) / times[:, None], atol=1e-5)
+
+
+def test_what_tasks_hand_on_is_bounded_by_the_tokens(spark, monkeypatch):
+    texts = spark.createDataFrame([("a b",)] * 64, "text string").repartition(16)
+    assert language_model.dealt(texts, 192).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(language_model, "_SHARE", 50)
+    few = language_model.dealt(texts, 192)
+    assert few.rdd.getNumPartitions() == 4 and few.count() == 64
