@@ -32,9 +32,9 @@ from cohortline.llm.common import table
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 CHUNK = 64
-# Bytes of the stretches whose encoding is kept, and of the pairs whose verdict is kept, in a worker;
-# and what an entry costs besides its characters and ids.
-KEPT_BYTES, PAIR_BYTES = 96 << 20, 64 << 20
+# Bytes of the stretches whose encoding is kept, of the pairs whose verdict is kept, and of the steps
+# that find the pieces that end at a character, in a worker; and what an entry costs besides its characters and ids.
+KEPT_BYTES, PAIR_BYTES, STEP_BYTES = 96 << 20, 40 << 20, 24 << 20
 _ENTRY = 190
 # Where pieces may be cut: before the blank of a word, and between letters and
 # anything else; each with what no piece of a model may hold for that.
@@ -48,6 +48,8 @@ _PLAIN = {cut: regex.compile(cut.pattern.replace(BLANK, " ")) for cut, _ in (_WO
 _NONE = -np.inf
 
 Edge = tuple[int, int]
+# Steps by the next character, pieces that end here with their lengths, the longest first, and the text so far.
+Node = tuple[dict, tuple, str]
 
 
 def max_plus(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -83,6 +85,8 @@ class Encoder:
         # Weights by the piece before and the piece.
         self.apart: dict[str, dict[str, float]] = {}
         self.pairs = 0
+        self.nodes: dict[str, Node] = {"": ({}, (), "")}
+        self.steps = 0
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.bytes = 0
@@ -149,6 +153,70 @@ class Encoder:
         starts = range(max(0, cut - self.longest), cut)
         return [e for s in starts for e in self.edges_from(text, s) if e[1] >= cut]
 
+    def _step(self, node: Node, char: str) -> Node:
+        """Where ``char`` leads from ``node``: the longest beginning of a piece that the text now ends with."""
+        if self.steps >= STEP_BYTES:
+            self.nodes, self.steps = {"": ({}, (), "")}, 0
+        so_far = node[2] + char
+        while so_far and so_far not in self.matches:
+            so_far = so_far[1:]
+        found = self.nodes.get(so_far) if so_far else None
+        if found is None:
+            ends = [so_far[i:] for i in range(len(so_far) - 1)] if so_far else []
+            # A character is an edge of its own, with or without a piece.
+            ends = [self.matches[e] for e in ends if self.matches.get(e)] + [self.matches.get(char) or char]
+            follow = {} if so_far else self.nodes[""][0]
+            found = follow, tuple((e, len(e)) for e in ends), so_far
+            if so_far:
+                self.nodes[so_far] = found
+            self.steps += 3 * _ENTRY + 100 * len(ends)
+        node[0][char] = found
+        self.steps += 100
+        return found
+
+    def _begins(self, text: str, entry: Edge, right: int) -> list[int]:
+        """Of a BPE model: the start of the last edge of the path from ``entry`` that ends at each position, -1 for none.
+
+        Edges start before ``right``. A position has one path at most, so the pieces
+        that end there are tried until one stays apart from what is before it.
+        """
+        first, at = entry
+        apart, most = self.apart, min(len(text), right - 1 + max(self.longest, 1))
+        begins = [-1] * (most + 1)
+        # The verdicts of the edge that ends at a position from which edges may start.
+        told: list[dict | None] = [None] * (most + 1)
+        begins[at] = first
+        if at < right:
+            told[at] = self._verdicts(text[first:at])
+        node = self.nodes[""]
+        for end in range(at + 1, most + 1):
+            char = text[end - 1]
+            node = node[0].get(char) or self._step(node, char)
+            for piece, size in node[1]:
+                start = end - size
+                if start < at:
+                    continue
+                verdicts = told[start]
+                if verdicts is None:
+                    continue
+                step = verdicts.get(piece)
+                if step is None:
+                    step = verdicts[piece] = self.weight(text[begins[start] : start], piece)
+                if step != _NONE:
+                    begins[end] = start
+                    if end < right:
+                        told[end] = apart.get(piece) or self._verdicts(piece)
+                    break
+        return begins
+
+    def _verdicts(self, before: str) -> dict[str, float]:
+        """What is kept of the pieces after ``before``."""
+        found = self.apart.get(before)
+        if found is None:
+            found = self.apart[before] = {}
+            self.pairs += 3 * _ENTRY + 2 * len(before)
+        return found
+
     def _forward(self, text: str, entry: Edge, left: int, right: int) -> dict[int, tuple[float, int]]:
         """Best weight and start of the last edge, by the position where a path from ``entry`` ends.
 
@@ -156,19 +224,18 @@ class Encoder:
         on the edge before only in a BPE model, where no position is reached by
         two paths from the same entry.
         """
+        if self.bpe:
+            return {j: (0.0, i) for j, i in enumerate(self._begins(text, entry, right)) if i >= 0}
         first, at = entry
         reached = {at: (0.0, first)}
-        matches, apart, size = self.matches.get, self.apart, len(text)
+        matches, size = self.matches.get, len(text)
         for start in range(at, right):
             state = reached.get(start)
             if state is None:
                 continue
             value, begin = state
             before = text[begin:start]
-            verdicts = apart.get(before)
-            if verdicts is None:
-                verdicts = apart[before] = {}
-                self.pairs += 3 * _ENTRY + 2 * len(before)
+            verdicts = self._verdicts(before)
             verdict, one = verdicts.get, start + 1
             for end in range(one, size + 1):
                 piece = text[start:end]
@@ -205,6 +272,12 @@ class Encoder:
 
     def path(self, text: str, chunk: int = CHUNK) -> list[str]:
         """The best path of a text as its pieces."""
+        if len(text) <= chunk and self.bpe:
+            begins, at, pieces = self._begins(text, (0, 0), len(text)), len(text), []
+            while at:
+                pieces.append(text[begins[at] : at])
+                at = begins[at]
+            return pieces[::-1]
         if len(text) <= chunk:
             reached = self._forward(text, (0, 0), 0, len(text))
             exit_ = (reached[len(text)][1], len(text))
