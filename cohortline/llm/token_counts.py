@@ -118,7 +118,7 @@ class Splitter:
         """Positions of word beginnings; ``starts`` are the segment beginnings, 0 first."""
         size = len(chars)
         rows = -(-size // _CHUNK)
-        symbol = np.full(rows * _CHUNK, _L, np.int32)
+        symbol = np.full(rows * _CHUNK, _L, np.uint8)
         symbol[:size] = self.symbols(chars, starts)
         lanes = np.ascontiguousarray(symbol.reshape(rows, _CHUNK).T)
         act, width = self.act.ravel(), 2 * _START

@@ -28,6 +28,7 @@ import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -75,24 +76,27 @@ class Tokens:
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
-
         self.library, self.splitter = Tokenizer.from_file(path), Splitter()
         spec = json.loads(self.library.to_str())
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         plain = all(not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]) for t in spec["added_tokens"])
+        plain = plain and all(map(str.isascii, added))
         pre = spec.get("pre_tokenizer") or {}
+        known = spec["model"].get("vocab")
         # Anything but a plain byte-level vocabulary goes to the library as whole texts.
         self.by_words = (
             plain and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
             and pre.get("use_regex", True) and spec["model"]["type"] == "BPE" and not spec.get("normalizer")
-            and not spec["model"].get("ignore_merges")
+            and not spec["model"].get("ignore_merges") and all(chr(c) in known for c in _spelling().tolist())
         )
         if self.by_words:
-            # Words come cut already.
-            self.library.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+            # Words come cut and spelled already; a character of a token's spelling is a byte of the text.
+            self.library.pre_tokenizer = None
+            self.spans = np.zeros(1 + max(known.values(), default=0), np.int64)
+            self.spans[list(known.values())] = list(map(len, known))
         self.added = added
         self.special = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
+        self.begin = {t[0] for t in added}
         self._start([], np.empty(0, np.int64), _NO_IDS)
 
     def _start(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
@@ -115,10 +119,14 @@ class Tokens:
         self._start(words[kept].tolist(), self.size[kept], self.ids[_spread(self.at[kept], self.size[kept])])
 
     def _learn(self, words: list[str]) -> None:
-        # One call for all of them; the library tells which word each id belongs to.
-        found = self.library.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(found.ids, np.uint32)
-        sizes = np.bincount(np.array(found.word_ids, np.int64), minlength=len(words))
+        # One call for all of them, without offsets; the bytes that ids stand for tell where words end.
+        spelled = _spelling()[np.frombuffer("".join(words).encode(), np.uint8)].tobytes().decode("utf-32-le")
+        upto = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in words])
+        cut = upto.tolist()
+        parts = [spelled[a:b] for a, b in zip([0, *cut], cut)]
+        ids = np.array(self.library.encode_batch_fast([parts], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.searchsorted(np.cumsum(self.spans[ids]), upto) + 1
+        sizes = np.diff(ends, prepend=0)
         known, more = len(self.place), len(words)
         while known + more > len(self.size):
             self.size, self.at, self.hits = (np.append(x, np.zeros_like(x)) for x in (self.size, self.at, self.hits))
@@ -134,7 +142,7 @@ class Tokens:
     def _segments(self, text: str) -> Iterator[str | int]:
         """Plain stretches of bounded length and the ids of special strings, in order."""
         at = 0
-        for found in self.special.finditer(text) if self.special else ():
+        for found in self.special.finditer(text) if any(map(text.__contains__, self.begin)) else ():
             yield text[at : found.start()]
             yield self.added[found.group()]
             at = found.end()
@@ -180,7 +188,7 @@ class Tokens:
         words = [joined[a:b] for a, b in zip(begins[first].tolist(), ends.tolist())]
         if self.bytes > _KEPT_BYTES:
             self._thin()
-        at = np.array([-1 if k is None else k for k in map(self.place.get, words)], np.int64)
+        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(at < 0).tolist()
         if new:
             missing = list(dict.fromkeys([words[i] for i in new]))
@@ -194,6 +202,16 @@ class Tokens:
             own[i] = ids[a:b]
 
 
+@cache
+def _spelling() -> np.ndarray:
+    """The character by which byte-level vocabularies spell each byte."""
+    shown = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    chars = np.arange(256, dtype="<u4")
+    hidden = np.setdiff1d(np.arange(256), shown)
+    chars[hidden] = 0x100 + np.arange(len(hidden))
+    return chars
+
+
 def _spread(at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Places ``at, at + 1, ...`` of each stretch, one after the other."""
     return np.arange(int(sizes.sum())) + np.repeat(at - (np.cumsum(sizes) - sizes), sizes)
@@ -217,7 +235,13 @@ def _distinct(chars: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple
     sums = np.append(np.uint64(0), np.cumsum((code ^ (code >> np.uint64(29))) * up[: len(chars)]))
     hashes = (sums[begins + sizes] - sums[begins]) * down[begins] + sizes.astype(np.uint64)
     hashes ^= hashes >> np.uint64(32)
-    _, first, same = np.unique(hashes, return_index=True, return_inverse=True)
+    # Most of the hash and the place in one number, which sorts faster than by an index.
+    places = np.uint64((1 << len(begins).bit_length()) - 1)
+    order = np.sort((hashes & ~places) | np.arange(len(begins), dtype=np.uint64))
+    new = np.append(True, (order[1:] ^ order[:-1]) > places)[: len(order)]
+    order = (order & places).astype(np.int64)
+    first, same = order[new], np.empty(len(order), np.int64)
+    same[order] = np.cumsum(new) - 1
     there = _spread(begins[first][same], sizes)
     if not ((sizes[first][same] == sizes).all() and (chars[there] == chars).all()):
         # Two words under one hash: every word stands for itself.

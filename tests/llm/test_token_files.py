@@ -167,3 +167,19 @@ def test_damage_is_found(spark, tmp_path):
     put_file(name, [bytes(data)])
     with pytest.raises(Exception, match="is damaged"):
         tf.read_checksums(spark, folder).collect()
+
+
+def test_new_words_are_told_apart_by_their_bytes(library, monkeypatch):
+    words = [" the", "日本語", "é", "\n\n", " Été", "x" * 300, "\x00", " \U0001f600", "'s", "\u00ad\x7f"]
+    own = tf.Tokens(PATH)
+    # Words go to the library spelled, so that it neither cuts nor maps them nor keeps their offsets.
+    assert own.by_words and own.library.pre_tokenizer is None
+    own._learn(words)
+    found = [own.ids[a : a + n].tolist() for a, n in zip(own.at, own.size[: len(words)])]
+    assert found == [library.encode(w, add_special_tokens=False).ids for w in words]
+
+
+def test_equal_words_are_found_where_hashes_meet(library):
+    chars = np.frombuffer("ab ab a b ab".replace(" ", "").encode("utf-32-le"), np.uint32)
+    first, same = tf._distinct(chars, np.array([0, 2, 4, 5, 6]), np.array([2, 2, 1, 1, 2]))
+    assert first[same].tolist() == [0, 0, 2, 3, 0]
