@@ -47,6 +47,10 @@ _TOKENS, _WORD_NOISE, _STEP, _BLOCK = 4_096, 64, 0.05, 4_096
 _SHARE = 1 << 23
 # Distinct keys that a task counts before it hands them on.
 _HELD = 1 << 18
+# Words held as bytes at a time, and numbers of words that are learnt at a time.
+_WORDS, _LEARNT = 1 << 17, 1 << 20
+# Rows of scores that stay in a cache, and the largest score whose exponential needs no shift.
+_ROWS, _SAFE = 512, 60.0
 _SEED = 29
 
 
@@ -138,18 +142,36 @@ def _contexts(classes: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _rows(part: pa.RecordBatch) -> Iterator[tuple[int, int, list[list[bytes]]]]:
-    """Blocks of rows of about a million words: first row, row behind the last, their words."""
+    """Blocks of rows of about ``_WORDS`` words: first row, row behind the last, their words."""
     first, held, size = 0, [], 0
     for row, text in enumerate(part["text"]):
         held.append(words(text.as_py()))
         size += len(held[-1])
-        if size >= 1 << 20:
+        if size >= _WORDS:
             yield first, row + 1, held
             first, held, size = row + 1, [], 0
     if held:
         yield first, first + len(held), held
 
 
+def _numbered(part: pa.RecordBatch, known: Vocabulary) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Blocks of rows of about ``_LEARNT`` words: where their texts begin, and the numbers of the words."""
+    lengths, index, held, size = [], [], [], 0
+    for text in part["text"]:
+        found = words(text.as_py())
+        lengths.append(len(found))
+        held += found
+        size += len(found)
+        if len(held) >= _WORDS or size >= _LEARNT:
+            index.append(known.look_up(held))
+            held = []
+        if size >= _LEARNT:
+            yield np.cumsum(lengths) - lengths, np.concatenate(index)
+            lengths, index, size = [], [], 0
+    if lengths:
+        yield np.cumsum(lengths) - lengths, np.concatenate([*index, known.look_up(held)])
+
+
 def class_counts(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``context, followers``: after each pair of classes, the ``(class, n)`` that occur."""
     sent = texts.sparkSession.sparkContext.broadcast(vocabulary)
@@ -157,10 +179,9 @@ def class_counts(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: np.ndarray | None = None
         for part in parts:
-            for _, _, block in _rows(part):
-                lengths = np.array([len(b) for b in block])
-                classes = sent.value.classes[sent.value.look_up([w for b in block for w in b])]
-                codes = _contexts(classes, np.cumsum(lengths) - lengths) * CLASSES + classes
+            for starts, index in _numbered(part, sent.value):
+                classes = sent.value.classes[index]
+                codes = _contexts(classes, starts) * CLASSES + classes
                 counted = np.bincount(codes, minlength=CLASSES**3)
                 held = counted if held is None else held + counted
         codes = np.flatnonzero(held) if held is not None else np.empty(0, np.int64)
@@ -325,26 +346,57 @@ class WordModel:
 
     def _logs(self, index: np.ndarray, earlier: np.ndarray, before: np.ndarray) -> np.ndarray:
         pairs, which = np.unique(earlier * (self.start + 1) + before, return_inverse=True)
-        hidden = self.source0[pairs // (self.start + 1)] + self.source1[pairs % (self.start + 1)]
-        hidden = np.column_stack([hidden, np.ones(len(hidden), np.float32)])
-        sums = np.concatenate([_log_sums(hidden[i : i + 4096] @ self.top.T) for i in range(0, len(hidden), 4096)])
+        hidden = np.ones((len(pairs), _DIM + 1), np.float32)
+        hidden[:, :-1] = self.source0[pairs // (self.start + 1)]
+        hidden[:, :-1] += self.source1[pairs % (self.start + 1)]
+        room = np.empty(_ROWS * max(len(self.top), *map(len, self.members)), np.float32)
         group = self.group[index]
-        logs = np.einsum("ij,ij->i", hidden[which], self.top[group]).astype(np.float64) - sums[which]
+        # Tokens by the row of their pair, so that scores are read where they are made.
+        order = np.argsort(which, kind="stable")
+        which, group, index = which[order], group[order], index[order]
+        sums, scores = _log_sums(hidden, self.top, which, group, room)
+        logs = scores - sums[which]
         chosen = np.flatnonzero(self.shared[index])
         chosen = chosen[np.argsort(group[chosen], kind="stable")]
         groups, at = np.unique(group[chosen], return_index=True)
         for g, some in zip(groups.tolist(), np.split(chosen, at[1:]), strict=False):
-            rows, back = np.unique(which[some], return_inverse=True)
-            scores = hidden[rows] @ self.target[self.members[g]].T
-            sums = _log_sums(scores.copy())
-            logs[some] += scores[back, np.searchsorted(self.members[g], index[some])] - sums[back]
-        return logs
-
-
-def _log_sums(scores: np.ndarray) -> np.ndarray:
-    top = scores.max(1, keepdims=True)
-    scores -= top
-    return (top[:, 0] + np.log(np.exp(scores, out=scores).sum(1))).astype(np.float64)
+            # Within a group the pairs still rise.
+            first = np.diff(which[some], prepend=-1) > 0
+            rows = np.cumsum(first) - 1
+            columns = np.searchsorted(self.members[g], index[some])
+            sums, scores = _log_sums(hidden[which[some[first]]], self.target[self.members[g]], rows, columns, room)
+            logs[some] += scores - sums[rows]
+        found = np.empty(len(logs))
+        found[order] = logs
+        return found
+
+
+def _log_sums(
+    hidden: np.ndarray, table: np.ndarray, rows: np.ndarray, columns: np.ndarray, room: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Logarithm of the summed exponentials of ``hidden @ table.T`` by row, and its entries at rising ``rows``.
+
+    Only ``_ROWS`` rows of scores are made at a time, in ``room``, which saves asking for memory each time.
+    """
+    sums, wanted = np.empty(len(hidden)), np.empty(len(rows), np.float32)
+    ones = np.ones(len(table), np.float32)
+    cuts = np.searchsorted(rows, np.arange(0, len(hidden) + _ROWS, _ROWS)).tolist()
+    for start, a, b in zip(range(0, len(hidden), _ROWS), cuts, cuts[1:]):
+        own = hidden[start : start + _ROWS]
+        scores = np.matmul(own, table.T, out=room[: len(own) * len(table)].reshape(len(own), len(table)))
+        wanted[a:b] = scores[rows[a:b] - start, columns[a:b]]
+        # Rows are shifted by their largest score where one is far from zero.
+        top = 0.0
+        if max(-scores.min(), scores.max()) > _SAFE:
+            top = scores.max(1)
+            scores -= top[:, None]
+        sums[start : start + _ROWS] = np.log(np.exp(scores, out=scores) @ ones) + top
+    return sums, wanted
+
+
+def _taken(table: np.ndarray, rows: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """Rows of a table, in ``room``."""
+    return np.take(table, rows, axis=0, out=room[: len(rows)], mode="clip")
 
 
 class Learner:
@@ -356,6 +408,12 @@ class Learner:
         self.past = {n: np.full(len(x), 1e-6, np.float32) for n, x in self.own.items()}
         self.times = {n: np.zeros(len(x), np.int64) for n, x in self.own.items()}
         self.rng = np.random.default_rng([_SEED, seed])
+        # Room for the arrays of a batch; asking for it each time costs more than filling it.
+        most = _TOKENS + max(_NOISE, _WORD_NOISE)
+        names = ("hidden", "chosen", "back", "true", "more", "grad", "sorted", "sums")
+        self.room = {n: np.empty((most, _DIM + 1), np.float32) for n in names}
+        self.left, self.right = (np.empty((most, _DIM), np.float32) for _ in range(2))
+        self.room["push"] = np.empty(_TOKENS * max(_NOISE, _WORD_NOISE), np.float32)
         self.top_upto, self.upto = np.cumsum(model.unigram), np.cumsum(model.words)
         with np.errstate(divide="ignore"):
             self.top_shift = np.log(_NOISE * model.unigram).astype(np.float32)
@@ -367,39 +425,58 @@ class Learner:
             self._batch(*(x[i : i + _TOKENS] for x in (index, earlier, before)))
 
     def _batch(self, index: np.ndarray, earlier: np.ndarray, before: np.ndarray) -> None:
-        own, known = self.own, self.model
-        hidden = own["source0"][earlier] + own["source1"][before]
-        hidden = np.column_stack([hidden, np.ones(len(hidden), np.float32)])
-        back = self._contrast("top", known.group[index], hidden, self.top_upto, self.top_shift, _NOISE)
+        own, known, room, size = self.own, self.model, self.room, len(index)
+        hidden = room["hidden"][:size]
+        hidden[:, -1] = 1
+        left, right = _taken(own["source0"], earlier, self.left), _taken(own["source1"], before, self.right)
+        np.add(left, right, out=hidden[:, :-1])
+        back = self._contrast("top", known.group[index], hidden, self.top_upto, self.top_shift, _NOISE, room["back"])
         rows = np.flatnonzero(known.shared[index])
         if len(rows):
-            back[rows] += self._contrast("target", index[rows], hidden[rows], self.upto, self.shift, _WORD_NOISE)
-        self._move("source0", earlier, back[:, :-1])
-        self._move("source1", before, back[:, :-1])
+            chosen = _taken(hidden, rows, room["chosen"])
+            back[rows] += self._contrast("target", index[rows], chosen, self.upto, self.shift, _WORD_NOISE, room["true"])
+        change = self.left[:size]
+        change[:] = back[:, :-1]
+        self._move("source0", earlier, change)
+        self._move("source1", before, change)
 
     def _contrast(
-        self, name: str, truth: np.ndarray, hidden: np.ndarray, upto: np.ndarray, shift: np.ndarray, times: int
+        self, name: str, truth: np.ndarray, hidden: np.ndarray, upto: np.ndarray, shift: np.ndarray, times: int, room: np.ndarray
     ) -> np.ndarray:
-        """Tell the true rows from noise; the gradient of ``hidden``."""
-        table = self.own[name]
+        """Tell the true rows from noise; the gradient of ``hidden``, in ``room``."""
+        table, size = self.own[name], len(truth)
         noise = np.minimum(np.searchsorted(upto, self.rng.random(times) * upto[-1], side="right"), len(table) - 1)
-        true, other = table[truth], table[noise]
+        true, other = _taken(table, truth, room), table[noise]
         good = np.einsum("ij,ij->i", hidden, true) - shift[truth]
-        bad = hidden @ other.T - shift[noise]
         pull = (1 / (1 + np.exp(-good.clip(-30, 30))) - 1).astype(np.float32)[:, None]
-        push = 1 / (1 + np.exp(-bad.clip(-30, 30)))
-        back = pull * true + push @ other
-        self._move(name, np.concatenate([truth, noise]), np.concatenate([pull * hidden, push.T @ hidden]))
-        return back
+        push = np.matmul(hidden, other.T, out=self.room["push"][: size * times].reshape(size, times))
+        push -= shift[noise]
+        np.clip(push, -30, 30, out=push)
+        np.exp(np.negative(push, out=push), out=push)
+        push += 1
+        np.reciprocal(push, out=push)
+        true *= pull
+        true += np.matmul(push, other, out=self.room["more"][:size])
+        grad = self.room["grad"][: size + times]
+        np.multiply(pull, hidden, out=grad[:size])
+        np.matmul(push.T, hidden, out=grad[size:])
+        self._move(name, np.concatenate([truth, noise]), grad)
+        return true
 
     def _move(self, name: str, rows: np.ndarray, grad: np.ndarray) -> None:
-        order = np.argsort(rows, kind="stable")
-        rows = rows[order]
+        # Row and place in one number sort faster than by an index, and in the same order.
+        order = np.sort(rows << 16 | np.arange(len(rows)))
+        rows = order >> 16
         at = np.flatnonzero(np.diff(rows, prepend=-1))
-        rows = rows[at]
-        grad = np.add.reduceat(grad[order], at, axis=0)
-        self.past[name][rows] += np.einsum("ij,ij->i", grad, grad) / grad.shape[1]
-        self.own[name][rows] -= _STEP * grad / np.sqrt(self.past[name][rows])[:, None]
+        rows, width = rows[at], grad.shape[1]
+        grad = _taken(grad, order & 0xFFFF, self.room["sorted"].reshape(-1)[: len(order) * width].reshape(-1, width))
+        sums = self.room["sums"].reshape(-1)[: len(at) * width].reshape(-1, width)
+        grad = np.add.reduceat(grad, at, axis=0, out=sums)
+        past = self.past[name][rows] + np.einsum("ij,ij->i", grad, grad) / width
+        self.past[name][rows] = past
+        grad *= _STEP
+        grad /= np.sqrt(past)[:, None]
+        self.own[name][rows] -= grad
         self.times[name][rows] += np.diff(np.append(at, len(order)))
 
     def changes(self) -> Iterator[pa.RecordBatch]:
@@ -458,12 +535,10 @@ def train_words(texts: DataFrame, vocabulary: Vocabulary, model: WordModel) -> W
         def learn(parts: Iterator[pa.RecordBatch], nth: int = nth, sent: Broadcast = sent) -> Iterator[pa.RecordBatch]:
             learner = None
             for part in parts:
-                for _, _, block in _rows(part):
+                for starts, index in _numbered(part, known.value):
                     if learner is None:
                         learner = Learner(sent.value, TaskContext.get().partitionId() * PASSES + nth)
-                    lengths = np.array([len(b) for b in block])
-                    index = known.value.look_up([w for b in block for w in b])
-                    learner.learn(index, *sent.value.contexts(index, np.cumsum(lengths) - lengths))
+                    learner.learn(index, *sent.value.contexts(index, starts))
             if learner is not None:
                 yield from learner.changes()
 

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cohortline.llm import language_model
@@ -61,3 +62,27 @@ def test_what_tasks_hand_on_is_bounded_by_the_tokens(spark, monkeypatch):
     monkeypatch.setattr(language_model, "_SHARE", 50)
     few = language_model.dealt(texts, 192)
     assert few.rdd.getNumPartitions() == 4 and few.count() == 64
+
+
+def test_few_words_are_held_and_blocks_stay_the_same(monkeypatch):
+    known, model = fresh([(b"w%d" % i, 100 - i) for i in range(60)] + [(language_model.END, 9)], 5)
+    texts = [" ".join(f"w{(i * j) % 70}" for j in range(i % 23)) for i in range(200)]
+    part = pa.RecordBatch.from_pydict({"text": texts})
+    held = []
+    real = language_model.Vocabulary.look_up
+    monkeypatch.setattr(language_model.Vocabulary, "look_up", lambda self, w: held.append(len(w)) or real(self, w))
+    monkeypatch.setattr(language_model, "_LEARNT", 900)
+    whole = list(language_model._numbered(part, known))
+    monkeypatch.setattr(language_model, "_WORDS", 40)
+    held.clear()
+    found = list(language_model._numbered(part, known))
+    # Words of at most one more text than the bound; before, those of a whole block.
+    assert max(held) < 40 + 23 and len(found) == len(whole) > 2
+    assert all((a == c).all() and (b == d).all() for (a, b), (c, d) in zip(found, whole))
+    starts, index = found[0]
+    contexts = model.contexts(index, starts)
+    logs = model.log_probabilities(index, *contexts)
+    # Scores are made a few rows at a time, and do not depend on how many, nor on the shift.
+    monkeypatch.setattr(language_model, "_ROWS", 3)
+    monkeypatch.setattr(language_model, "_SAFE", 0.0)
+    assert np.allclose(model.log_probabilities(index, *contexts), logs, atol=1e-5)
