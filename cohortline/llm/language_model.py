@@ -20,11 +20,11 @@ up by a join; no key of it is hot, since frequent words are not in it.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,10 +47,10 @@ _TOKENS, _WORD_NOISE, _STEP, _BLOCK = 4_096, 64, 0.05, 4_096
 _SHARE = 1 << 23
 # Distinct keys that a task counts before it hands them on.
 _HELD = 1 << 18
-# Words held as bytes at a time, and numbers of words that are learnt at a time.
-_WORDS, _LEARNT = 1 << 17, 1 << 20
+# Words held as bytes at a time, at most, and numbers of words that are learnt and scored at a time.
+_WORDS, _LEARNT, _SCORED = 1 << 20, 1 << 20, 1 << 20
 # Rows of scores that stay in a cache, and the largest score whose exponential needs no shift.
-_ROWS, _SAFE = 512, 60.0
+_ROWS, _SAFE = 256, 60.0
 _SEED = 29
 
 
@@ -61,27 +61,48 @@ def words(text: str | None) -> list[bytes]:
     return found
 
 
+def _split(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, pa.Array]]:
+    """Blocks of rows of at most ``_WORDS`` words and a row: first row, row behind the last, words of each row, words.
+
+    The words are those of ``words``, in one array.
+    """
+    # Words and blanks take turns, and the end is a word.
+    most = np.cumsum((np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64) + 1) // 2 + 1)
+    first = 0
+    while first < len(texts):
+        last = int(np.searchsorted(most, (most[first - 1] if first else 0) + _WORDS)) + 1
+        last = min(last, len(texts))
+        plain = pc.fill_null(pc.ascii_trim_whitespace(pc.ascii_lower(texts.slice(first, last - first))), "")
+        # A blank at the end has an empty word behind it, which is the end; an empty text has no other word.
+        ended = pc.if_else(pc.equal(plain, ""), plain, pc.binary_join_element_wise(plain, "", " "))
+        lists = pc.ascii_split_whitespace(ended)
+        yield first, last, np.diff(lists.offsets.to_numpy()), lists.flatten().cast(pa.binary())
+        first = last
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word, c`` over all rows of column ``text``."""
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
+        held: list[pa.Table] = []
         for part in parts:
-            for text in part["text"]:
-                held.update(words(text.as_py()))
-                if len(held) >= _HELD:
-                    yield _counted(held)
-                    held.clear()
-        yield _counted(held)
+            for *_, found in _split(part["text"]):
+                held.append(pa.table(found.value_counts().flatten(), ["word", "n"]))
+                if sum(map(len, held)) >= 2 * _HELD:
+                    held = [_added(held)]
+                    if len(held[0]) >= _HELD:
+                        yield from held[0].to_batches()
+                        held = []
+        if held:
+            yield from _added(held).to_batches()
 
     partial = texts.select("text").mapInArrow(count, "word binary, n long")
     return partial.groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def _counted(held: Counter[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(held.keys()), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "n"]
-    )
+def _added(counts: list[pa.Table]) -> pa.Table:
+    summed = pa.concat_tables(counts).group_by("word", use_threads=False).aggregate([("n", "sum")])
+    return summed.select(["word", "n_sum"]).rename_columns(["word", "n"])
 
 
 def frequent_words(counts: DataFrame, distinct: int, most: int) -> list[tuple[bytes, int]]:
@@ -100,14 +121,14 @@ class Vocabulary:
     """Counts and classes of the most frequent words; all others are the tail."""
 
     def __init__(self, head: list[tuple[bytes, int]], total: int, distinct: int) -> None:
-        self.index = {w: i for i, (w, _) in enumerate(head)}
+        self.head = pa.array([w for w, _ in head], pa.binary())
         counts = np.array([c for _, c in head] + [0], np.float64)
         self.total = total
         self.mass = total + _SMOOTH * (distinct + 1)
         # The tail has no count of its own here: its words are looked up.
         weight = counts + _SMOOTH
         self.classes = np.full(len(head) + 1, _TAIL, np.int64)
-        end = self.index.get(END, -1)
+        end = self.head.index(END).as_py()
         rest = np.array([i for i in range(len(head)) if i != end], np.int64)
         self.classes[rest[:SINGLE]] = np.arange(len(rest[:SINGLE]))
         shared = rest[SINGLE:]
@@ -126,10 +147,9 @@ class Vocabulary:
         self.base[-1] = -np.log10(self.mass)
         self.share[-1] = -np.log10(sums[_TAIL])
 
-    def look_up(self, found: list[bytes]) -> np.ndarray:
-        tail = len(self.index)
-        get = self.index.get
-        return np.fromiter((get(w, tail) for w in found), np.int64, len(found))
+    def look_up(self, found: pa.Array) -> np.ndarray:
+        """Number of each word; that of the tail is the number of head words."""
+        return np.asarray(pc.fill_null(pc.index_in(found, value_set=self.head), len(self.head)), np.int64)
 
 
 def _contexts(classes: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -141,35 +161,19 @@ def _contexts(classes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return earlier * CLASSES + before
 
 
-def _rows(part: pa.RecordBatch) -> Iterator[tuple[int, int, list[list[bytes]]]]:
-    """Blocks of rows of about ``_WORDS`` words: first row, row behind the last, their words."""
-    first, held, size = 0, [], 0
-    for row, text in enumerate(part["text"]):
-        held.append(words(text.as_py()))
-        size += len(held[-1])
-        if size >= _WORDS:
-            yield first, row + 1, held
-            first, held, size = row + 1, [], 0
-    if held:
-        yield first, first + len(held), held
-
-
 def _numbered(part: pa.RecordBatch, known: Vocabulary) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Blocks of rows of about ``_LEARNT`` words: where their texts begin, and the numbers of the words."""
-    lengths, index, held, size = [], [], [], 0
-    for text in part["text"]:
-        found = words(text.as_py())
-        lengths.append(len(found))
-        held += found
-        size += len(found)
-        if len(held) >= _WORDS or size >= _LEARNT:
-            index.append(known.look_up(held))
-            held = []
-        if size >= _LEARNT:
-            yield np.cumsum(lengths) - lengths, np.concatenate(index)
-            lengths, index, size = [], [], 0
-    if lengths:
-        yield np.cumsum(lengths) - lengths, np.concatenate([*index, known.look_up(held)])
+    lengths, index = np.empty(0, np.int64), np.empty(0, np.int64)
+    for _, _, more, found in _split(part["text"]):
+        lengths, index = np.concatenate([lengths, more]), np.concatenate([index, known.look_up(found)])
+        while len(index) >= _LEARNT:
+            ends = np.cumsum(lengths)
+            rows = int(np.searchsorted(ends, _LEARNT)) + 1
+            size = int(ends[rows - 1])
+            yield ends[:rows] - lengths[:rows], index[:size]
+            lengths, index = lengths[rows:], index[size:]
+    if len(lengths):
+        yield np.cumsum(lengths) - lengths, index
 
 
 def class_counts(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -189,7 +193,7 @@ def class_counts(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             some = codes[start : start + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[some])], ["code", "n"])
 
-    partial = texts.select("text").mapInArrow(count, "code long, n long")
+    partial = dealt(texts, vocabulary.total).mapInArrow(count, "code long, n long")
     counts = partial.groupBy("code").agg(F.sum("n").alias("n"))
     # One list holds at most one entry for each class.
     return counts.groupBy(F.expr(f"code div {CLASSES}").alias("context")).agg(
@@ -301,7 +305,7 @@ class WordModel:
     names = ("source0", "source1", "target", "top")
 
     def __init__(self, known: Vocabulary, classes: LogBilinear) -> None:
-        head = len(known.index)
+        head = len(known.head)
         self.tail, self.start = head, head + 1
         self.group = np.zeros(head + 1, np.int64)
         self.members: list[np.ndarray] = []
@@ -321,6 +325,10 @@ class WordModel:
         self.shared = ~alone[self.group]
         weight = np.where(self.shared, known.weight, 0)[:-1]
         self.words = weight / max(weight.sum(), 1e-300)
+        # The place of each word among those of its group.
+        self.inside = np.zeros(head + 1, np.int64)
+        for some in self.members:
+            self.inside[some] = np.arange(len(some))
         rows = np.concatenate([known.classes, [_END]])
         for place in (0, 1):
             setattr(self, f"source{place}", (classes.source[place] * classes.place[place])[rows].astype(np.float32))
@@ -341,57 +349,65 @@ class WordModel:
 
     def log_probabilities(self, index: np.ndarray, earlier: np.ndarray, before: np.ndarray) -> np.ndarray:
         """``log10`` of each word after its two; of a tail word, that of the whole tail."""
-        parts = [self._logs(*(x[i : i + (1 << 17)] for x in (index, earlier, before))) for i in range(0, len(index), 1 << 17)]
+        parts = [self._logs(*(x[i : i + _SCORED] for x in (index, earlier, before))) for i in range(0, len(index), _SCORED)]
         return np.concatenate(parts) / np.log(10) if parts else np.empty(0)
 
     def _logs(self, index: np.ndarray, earlier: np.ndarray, before: np.ndarray) -> np.ndarray:
-        pairs, which = np.unique(earlier * (self.start + 1) + before, return_inverse=True)
-        hidden = np.ones((len(pairs), _DIM + 1), np.float32)
-        hidden[:, :-1] = self.source0[pairs // (self.start + 1)]
-        hidden[:, :-1] += self.source1[pairs % (self.start + 1)]
+        # Tokens by their pair, so that scores are read where they are made. A key and a
+        # place in one number sort faster than by an index, and in the same order.
+        bits, places = len(index).bit_length(), np.arange(len(index))
+        order = np.sort((earlier * (self.start + 1) + before) << bits | places)
+        pairs = order >> bits
+        order &= (1 << bits) - 1
+        fresh = np.diff(pairs, prepend=-1) > 0
+        pairs, which = np.divmod(pairs[fresh], self.start + 1), np.cumsum(fresh) - 1
         room = np.empty(_ROWS * max(len(self.top), *map(len, self.members)), np.float32)
+        index = index[order]
         group = self.group[index]
-        # Tokens by the row of their pair, so that scores are read where they are made.
-        order = np.argsort(which, kind="stable")
-        which, group, index = which[order], group[order], index[order]
-        sums, scores = _log_sums(hidden, self.top, which, group, room)
+        sums, scores = self._log_sums(*pairs, self.top, which, group, room)
         logs = scores - sums[which]
         chosen = np.flatnonzero(self.shared[index])
-        chosen = chosen[np.argsort(group[chosen], kind="stable")]
-        groups, at = np.unique(group[chosen], return_index=True)
-        for g, some in zip(groups.tolist(), np.split(chosen, at[1:]), strict=False):
-            # Within a group the pairs still rise.
-            first = np.diff(which[some], prepend=-1) > 0
-            rows = np.cumsum(first) - 1
-            columns = np.searchsorted(self.members[g], index[some])
-            sums, scores = _log_sums(hidden[which[some[first]]], self.target[self.members[g]], rows, columns, room)
-            logs[some] += scores - sums[rows]
+        # Within a group the pairs still rise.
+        chosen = np.sort(group[chosen] << bits | chosen) & (1 << bits) - 1
+        which, group, inside = which[chosen], group[chosen], self.inside[index[chosen]]
+        start = 0
+        for end in (np.flatnonzero(np.diff(group, append=-1)) + 1).tolist():
+            members, mine = self.members[group[start]], which[start:end]
+            first = np.diff(mine, prepend=-1) > 0
+            rows, mine = np.cumsum(first) - 1, mine[first]
+            sums, scores = self._log_sums(*(p[mine] for p in pairs), self.target[members], rows, inside[start:end], room)
+            logs[chosen[start:end]] += scores - sums[rows]
+            start = end
         found = np.empty(len(logs))
         found[order] = logs
         return found
 
-
-def _log_sums(
-    hidden: np.ndarray, table: np.ndarray, rows: np.ndarray, columns: np.ndarray, room: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """Logarithm of the summed exponentials of ``hidden @ table.T`` by row, and its entries at rising ``rows``.
-
-    Only ``_ROWS`` rows of scores are made at a time, in ``room``, which saves asking for memory each time.
-    """
-    sums, wanted = np.empty(len(hidden)), np.empty(len(rows), np.float32)
-    ones = np.ones(len(table), np.float32)
-    cuts = np.searchsorted(rows, np.arange(0, len(hidden) + _ROWS, _ROWS)).tolist()
-    for start, a, b in zip(range(0, len(hidden), _ROWS), cuts, cuts[1:]):
-        own = hidden[start : start + _ROWS]
-        scores = np.matmul(own, table.T, out=room[: len(own) * len(table)].reshape(len(own), len(table)))
-        wanted[a:b] = scores[rows[a:b] - start, columns[a:b]]
-        # Rows are shifted by their largest score where one is far from zero.
-        top = 0.0
-        if max(-scores.min(), scores.max()) > _SAFE:
-            top = scores.max(1)
-            scores -= top[:, None]
-        sums[start : start + _ROWS] = np.log(np.exp(scores, out=scores) @ ones) + top
-    return sums, wanted
+    def _log_sums(
+        self, earlier: np.ndarray, before: np.ndarray, table: np.ndarray, rows: np.ndarray, columns: np.ndarray, room: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Logarithm of the summed exponentials of the scores of ``table`` by pair, and the scores at rising ``rows``.
+
+        Only ``_ROWS`` rows of scores are made at a time, in ``room``, which saves asking for memory each time.
+        """
+        size, width = len(earlier), len(table)
+        sums, wanted = np.empty(size), np.empty(len(rows), np.float32)
+        ones, hidden = np.ones(width, np.float32), np.ones((_ROWS, _DIM + 1), np.float32)
+        # No score is larger than the lengths of its two vectors allow.
+        longest = np.sqrt(np.einsum("ij,ij->i", table, table).max())
+        cuts = np.searchsorted(rows, np.arange(0, size + _ROWS, _ROWS)).tolist()
+        for start, a, b in zip(range(0, size, _ROWS), cuts, cuts[1:]):
+            end = min(start + _ROWS, size)
+            own = hidden[: end - start]
+            np.add(self.source0[earlier[start:end]], self.source1[before[start:end]], out=own[:, :-1])
+            scores = np.matmul(own, table.T, out=room[: len(own) * width].reshape(len(own), width))
+            wanted[a:b] = scores[rows[a:b] - start, columns[a:b]]
+            # Rows are shifted by their largest score where one may be far from zero.
+            top = 0.0
+            if not np.sqrt(np.einsum("ij,ij->i", own, own).max()) * longest <= _SAFE:
+                top = scores.max(1)
+                scores -= top[:, None]
+            sums[start:end] = np.log(np.exp(scores, out=scores) @ ones) + top
+        return sums, wanted
 
 
 def _taken(table: np.ndarray, rows: np.ndarray, room: np.ndarray) -> np.ndarray:
@@ -449,10 +465,12 @@ class Learner:
         true, other = _taken(table, truth, room), table[noise]
         good = np.einsum("ij,ij->i", hidden, true) - shift[truth]
         pull = (1 / (1 + np.exp(-good.clip(-30, 30))) - 1).astype(np.float32)[:, None]
-        push = np.matmul(hidden, other.T, out=self.room["push"][: size * times].reshape(size, times))
-        push -= shift[noise]
-        np.clip(push, -30, 30, out=push)
-        np.exp(np.negative(push, out=push), out=push)
+        # The last of ``hidden`` is one, so the shift is taken off with the bias.
+        away = -other
+        away[:, -1] += shift[noise]
+        push = np.matmul(hidden, away.T, out=self.room["push"][: size * times].reshape(size, times))
+        with np.errstate(over="ignore"):
+            np.exp(push, out=push)
         push += 1
         np.reciprocal(push, out=push)
         true *= pull
@@ -471,11 +489,13 @@ class Learner:
         rows, width = rows[at], grad.shape[1]
         grad = _taken(grad, order & 0xFFFF, self.room["sorted"].reshape(-1)[: len(order) * width].reshape(-1, width))
         sums = self.room["sums"].reshape(-1)[: len(at) * width].reshape(-1, width)
-        grad = np.add.reduceat(grad, at, axis=0, out=sums)
+        # Two numbers at a time, where the width allows it, sum faster.
+        two = np.float32 if width % 2 else np.complex64
+        np.add.reduceat(grad.view(two), at, axis=0, out=sums.view(two))
+        grad = sums
         past = self.past[name][rows] + np.einsum("ij,ij->i", grad, grad) / width
         self.past[name][rows] = past
-        grad *= _STEP
-        grad /= np.sqrt(past)[:, None]
+        grad *= (_STEP / np.sqrt(past))[:, None]
         self.own[name][rows] -= grad
         self.times[name][rows] += np.diff(np.append(at, len(order)))
 
@@ -551,6 +571,32 @@ def train_words(texts: DataFrame, vocabulary: Vocabulary, model: WordModel) -> W
     return model
 
 
+def _repeats(found: pa.Array, lengths: np.ndarray, wanted: np.ndarray) -> tuple[pa.ListArray, pa.ListArray]:
+    """The distinct wanted words of each row, and how often each occurs in it."""
+    coded = found.filter(pa.array(wanted)).dictionary_encode()
+    rows, distinct = np.repeat(np.arange(len(lengths)), lengths)[wanted], max(len(coded.dictionary), 1)
+    keys, times = np.unique(rows * distinct + coded.indices.to_numpy(), return_counts=True)
+    offsets = pa.array(np.searchsorted(keys, np.arange(len(lengths) + 1) * distinct), pa.int32())
+    own = coded.dictionary.take(pa.array(keys % distinct))
+    return pa.ListArray.from_arrays(offsets, own), pa.ListArray.from_arrays(offsets, pa.array(times, pa.int64()))
+
+
+def _blocks(texts: pa.Array, known: Vocabulary) -> Iterator[tuple]:
+    """Blocks of rows of fewer than ``_SCORED`` words, or little more.
+
+    First row, row behind the last, words of each row, their numbers, and the tail words of each row with how often each occurs.
+    """
+    held, begin, size = [], 0, 0
+    for _, last, lengths, found in _split(texts):
+        index = known.look_up(found)
+        held.append((lengths, index, *_repeats(found, lengths, index == len(known.head))))
+        size += len(index)
+        if 4 * size >= 3 * _SCORED or last == len(texts):
+            lengths, index, *rare = zip(*held, strict=True)
+            yield begin, last, np.concatenate(lengths), np.concatenate(index), *map(pa.concat_arrays, rare)
+            held, begin, size = [], last, 0
+
+
 def model_scores(docs: DataFrame, texts: DataFrame) -> DataFrame:
     """Scores of ``docs`` under a model of all ``texts``: one row per row.
 
@@ -568,20 +614,12 @@ def model_scores(docs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, net = sent.value
-        tail = len(known.index)
+        tail = len(known.head)
         for part in parts:
-            for first, last, block in _rows(part):
-                lengths = np.array([len(b) for b in block])
+            for first, last, lengths, index, *rare in _blocks(part["text"], known):
                 starts = np.cumsum(lengths) - lengths
-                flat = [w for b in block for w in b]
-                index = known.look_up(flat)
                 token = net.log_probabilities(index, *net.contexts(index, starts)) + np.where(index < tail, 0, known.share[-1])
                 sums = [np.add.reduceat(x, starts) for x in (known.base[index], token, (index < tail).astype(np.int64))]
-                rare = [Counter() for _ in block]
-                places = np.flatnonzero(index == tail)
-                for row, at in zip((np.searchsorted(starts, places, side="right") - 1).tolist(), places.tolist(), strict=True):
-                    rare[row][flat[at]] += 1
-                words_, times = [list(r.keys()) for r in rare], [list(r.values()) for r in rare]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part["doc_id"][first:last],
@@ -590,8 +628,7 @@ def model_scores(docs: DataFrame, texts: DataFrame) -> DataFrame:
                         pa.array(sums[0]),
                         pa.array(sums[1]),
                         pa.array(sums[2]),
-                        pa.array(words_, pa.list_(pa.binary())),
-                        pa.array(times, pa.list_(pa.int64())),
+                        *rare,
                     ],
                     names,
                 )

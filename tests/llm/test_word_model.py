@@ -1,6 +1,7 @@
 """The language model tells words of one class apart, and its words add up to one."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -86,3 +87,45 @@ def test_few_words_are_held_and_blocks_stay_the_same(monkeypatch):
     monkeypatch.setattr(language_model, "_ROWS", 3)
     monkeypatch.setattr(language_model, "_SAFE", 0.0)
     assert np.allclose(model.log_probabilities(index, *contexts), logs, atol=1e-5)
+
+
+ODD = [None, "", " \t\n", "a", " A b\x0bC\x0c", "x\x1cy \xa0 z", "É é\r\n\nÄ", "end ", None, "a a a q q"]
+
+
+@pytest.mark.parametrize("most", [1, 7, 1 << 20])
+def test_words_of_all_texts_in_one_array(monkeypatch, most):
+    monkeypatch.setattr(language_model, "_WORDS", most)
+    texts = pa.array(["cut off", *ODD, "cut off"]).slice(1, len(ODD))
+    found = list(language_model._split(texts))
+    assert [b[0] for b in found] == [0, *(b[1] for b in found[:-1])] and found[-1][1] == len(ODD)
+    plain = [language_model.words(t) for t in ODD]
+    assert [n for b in found for n in b[2]] == list(map(len, plain))
+    assert [w for b in found for w in b[3].to_pylist()] == [w for p in plain for w in p]
+
+
+def test_scores_are_made_for_more_words_than_are_held_as_bytes(monkeypatch):
+    known, model = fresh([(b"w%d" % i, 100 - i) for i in range(60)] + [(language_model.END, 9)], 5)
+    texts = ODD + [" ".join(f"w{(i * j) % 70}" for j in range(i % 23)) for i in range(200)]
+    monkeypatch.setattr(language_model, "_WORDS", 40)
+    monkeypatch.setattr(language_model, "_SCORED", 900)
+    row, sizes = 0, []
+    for first, last, lengths, index, rare, times in language_model._blocks(pa.array(texts), known):
+        assert first == row
+        row = last
+        plain = [language_model.words(t) for t in texts[first:last]]
+        assert lengths.tolist() == list(map(len, plain))
+        assert index.tolist() == known.look_up(pa.array([w for p in plain for w in p])).tolist()
+        heads = set(known.head.to_pylist())
+        expected = [Counter(w for w in p if w not in heads) for p in plain]
+        assert [dict(zip(*x)) for x in zip(rare.to_pylist(), times.to_pylist())] == expected
+        sizes.append(len(index))
+    # Before, scores were made for the words held as bytes only, so that few pairs of words met.
+    assert row == len(texts) and min(sizes[:-1]) >= 675
+
+
+def test_counts_of_words_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "_HELD", 3)
+    monkeypatch.setattr(language_model, "_WORDS", 4)
+    texts = spark.createDataFrame([(t,) for t in ODD * 3], "text string").coalesce(1)
+    expected = Counter(w for t in ODD * 3 for w in language_model.words(t))
+    assert {bytes(r.word): r.c for r in language_model.word_counts(texts).collect()} == expected
