@@ -23,6 +23,10 @@ FORMAT = "image_frames"
 SCHEMA = "path string, file_name string, frame int, height int, width int, pixels array<int>"
 # Files of one partition hold about this many bytes; a larger file is one of its own.
 PARTITION_BYTES = 32 << 20
+# Opening a file takes as long as reading this many bytes, so small files make partitions too.
+OPEN_BYTES = 32 << 10
+# Pixels and rows of a batch; a larger file is one of its own.
+BATCH_CELLS = 1 << 18
 
 # Fixed values of the file format: transfer syntaxes, and value representations with a long length field.
 IMPLICIT, EXPLICIT = "1.2.840.10008.1.2", "1.2.840.10008.1.2.1"
@@ -156,6 +160,7 @@ class FrameReader(DataSourceReader):
         parts: list[list[str]] = []
         held = 0
         for path, size in list_files(self.root):
+            size += OPEN_BYTES
             if not parts or held + size > self.bytes:
                 parts.append([])
                 held = 0
@@ -164,23 +169,36 @@ class FrameReader(DataSourceReader):
         return [FilesPartition(p) for p in parts or [[]]]
 
     def read(self, partition: FilesPartition) -> Iterator[pa.RecordBatch]:
+        held, cells = [], 0
         for name in partition.names:
             try:
                 frames = decode(get_file(f"{self.root}/{name}"))
             except ValueError as error:
                 raise ValueError(f"{self.root}/{name}: {error}") from error
-            folder, _, file = name.rpartition("/")
-            n, height, width = frames.shape
-            # A batch for each file; a frame is a row.
-            ends = np.arange(n + 1, dtype=np.int32) * (height * width)
-            pixels = pa.ListArray.from_arrays(pa.array(ends), pa.array(frames.ravel().astype(np.int32)))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([folder] * n), pa.array([file] * n), pa.array(np.arange(n, dtype=np.int32)),
-                    pa.array(np.full(n, height, np.int32)), pa.array(np.full(n, width, np.int32)), pixels,
-                ],
-                ["path", "file_name", "frame", "height", "width", "pixels"],
-            )
+            if held and cells + frames.size + len(frames) > BATCH_CELLS:
+                yield _batch(held)
+                held, cells = [], 0
+            held.append((name, frames))
+            cells += frames.size + len(frames)
+        if held:
+            yield _batch(held)
+
+
+def _batch(files: list[tuple[str, np.ndarray]]) -> pa.RecordBatch:
+    """A row for each frame of the files."""
+    counts, heights, widths = (np.array(x) for x in zip(*[f.shape for _, f in files], strict=True))
+    names = [name.rpartition("/") for name, f in files for _ in range(len(f))]
+    height, width = (np.repeat(x, counts).astype(np.int32) for x in (heights, widths))
+    ends = np.concatenate([[0], np.cumsum(height.astype(np.int64) * width)])
+    pixels = np.concatenate([f.ravel().astype(np.int32) for _, f in files])
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([n[0] for n in names], pa.string()), pa.array([n[2] for n in names], pa.string()),
+            pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in counts])), pa.array(height), pa.array(width),
+            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(pixels)),
+        ],
+        ["path", "file_name", "frame", "height", "width", "pixels"],
+    )
 
 
 class FrameSource(DataSource):

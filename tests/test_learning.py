@@ -592,3 +592,24 @@ def test_image_job(spark):
     first = [f for f in frames if f[0] == "dataset1/p1/seg" and f[1] == "1-1"]
     assert rows[0]["volume"] == sum(sum(f[5]) for f in first)
     assert None not in tuple(rows[0])
+
+
+def test_image_job_decodes_each_frame_once(spark):
+    metadata = spark.createDataFrame(
+        [("p1", "SEG", "p1/seg", 1), ("p1", "CT", "p1/ct", 2)], ["Subject ID", "Modality", "File Location", "at"]
+    )
+    cells = np.random.default_rng(2).integers(0, 2, (8, 36)).tolist()
+    frames = [("d/p1/ct", f"1-{k}", 0, 6, 6, cells[k]) for k in range(4)]
+    frames += [("d/p1/seg", "1-1", k - 4, 6, 6, cells[k]) for k in range(4, 8)]
+    schema = "path string, file_name string, frame int, height int, width int, pixels array<int>"
+    seen = spark.sparkContext.accumulator(0)
+
+    def decode(parts):
+        for part in parts:
+            seen.add(part.num_rows)
+            yield part
+
+    decoded = spark.createDataFrame(frames, schema).mapInArrow(decode, schema)
+    labels = spark.createDataFrame([("p1", 1)], "patient_id string, death_2years int")
+    rows = jobs.image_features({"d": metadata}, decoded, labels, ["at"]).collect()
+    assert rows[0]["volume"] == sum(map(sum, cells[4:])) and seen.value == len(frames)

@@ -187,6 +187,27 @@ def test_frames_through_the_data_source(spark, tmp_path):
         frames.read_frames(spark, root).collect()
 
 
+def test_small_files_share_partitions_and_batches(tmp_path, monkeypatch):
+    rng = np.random.default_rng(6)
+    cells = {f"s/1-{k}.dcm": random_frames(rng, k % 3 + 1, 16, 4 + k % 2, 3) for k in range(24)}
+    (tmp_path / "s").mkdir()
+    for name, own in cells.items():
+        (tmp_path / name).write_bytes(frames.encode(own))
+    reader = frames.FrameReader({"path": str(tmp_path), "partitionbytes": str(4 * frames.OPEN_BYTES)})
+    parts = reader.partitions()
+    # Before, all small files were one partition and each was a batch of its own.
+    assert len(parts) == 8 and sorted(n for p in parts for n in p.names) == sorted(cells)
+    for most, batches in ((1 << 18, [1]), (40, [2, 3])):
+        monkeypatch.setattr(frames, "BATCH_CELLS", most)
+        for part in parts:
+            found = list(reader.read(part))
+            assert len(found) in batches
+            rows = [tuple(r.values()) for b in found for r in b.to_pylist()]
+            assert rows == [
+                ("s", n[2:], i, *c.shape, c.ravel().tolist()) for n in part.names for i, c in enumerate(cells[n])
+            ]
+
+
 def test_an_empty_folder_has_no_frames(spark, tmp_path):
     assert frames.read_frames(spark, str(tmp_path)).count() == 0
 
