@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.plans.durable import freeze
+from cohortline.plans.durable import new_path, own_tables
 
 # Largest table, in serialised bytes, that an operator broadcasts.
 BROADCAST_BYTES = 64 << 20
@@ -30,13 +32,25 @@ def crc_remainder(doc_id: Column, modulus: int) -> Column:
 
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once and return the written table, without keeping what was shuffled for it."""
-    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(name, None)
-    conf.set(name, "true")
+    return _settled(df, new_path(df.sparkSession))
+
+
+def _settled(df: DataFrame, path: str) -> DataFrame:
+    spark, name = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
     try:
-        return freeze(df)
+        df.write.parquet(path)
     finally:
-        conf.unset(name) if before is None else conf.set(name, before)
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def settled_alone(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """``settle`` for a table whose own written tables go as soon as it is there."""
+    path = new_path(spark)
+    with own_tables(spark):
+        return _settled(build(), path)
 
 
 def small_enough(df: DataFrame, row_bytes: int) -> bool:

@@ -16,6 +16,11 @@ of phrases that share their trigger with another phrase, are sorted by (trigger,
 stretch, document), and those that a smaller document holds are repeated.
 Phrases of a trigger of their own have no equal stretch and are never expanded.
 
+On disk a byte of text costs most where it is hashed, so little is kept there at a
+time: the parse is sorted for one share of the triggers after the other, shared
+phrases move as their bytes and are hashed where they are compared, and what a
+step has written goes when its result is there.
+
 Triggers that hold a large share of the parse are found first, by counts that
 every task keeps of its most frequent ones. Their rows are sorted in runs that may
 be cut anywhere, also within equal rows of different documents; what a run hands
@@ -26,6 +31,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import settle, small_enough, table
+from cohortline.llm.common import settle, settled_alone, small_enough, table
 
 LENGTH = 50
 GRAM = 16
@@ -41,8 +47,12 @@ GRAM = 16
 HOT_SHARE = 1 / 2_000
 # Triggers that a task keeps counts of: what it loses of one is at most a quarter of that share.
 _COUNTED = 4 * 2_000
+# Shares of the triggers whose parse is sorted one after the other.
+SHARES = 2
 # Bytes that are parsed at a time.
 _SLICE = 1 << 20
+# Stretches that are compared at a time.
+_COMPARED = 1 << 22
 _BITS = 24
 
 _rng = np.random.default_rng(50)
@@ -67,6 +77,20 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _running(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of the weighted bytes, and the inverse powers that move a sum to the front."""
+    up, down = _tables(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTES[data] * up[: len(data)], out=sums[1:])
+    return sums, down
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges one after the other, and where each range begins and ends among them."""
+    ends = np.cumsum(np.concatenate([[0], size]))
+    return np.arange(ends[-1]) + np.repeat(start - ends[:-1], size), ends
+
+
 class Parse:
     """Phrases of a slice of documents, as positions in its bytes and hashes."""
 
@@ -74,9 +98,8 @@ class Parse:
         data = np.frombuffer(b"".join(texts), np.uint8)
         sizes = np.array([len(t) for t in texts], np.int64)
         self.starts = np.cumsum(sizes) - sizes
-        up, self._down = _tables(len(data) + 1)
-        self._sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTES[data] * up[: len(data)], out=self._sums[1:])
+        self.data = data
+        self._sums, self._down = _running(data)
         counts = np.maximum(sizes - LENGTH + 1, 0)
         # Where stretches begin, and the document of each.
         total = int(counts.sum())
@@ -145,9 +168,13 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"), "text")
 
 
-def parse(texts: DataFrame, only: list[int] | None = None) -> DataFrame:
-    """``trigger, phrase, doc``: the distinct phrases of every text, or those of the triggers in ``only``."""
+def parse(texts: DataFrame, only: list[int] | None = None, share: tuple[int, int] = (0, 1)) -> DataFrame:
+    """``trigger, phrase, doc``: the distinct phrases of every text, or those of the triggers in ``only``.
+
+    ``share`` is the remainder of the triggers by a number of shares.
+    """
     wanted = None if only is None else np.array(only, np.int64)
+    place, shares = map(np.uint64, share)
 
     def phrases(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -158,6 +185,9 @@ def parse(texts: DataFrame, only: list[int] | None = None) -> DataFrame:
                 if wanted is not None:
                     own = np.isin(trigger.view(np.int64), wanted)
                     doc, trigger, phrase = doc[own], trigger[own], phrase[own]
+                if shares > 1:
+                    own = trigger % shares == place
+                    doc, trigger, phrase = doc[own], trigger[own], phrase[own]
                 order = np.lexsort((phrase, trigger, doc))
                 doc, trigger, phrase = doc[order], trigger[order], phrase[order]
                 new = np.ones(len(doc), bool)
@@ -251,22 +281,85 @@ def repeated_phrases(texts: DataFrame) -> tuple[DataFrame, list[int]]:
     their kind, and share their trigger with another phrase.
     """
     hot = hot_triggers(texts)
-    rows = parse(texts)
     known = F.col("trigger").isin(hot) if hot else F.lit(False)
     by_phrase, by_trigger = Window.partitionBy("trigger", "phrase"), Window.partitionBy("trigger")
     whole = F.col("doc") > F.col("least")
-    every = (
-        rows.filter(~known)
-        .repartition("trigger")
-        .withColumn("least", F.min("doc").over(by_phrase))
-        .withColumn("shared", F.min("phrase").over(by_trigger) != F.max("phrase").over(by_trigger))
-        .filter(whole | F.col("shared"))
-        .select("doc", "phrase", whole.alias("whole"))
-    )
+    every = [
+        settle(
+            parse(texts, share=(share, SHARES)).filter(~known)
+            .repartition("trigger")
+            .withColumn("least", F.min("doc").over(by_phrase))
+            .withColumn("shared", F.min("phrase").over(by_trigger) != F.max("phrase").over(by_trigger))
+            .filter(whole | F.col("shared"))
+            .select("doc", "phrase", whole.alias("whole"))
+        )
+        for share in range(SHARES)
+    ]
     if hot:
-        warm = later_rows(settle(parse(texts, hot)), ["trigger", "phrase"])
-        every = every.unionByName(warm.select("doc", "phrase", F.col("later").alias("whole")))
-    return settle(every), hot
+
+        def warm() -> DataFrame:
+            rows = later_rows(settle(parse(texts, hot)), ["trigger", "phrase"])
+            return rows.select("doc", "phrase", F.col("later").alias("whole"))
+
+        every.append(settled_alone(texts.sparkSession, warm))
+    return reduce(DataFrame.unionByName, every), hot
+
+
+def _stretches(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all stretches of phrases of some sizes that lie one after the other, and the phrase of each."""
+    sums, down = _running(data)
+    at, ends = _ranges(np.cumsum(sizes) - sizes, sizes - LENGTH + 1)
+    hashes = _mix((sums[at + LENGTH] - sums[at]) * down[at] + np.uint64(LENGTH))
+    return hashes.view(np.int64), np.repeat(np.arange(len(sizes)), np.diff(ends))
+
+
+def _bytes_of(bodies: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column, and the size of every entry."""
+    bodies = bodies.cast(pa.binary())
+    offsets = np.frombuffer(bodies.buffers()[1], np.int32)[bodies.offset : bodies.offset + len(bodies) + 1]
+    return np.frombuffer(bodies.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], np.diff(offsets).astype(np.int64)
+
+
+def _later_stretches(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc, stretch`` that a smaller document holds, among all phrases ``trigger, doc, body`` of some triggers."""
+    total = sum(int((_bytes_of(p["body"])[1] - LENGTH + 1).sum()) for p in parts)
+    # The stretches of very many phrases are compared class by class.
+    classes = 1 + total // _COMPARED
+    for k in range(classes):
+        found = []
+        for part in parts:
+            hashes, row = _stretches(*_bytes_of(part["body"]))
+            if classes > 1:
+                mine = hashes.view(np.uint64) % np.uint64(classes) == k
+                hashes, row = hashes[mine], row[mine]
+            found.append((part["trigger"].to_numpy()[row], hashes, part["doc"].to_numpy()[row]))
+        trigger, stretch, doc = (np.concatenate(x) for x in zip(*found, strict=True))
+        if not len(doc):
+            continue
+        order = np.lexsort((stretch, trigger))
+        trigger, stretch, doc = trigger[order], stretch[order], doc[order]
+        new = np.ones(len(doc), bool)
+        new[1:] = (stretch[1:] != stretch[:-1]) | (trigger[1:] != trigger[:-1])
+        least = np.minimum.reduceat(doc, np.flatnonzero(new))
+        later = doc > least[np.cumsum(new) - 1]
+        yield pa.RecordBatch.from_arrays([pa.array(doc[later]), pa.array(stretch[later])], ["doc", "stretch"])
+
+
+def _by_trigger(parts: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Batches sorted by trigger, cut so that all rows of a trigger come together."""
+    held: list[pa.RecordBatch] = []
+    for part in parts:
+        if not part.num_rows:
+            continue
+        trigger = part["trigger"].to_numpy()
+        last = int(np.searchsorted(trigger, trigger[-1]))
+        if last or (held and held[-1]["trigger"][0] != part["trigger"][0]):
+            held.append(part.slice(0, last))
+            yield [p for p in held if p.num_rows]
+            held = []
+        held.append(part.slice(last))
+    if held:
+        yield held
 
 
 def repeated_stretches(texts: DataFrame, shared: DataFrame, hot: list[int]) -> DataFrame:
@@ -284,34 +377,45 @@ def repeated_stretches(texts: DataFrame, shared: DataFrame, hot: list[int]) -> D
                     own = found.phrase[edges[i] : edges[i + 1]]
                     keep[edges[i] : edges[i + 1]] = np.isin(own.view(np.int64), lists[row].values.to_numpy())
                 kept = np.flatnonzero(keep)
-                sizes = found.last[kept] - found.first[kept] + 1
-                ends = np.cumsum(np.concatenate([[0], sizes]))
-                index = np.arange(ends[-1]) + np.repeat(found.first[kept] - ends[:-1], sizes)
-                hashes = found.stretches()[index].view(np.int64)
+                start = found.at[found.first[kept]]
+                index, ends = _ranges(start, found.at[found.last[kept]] + LENGTH - start)
+                bodies = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(found.data[index])]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(found.trigger[kept].view(np.int64)),
                         pa.array(ids[np.array(rows, np.int64)[found.phrase_row[kept]]]),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes)),
+                        pa.Array.from_buffers(pa.binary(), len(kept), bodies),
                     ],
-                    ["trigger", "doc", "stretches"],
+                    ["trigger", "doc", "body"],
                 )
 
-    schema = "trigger long, doc long, stretches array<long>"
-    expanded = settle(texts.join(wanted, "doc").mapInArrow(expand, schema))
-    known = F.col("trigger").isin(hot) if hot else F.lit(False)
-    one = F.explode("stretches").alias("stretch")
-    by_stretch = Window.partitionBy("trigger", "stretch")
-    # Phrases move whole, and are expanded where their trigger is.
-    cold = (
-        expanded.filter(~known).repartition("trigger").select("trigger", "doc", one)
-        .withColumn("least", F.min("doc").over(by_stretch))
-    )
-    later = cold.filter("doc > least").select("doc", "stretch")
-    if hot:
-        warm = later_rows(expanded.filter(known).select("trigger", "doc", one), ["trigger", "stretch"])
-        later = later.unionByName(warm.filter("later").select("doc", "stretch"))
-    return settle(later).groupBy("doc").agg(F.collect_set("stretch").alias("stretches"))
+    def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _by_trigger(parts):
+            yield from _later_stretches(group)
+
+    def hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            stretch, row = _stretches(*_bytes_of(part["body"])) if part.num_rows else (np.empty(0, np.int64),) * 2
+            yield pa.RecordBatch.from_arrays(
+                [part["trigger"].take(pa.array(row)), part["doc"].take(pa.array(row)), pa.array(stretch)],
+                ["trigger", "doc", "stretch"],
+            )
+
+    def later() -> DataFrame:
+        expanded = settle(texts.join(wanted, "doc").mapInArrow(expand, "trigger long, doc long, body binary"))
+        known = F.col("trigger").isin(hot) if hot else F.lit(False)
+        # Phrases move whole, and are expanded where their trigger is.
+        rows = (
+            expanded.filter(~known).repartition("trigger").sortWithinPartitions("trigger")
+            .mapInArrow(compare, "doc long, stretch long")
+        )
+        if hot:
+            warm = expanded.filter(known).mapInArrow(hashed, "trigger long, doc long, stretch long")
+            rows = rows.unionByName(later_rows(warm, ["trigger", "stretch"]).filter("later").select("doc", "stretch"))
+        return rows
+
+    found = settled_alone(texts.sparkSession, later)
+    return found.groupBy("doc").agg(F.collect_set("stretch").alias("stretches"))
 
 
 def _removed(part: pa.RecordBatch, phrases: list[np.ndarray], stretches: list[np.ndarray]) -> dict[int, np.ndarray]:

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ import pytest
 import xxhash
 
 from cohortline.llm import exact_dedup, graph, repeats, simhash
+from cohortline.plans import durable
 from tests.llm.conftest import ROWS, SF, rows
 
 
@@ -212,3 +214,46 @@ def test_hot_triggers_are_all_found_and_no_rare_ones(spark, monkeypatch):
     hot = set(repeats.hot_triggers(frame))
     assert {r.trigger for r in rows if r["count"] >= every / 50} <= hot
     assert hot and all(r["count"] >= every / 100 for r in rows if r.trigger in hot)
+
+
+def test_repeats_hold_few_bytes_on_disk(spark):
+    rng = random.Random(4)
+    base, texts = rng.choices("abcdefgh ", k=20_000), []
+    for _ in range(30):
+        text = list(base)
+        for place in rng.sample(range(len(text)), 200):
+            text[place] = "X"
+        texts.append("".join(text))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc long, text string")
+    with durable.own_tables(spark):
+        found, hot = repeats.repeated_phrases(frame)
+        repeats.repeated_stretches(frame, found.filter("not whole"), hot).collect()
+        job = spark.sparkContext.getLocalProperty(durable._JOB)
+        held = sum(p.stat().st_size for p in Path(durable.shared_folder(spark), "cohortline", job).rglob("*.parquet"))
+    # The hashes of all stretches of shared phrases are not among what stays until the end.
+    assert held < 3 * sum(map(len, texts))
+
+
+def test_stretches_of_a_trigger_are_compared_together(monkeypatch):
+    rng = random.Random(5)
+    rows = [(rng.randrange(6), rng.randrange(9), "".join(rng.choices("ab", k=3)) * rng.randint(20, 60)) for _ in range(300)]
+    rows.sort(key=lambda r: r[0])
+    least = {}
+    stretches = lambda b: [b[i : i + 50] for i in range(len(b) - 49)]
+    for t, d, b in rows:
+        for s in stretches(b):
+            least[t, s] = min(d, least.get((t, s), d))
+    hashed = lambda s: int(repeats._stretches(np.frombuffer(s.encode(), np.uint8), np.array([50]))[0][0])
+    want = {(d, hashed(s)) for t, d, b in rows for s in stretches(b) if d > least[t, s]}
+    schema = pa.schema([("trigger", pa.int64()), ("doc", pa.int64()), ("body", pa.binary())])
+    parts = [
+        pa.RecordBatch.from_pylist([{"trigger": t, "doc": d, "body": b.encode()} for t, d, b in rows[i : i + 7]], schema)
+        for i in range(0, 300, 7)
+    ]
+    for compared in (1 << 22, 50):
+        monkeypatch.setattr(repeats, "_COMPARED", compared)
+        groups = list(repeats._by_trigger(iter(parts)))
+        triggers = [{t for p in g for t in p["trigger"].to_pylist()} for g in groups]
+        assert sum(map(len, triggers)) == 6 and sum(p.num_rows for g in groups for p in g) == 300
+        got = [p for g in groups for p in repeats._later_stretches(g)]
+        assert {(r["doc"], r["stretch"]) for p in got for r in p.to_pylist()} == want
