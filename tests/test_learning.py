@@ -318,6 +318,36 @@ def test_network_gradient():
         assert gradient[j] == pytest.approx((up - down) / 2e-6, abs=1e-6)
 
 
+def plain_adam(w, sizes, x, y, alpha, batch, seeds):
+    mean, square, steps, losses = np.zeros_like(w), np.zeros_like(w), 0, []
+    for seed in seeds:
+        order, total = np.random.default_rng(seed).permutation(len(y)), 0.0
+        for at in range(0, len(y), batch):
+            rows = order[at : at + batch]
+            loss, gradient = neural.loss_and_gradient(w, sizes, x[rows], y[rows], alpha)
+            steps, total = steps + 1, total + loss * len(rows)
+            mean = mean * 0.9 + gradient * (1 - 0.9)
+            square = square * 0.999 + gradient * gradient * (1 - 0.999)
+            rate = 1e-3 * np.sqrt(1 - 0.999**steps) / (1 - 0.9**steps)
+            w = w - mean / (np.sqrt(square) + 1e-8) * rate
+        losses.append(total / len(y))
+    return np.concatenate([w, mean, square]), losses
+
+
+@pytest.mark.parametrize("hidden", [[6], [9, 5], [100, 50, 25]])
+def test_networks_side_by_side_are_those_alone(hidden):
+    rng = np.random.default_rng(12)
+    x, y, alphas = rng.random((75, 4)), rng.integers(0, 2, 75).astype(float), [0.001, 0.5, 3.0]
+    sizes = [4, *hidden, 1]
+    starts = [neural.start_weights(sizes, k) for k in range(3)]
+    together = neural.AdamRuns([np.concatenate([w, np.zeros(2 * len(w))]) for w in starts], 0, sizes, alphas)
+    losses = [together.epoch(x, y, 32, np.random.default_rng(seed)) for seed in (4, 5, 6)]
+    for k, (w, alpha) in enumerate(zip(starts, alphas)):
+        state, lost = plain_adam(w, sizes, x, y, alpha, 32, (4, 5, 6))
+        got = np.concatenate([together.w[k], together.mean[k], together.square[k]])
+        assert got == pytest.approx(state, rel=1e-9, abs=1e-12) and [v[k] for v in losses] == pytest.approx(lost, rel=1e-12)
+
+
 def crossed(spark):
     rng = np.random.default_rng(3)
     x = rng.uniform(-1, 1, size=(400, 2))
