@@ -1,6 +1,7 @@
 """Splits, preparation, evaluation, training and explanation."""
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -285,6 +286,24 @@ def test_lasso_step_among_dependent_columns():
     assert passes < 12
 
 
+def test_lasso_does_not_crawl_to_its_end():
+    # Near the optimum a sweep of descent gains next to nothing, the system among the signs leads on.
+    rng, n = np.random.default_rng(2), 3000
+    size = rng.exponential(0.1, n)
+    groups = [np.eye(k)[rng.integers(0, k, n)] for k in (3, 4, 20)]
+    numbers = [size, size * rng.uniform(0.5, 1, n), groups.pop(0) @ np.arange(3) / 3]
+    x = np.hstack([np.stack(numbers, axis=1), *groups, np.ones((n, 1))])
+    y = (rng.random(n) < 1 / (1 + np.exp(1 - 40 * size))).astype(float)
+    w = np.zeros(x.shape[1])
+    for passes in range(1, 101):  # noqa: B007
+        loss, slope, curve = lasso._unpacked(lasso.partial_sums(x, y, w), len(w))
+        value = 1000 * loss + np.abs(w).sum()
+        if lasso.violation(w, 1000 * slope) < 1e-6:
+            break
+        w = w + lasso._solve(w, 1000 * slope, 1000 * curve, 1e-15 * value)
+    assert passes < 12
+
+
 def test_sums_do_not_depend_on_the_order(spark):
     rng = np.random.default_rng(6)
     values = rng.normal(size=(90, 50)) * 10.0 ** rng.integers(-12, 12, (90, 50))
@@ -462,6 +481,28 @@ def test_grid_search_finds_the_signal(spark, model_type):
     assert report[2]["mean_auc"] == 0.5
 
 
+def test_models_of_one_type_are_fitted_before_the_next(spark, monkeypatch):
+    df, _, _ = study(spark, 200)
+    calls, slow = [], [8.0, 0.0]
+
+    def watched(name, plain):
+        def fit(*given):
+            # The first fold is slow with its first type.
+            time.sleep(slow.pop(0) if name == "lreg" and slow else 0.0)
+            calls.append(name)
+            return plain(*given)
+
+        return fit
+
+    for m in ("lreg", "mlp"):
+        monkeypatch.setitem(training.FITTERS, m, watched(m, training.FITTERS[m]))
+    grids = {"lreg": {"C": [0.1]}, "mlp": {"hiddenLayers": [[3]], "maxIter": [2]}}
+    roles = prep.column_roles(df, ["id", "y"])
+    training.search_models(df, grids, roles, "y", ["id"], folds=3, folds_at_once=2)
+    # Two folds, one fold, and the models of all rows.
+    assert calls == ["lreg", "lreg", "mlp", "mlp", "lreg", "mlp", "lreg", "mlp"]
+
+
 def test_unknown_model_type(spark):
     df, _, _ = study(spark, 20)
     with pytest.raises(KeyError):
@@ -527,6 +568,20 @@ def test_kernel_shapley_against_all_coalitions(spark, d):
         assert np.abs(off).max() < 1e-9
 
 
+def test_classes_of_a_network_come_from_products_of_matrices(spark):
+    rng = np.random.default_rng(9)
+    sizes = [5, 20, 10, 1]
+    model = neural.ReluNetworkModel(sizes=sizes, weights=(neural.start_weights(sizes, 4) * 3).tolist())
+    rows = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rng.normal(size=(200, 5)))], "i int, x array<double>")
+    found = explain.class_predictor(model)(rows)
+    # A column expression takes the products of very many mixed rows one by one.
+    assert "ArrowEvalPython" in found._jdf.queryExecution().executedPlan().toString()
+    want = model.transform(rows.withColumn("features", array_to_vector("x")))
+    classes = [r["f"] for r in found.orderBy("i").collect()]
+    assert classes == [r["prediction"] for r in want.orderBy("i").collect()] and len(set(classes)) == 2
+    assert explain.class_predictor(model)(rows.limit(0)).count() == 0
+
+
 def test_shapley_scores_every_coalition(spark):
     rows = spark.createDataFrame(
         [(1, [1.0, 2.0, 0.0]), (1, [1.0, 2.0, 0.0]), (2, [3.0, None, 1.0]), (None, [5.0, 8.0, 1.0])], "id long, x array<double>"
